@@ -141,3 +141,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, types: dict[str, str] | None
         listed = ", ".join(f"{c} {declared[c.lower()]}" for c in df.columns if c.lower() in declared)
         writer = writer.option("createTableColumnTypes", listed)
     writer.option("batchsize", JDBC_BATCH).save()
+
+
+def fresh_name(label: str) -> str:
+    """A table name no one uses yet."""
+    return f"{label}_{uuid.uuid4().hex}"
