@@ -29,35 +29,61 @@ def to_boolean(c: Column, rule: str = "map") -> Column:
     raise ValueError(f"unknown boolean rule {rule}")
 
 
-def to_type(c: Column, declared: str, boolean_rule: str = "map") -> Column:
-    """Value of trimmed text as the declared type, null when it does not fit."""
+# Fixed patterns: texts the integer and decimal casts accept.
+SHORT_INTEGER = "^[+-]?[0-9]{1,18}$"
+LONG_INTEGER = "^[+-]?[0-9]{19,}$"
+DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+# Bits of the integer types.
+INTEGER_BITS = {"smallint": 16, "int": 32, "bigint": 64}
+
+
+def _to_integer(text: Column, kind: str) -> Column:
+    """Whole number of the text if it fits.
+
+    A failing cast throws and catches an exception per value, so what can be told
+    by pattern and range is kept away from it.
+    """
+    top = 1 << (INTEGER_BITS[kind] - 1)
+    number = text.try_cast("bigint")
+    fits = F.when(number.between(-top, top - 1), number.cast(kind)) if kind != "bigint" else number
+    return F.when(text.rlike(SHORT_INTEGER), fits).when(text.rlike(LONG_INTEGER), text.try_cast(kind))
+
+
+def typed_value(text: Column, declared: str, boolean_rule: str = "map") -> Column:
+    """Prepared text (trimmed, blanks null) as the declared type, null when it does not fit."""
     target = spark_type(declared)
-    text = blank_to_null(c)
     if isinstance(target, T.StringType):
         return text
     if isinstance(target, T.DateType):
         return parse_date(text)
     if isinstance(target, T.BooleanType):
         return to_boolean(text, boolean_rule)
+    if isinstance(target, T.IntegralType):
+        return _to_integer(text, target.simpleString())
+    if isinstance(target, (T.DecimalType, T.DoubleType)):
+        return F.when(text.rlike(DECIMAL), text.try_cast(target))
     return text.try_cast(target)
 
 
-def conversion_fails(
-    c: Column, declared: str, boolean_rule: str = "map", strict_digits: bool = False
-) -> Column:
-    """Whether a present value is lost by the conversion.
+def lost(text: Column, value: Column, declared: str, strict_digits: bool = False) -> Column:
+    """Whether prepared text is present but its converted value is not.
 
     ``strict_digits`` instead calls every NUMERIC text with a non-digit an error.
     """
     target = spark_type(declared)
-    text = blank_to_null(c)
     if isinstance(target, T.StringType):
         return F.lit(False)
     if strict_digits and isinstance(target, T.DecimalType):
         return F.coalesce(text.rlike("[^0-9]"), F.lit(False))
-    return text.isNotNull() & to_type(c, declared, boolean_rule).isNull()
+    return text.isNotNull() & value.isNull()
+
+
+def to_type(c: Column, declared: str, boolean_rule: str = "map") -> Column:
+    """Value of raw text as the declared type."""
+    return typed_value(blank_to_null(c), declared, boolean_rule)
 
 
-def error_flag(c: Column, declared: str, **options) -> Column:
+def error_flag(failed: Column) -> Column:
     """``ERRO_TIPO`` on failing rows, else null."""
-    return F.when(conversion_fails(c, declared, **options), F.lit(ERROR_TEXT))
+    return F.when(failed, F.lit(ERROR_TEXT))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from censa.functions.convert import conversion_fails, error_flag, to_type
+from censa.functions.convert import error_flag, lost, to_type, typed_value
 from censa.functions.text import blank_to_null
 from censa.registry.types import spark_type
 
@@ -19,16 +19,43 @@ def error_name(column: str) -> str:
     return f"new_{column}_error"
 
 
-def convert_with_errors(df: DataFrame, types: dict[str, str], **options) -> DataFrame:
+def _staged(df: DataFrame, types: dict[str, str], columns: list[str], boolean_rule: str) -> DataFrame:
+    """Add prepared text ``__text_<i>`` and converted value ``__value_<i>`` of each column.
+
+    Two projections on top of each other: each text is prepared once and each value
+    converted once, however often the later expressions use them.
+    """
+    prepared = df.select(
+        "*", *[blank_to_null(F.col(c).cast("string")).alias(f"__text_{i}") for i, c in enumerate(columns)]
+    )
+    return prepared.select(
+        "*",
+        *[
+            typed_value(F.col(f"__text_{i}"), declared_type(types, c), boolean_rule).alias(f"__value_{i}")
+            for i, c in enumerate(columns)
+        ],
+    )
+
+
+def _lost(types: dict[str, str], columns: list[str], strict_digits: bool) -> dict[str, Column]:
+    """Per column, whether a present text was lost by the conversion of ``_staged``."""
+    return {
+        c: lost(F.col(f"__text_{i}"), F.col(f"__value_{i}"), declared_type(types, c), strict_digits)
+        for i, c in enumerate(columns)
+    }
+
+
+def convert_with_errors(
+    df: DataFrame, types: dict[str, str], boolean_rule: str = "map", strict_digits: bool = False
+) -> DataFrame:
     """Every column as its declared type, each followed by its error flag column."""
+    staged = _staged(df, types, df.columns, boolean_rule)
+    failed = _lost(types, df.columns, strict_digits)
     selected = []
-    for c in df.columns:
-        declared = declared_type(types, c)
-        text = F.col(c).cast("string")
-        rule = {k: v for k, v in options.items() if k == "boolean_rule"}
-        selected.append(to_type(text, declared, **rule).alias(c))
-        selected.append(error_flag(text, declared, **options).alias(error_name(c)))
-    return df.select(*selected)
+    for i, c in enumerate(df.columns):
+        selected.append(F.col(f"__value_{i}").alias(c))
+        selected.append(error_flag(failed[c]).alias(error_name(c)))
+    return staged.select(*selected)
 
 
 def error_columns(df: DataFrame) -> list[str]:
@@ -44,7 +71,11 @@ def error_counts(df: DataFrame) -> DataFrame:
 
 
 def convert_quarantine(
-    df: DataFrame, types: dict[str, str], whole_column: bool = False, **options
+    df: DataFrame,
+    types: dict[str, str],
+    whole_column: bool = False,
+    boolean_rule: str = "map",
+    strict_digits: bool = False,
 ) -> DataFrame:
     """Convert and keep what failed in ``new_<column>``.
 
@@ -52,32 +83,27 @@ def convert_quarantine(
     the whole original column and leaves the converted one null; that needs one
     extra pass to find the failing columns.
     """
-    declared = {c: declared_type(types, c) for c in df.columns if _is_declared(types, c)}
-    fails = {c: conversion_fails(F.col(c).cast("string"), t, **options) for c, t in declared.items()}
-    rule = {k: v for k, v in options.items() if k == "boolean_rule"}
-    value = {c: to_type(F.col(c).cast("string"), t, **rule) for c, t in declared.items()}
+    columns = [c for c in df.columns if _is_declared(types, c)]
+    staged = _staged(df, types, columns, boolean_rule)
+    failed = _lost(types, columns, strict_digits)
+    value = {c: F.col(f"__value_{i}").alias(c) for i, c in enumerate(columns)}
     if not whole_column:
-        kept = {f"new_{c}": F.when(fails[c], F.col(c)) for c in declared}
-        return df.select(
-            *[value[c].alias(c) if c in declared else F.col(c) for c in df.columns],
-            *[kept[f"new_{c}"].alias(f"new_{c}") for c in declared],
-        )
-    failing = df.agg(*[F.coalesce(F.max(fails[c]), F.lit(False)).alias(c) for c in declared]).first()
-    bad = [c for c in declared if failing[c]]
-    selected = []
-    for c in df.columns:
-        if c in bad:
-            selected.append(F.lit(None).cast(spark_type(declared[c])).alias(c))
-        else:
-            selected.append(value[c].alias(c) if c in declared else F.col(c))
-    return df.select(*selected, *[F.col(c).alias(f"new_{c}") for c in bad])
+        kept = [F.when(failed[c], F.col(c)).alias(f"new_{c}") for c in columns]
+        return staged.select(*[value.get(c, F.col(c)) for c in df.columns], *kept)
+    found = staged.agg(*[F.coalesce(F.max(failed[c]), F.lit(False)).alias(c) for c in columns]).first()
+    bad = [c for c in columns if found[c]]
+    for c in bad:
+        value[c] = F.lit(None).cast(spark_type(declared_type(types, c))).alias(c)
+    return staged.select(
+        *[value.get(c, F.col(c)) for c in df.columns], *[F.col(c).alias(f"new_{c}") for c in bad]
+    )
 
 
-def convert_loader(df: DataFrame, types: dict[str, str], **options) -> DataFrame:
+def convert_loader(df: DataFrame, types: dict[str, str], boolean_rule: str = "map") -> DataFrame:
     """Declared columns converted, what does not fit null; other columns untouched."""
     return df.withColumns(
         {
-            c: to_type(F.col(c).cast("string"), declared_type(types, c), **options)
+            c: to_type(F.col(c).cast("string"), declared_type(types, c), boolean_rule)
             for c in df.columns
             if _is_declared(types, c)
         }
@@ -86,16 +112,16 @@ def convert_loader(df: DataFrame, types: dict[str, str], **options) -> DataFrame
 
 def convert_strict(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Declared columns converted; the first value that does not fit fails the job."""
-    selected = {}
-    for c in df.columns:
-        if _is_declared(types, c):
-            declared = declared_type(types, c)
-            text = F.col(c).cast("string")
-            message = F.concat(F.lit(f"{c} is no {declared}: "), text)
-            selected[c] = F.when(
-                conversion_fails(text, declared), F.raise_error(message).cast(spark_type(declared))
-            ).otherwise(to_type(text, declared))
-    return df.withColumns(selected)
+    columns = [c for c in df.columns if _is_declared(types, c)]
+    staged = _staged(df, types, columns, "map")
+    failed = _lost(types, columns, strict_digits=False)
+    value = {}
+    for i, c in enumerate(columns):
+        declared = declared_type(types, c)
+        message = F.concat(F.lit(f"{c} is no {declared}: "), F.col(f"__text_{i}"))
+        stop = F.raise_error(message).cast(spark_type(declared))
+        value[c] = F.when(failed[c], stop).otherwise(F.col(f"__value_{i}")).alias(c)
+    return staged.select(*[value.get(c, F.col(c)) for c in df.columns])
 
 
 def alter_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -103,18 +129,17 @@ def alter_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return convert_strict(df, types)
 
 
-def silent_nulls(raw: DataFrame, types: dict[str, str], **options) -> DataFrame:
+def silent_nulls(
+    raw: DataFrame, types: dict[str, str], boolean_rule: str = "map", strict_digits: bool = False
+) -> DataFrame:
     """Per column, values that were present, came out null, and carry no error flag."""
     columns = [c for c in raw.columns if _is_declared(types, c)]
-    rule = {k: v for k, v in options.items() if k == "boolean_rule"}
-    counts = []
-    for c in columns:
-        text = F.col(c).cast("string")
-        declared = declared_type(types, c)
-        lost = blank_to_null(text).isNotNull() & to_type(text, declared, **rule).isNull()
-        counts.append(F.count_if(lost & error_flag(text, declared, **options).isNull()).alias(c))
+    staged = _staged(raw, types, columns, boolean_rule)
+    flagged = _lost(types, columns, strict_digits)
+    gone = _lost(types, columns, strict_digits=False)
+    counts = [F.count_if(gone[c] & ~flagged[c]).alias(c) for c in columns]
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_silent")) for c in columns]
-    return raw.agg(*counts).select(F.inline(F.array(*rows)))
+    return staged.agg(*counts).select(F.inline(F.array(*rows)))
 
 
 def _is_declared(types: dict[str, str], column: str) -> bool:

@@ -1,4 +1,4 @@
-"""Exact positions and running totals over a whole frame, without a single-task window.
+"""Exact positions over a whole frame, without a single-task window.
 
 The frame is range-sorted, so each partition holds one slice of the order; slice
 sizes are added up on their own (one row per partition) and turned into offsets.
@@ -10,17 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from censa.session import ready_for_checkpoint
 
-_TIE, _SLICE, _AT = "__tie", "__slice", "__at"
+SLICE, AT = "__slice", "__at"
+_TIE = "__tie"
 # monotonically_increasing_id keeps the partition above, the row below this bit.
 _ROW_BITS = 33
 
 
-def _slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def sorted_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Sorted and checkpointed frame with slice number and position inside the slice.
 
     The tie-break spreads rows with equal order keys over several slices.
@@ -28,41 +29,22 @@ def _slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
     ready_for_checkpoint(df.sparkSession)
     tied = df.withColumn(_TIE, F.monotonically_increasing_id())
     placed = tied.orderBy(*order, _TIE).drop(_TIE).checkpoint()
-    numbered = placed.withColumn(_AT, F.monotonically_increasing_id())
-    return numbered.withColumn(_SLICE, F.shiftright(_AT, _ROW_BITS)).withColumn(
-        _AT, F.col(_AT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    numbered = placed.withColumn(AT, F.monotonically_increasing_id())
+    return numbered.withColumn(SLICE, F.shiftright(AT, _ROW_BITS)).withColumn(
+        AT, F.col(AT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     )
 
 
-def _offsets(slices: DataFrame, weight: Column) -> DataFrame:
-    """Total weight of all earlier slices, one row per slice."""
-    sizes = slices.groupBy(_SLICE).agg(F.sum(weight).alias("__size"))
-    earlier = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(_SLICE, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
-
-
 def number_rows(df: DataFrame, order: Sequence[str], out: str = "id") -> DataFrame:
     """Exact row numbers 1..n in the given order."""
-    slices = _slices(df, order)
-    offsets = F.broadcast(_offsets(slices, F.lit(1)))  # one row per partition
-    position = (F.col("__before") + F.col(_AT) + 1).cast("long")
-    return slices.join(offsets, _SLICE).withColumn(out, position).drop(_SLICE, _AT, "__before")
-
-
-def running_total(df: DataFrame, order: Sequence[str], weight: str, out: str) -> DataFrame:
-    """Sum of ``weight`` over all earlier rows of the order, the row itself excluded.
-
-    Meant for pre-aggregated frames, where the order keys are distinct.
-    """
-    slices = _slices(df, order)
-    offsets = F.broadcast(_offsets(slices, F.col(weight)))  # one row per partition
-    inside = Window.partitionBy(_SLICE).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.coalesce(F.sum(weight).over(inside), F.lit(0)) + F.col("__before")
-    return (
-        slices.join(offsets, _SLICE)
-        .withColumn(out, earlier.cast("long"))
-        .drop(_SLICE, _AT, "__before")
-    )
+    slices = sorted_slices(df, order)
+    sizes = slices.groupBy(SLICE).agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before")
+    # One row per slice: the window and the broadcast are as small as the partition count.
+    offsets = F.broadcast(sizes.select(SLICE, before))
+    position = (F.col("__before") + F.col(AT) + 1).cast("long")
+    return slices.join(offsets, SLICE).withColumn(out, position).drop(SLICE, AT, "__before")
 
 
 def sparse_ids(df: DataFrame, out: str = "id") -> DataFrame:

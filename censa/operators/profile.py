@@ -7,13 +7,14 @@ values; each task passes on one partial row per column, or its first few values.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from censa.operators.ordering import running_total
+from censa.operators.ordering import AT, SLICE, sorted_slices
 
 SAMPLE_SIZE = 10
 TOP_VALUES = 5
@@ -49,11 +50,12 @@ def special_character(value: Column) -> Column:
 
 
 def value_kind(value: Column) -> Column:
-    """``integer``, ``float`` or ``string`` by the look of the trimmed text."""
+    """Kind of the trimmed text: 1 integer, 2 float, 3 string.
+
+    Numbers, not names, so that their minimum and maximum are hash-aggregated.
+    """
     text = F.trim(value)
-    return (
-        F.when(text.rlike(INTEGER_TEXT), "integer").when(text.rlike(DECIMAL_TEXT), "float").otherwise("string")
-    )
+    return F.when(text.rlike(INTEGER_TEXT), 1).when(text.rlike(DECIMAL_TEXT), 2).otherwise(3)
 
 
 def boolean_text(value: Column) -> Column:
@@ -71,9 +73,14 @@ def magnitude(value: Column) -> Column:
 
 
 def _ranked(counts: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """First ``k`` rows per column; Spark keeps ``k`` per task before the shuffle."""
+    """First ``k`` non-null values per column; Spark keeps ``k`` per task before the shuffle.
+
+    The orders put null last, and it is dropped here, after the window: dropped
+    earlier it would give this branch a shuffle of its own.
+    """
     window = Window.partitionBy("column_name").orderBy(*order)
-    return counts.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+    ranked = counts.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+    return ranked.filter(F.col("value").isNotNull())
 
 
 def column_profile(df: DataFrame, columns: Iterable[str] | None = None, sample: int = SAMPLE_SIZE) -> DataFrame:
@@ -104,7 +111,7 @@ def column_profile(df: DataFrame, columns: Iterable[str] | None = None, sample:
         F.max(magnitude(F.col("value"))).alias("largest"),
     )
     # Keeping ``n`` in this branch makes both branches share one shuffle.
-    smallest = _ranked(counts.filter(present & (F.col("n") > 0)), [F.col("value")], sample)
+    smallest = _ranked(counts.filter("n > 0"), [F.asc_nulls_last("value")], sample)
     samples = smallest.groupBy("column_name").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))), lambda s: s["value"]).alias("sample")
     )
@@ -209,11 +216,31 @@ def max_lengths(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return longest.select(F.inline(F.array(*rows)))
 
 
+def _wanted_ranks(sizes: Sequence[Row], shares: Sequence[float]) -> list[tuple]:
+    """Where the two ranks around each share lie: slice, column, share, fraction, which, rank in the slice."""
+    spans: dict[str, list[tuple[int, int]]] = {}
+    for row in sorted(sizes, key=lambda r: r[SLICE]):
+        spans.setdefault(row["column_name"], []).append((row[SLICE], row["size"]))
+    wanted = []
+    for column, parts in spans.items():
+        last = sum(size for _, size in parts) - 1
+        for share in shares:
+            at = last * float(share)
+            for rank, high in ((math.floor(at), False), (math.ceil(at), True)):
+                for place, size in parts:
+                    if rank < size:
+                        wanted.append((place, column, float(share), at - math.floor(at), high, rank))
+                        break
+                    rank -= size
+    return wanted
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
     """Interpolated exact quantiles of numeric columns, as (column_name, share, quantile).
 
-    Values are counted first and ranked through running totals, so no task holds a
-    column's distinct values in memory as the built-in exact percentile would.
+    Values are counted, sorted into slices, and only the slices that hold a wanted
+    rank are looked into, so no task keeps a column's distinct values in memory as
+    the built-in exact percentile would.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     counts = (
@@ -222,29 +249,24 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_total(counts, ["column_name", "value"], "n", "before")
-    spans = ranked.groupBy("column_name").agg(F.sum("n").alias("total"), F.min("before").alias("start"))
-    wanted = spans.select(
-        "column_name",
-        "start",
-        F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"),
-        "total",
-    ).withColumn("at", (F.col("total") - 1) * F.col("share"))
-    # One row per column and share on the broadcast side.
-    placed = ranked.join(F.broadcast(wanted), "column_name")
-    first = F.col("before") - F.col("start")
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank < first + F.col("n")), F.col("value")))
-
-    low, high = F.floor("at"), F.ceil("at")
-    touched = ((first <= low) & (low < first + F.col("n"))) | ((first <= high) & (high < first + F.col("n")))
-    picked = placed.filter(touched).groupBy("column_name", "share", "at").agg(
-        value_at(low).alias("low"), value_at(high).alias("high")
+    slices = sorted_slices(counts, ["column_name", "value"])
+    # One row per slice, and one more per column that ends inside a slice.
+    sizes = slices.groupBy(SLICE, "column_name").agg(F.sum("n").alias("size")).collect()
+    ranks = _wanted_ranks(sizes, shares)
+    wanted = df.sparkSession.createDataFrame(
+        ranks,
+        f"{SLICE} long, column_name string, share double, fraction double, high boolean, rank long",
     )
-    fraction = F.col("at") - F.floor("at")
-    return picked.select(
-        "column_name", "share", (F.col("low") + (F.col("high") - F.col("low")) * fraction).alias("quantile")
+    places = sorted({place for place, *_ in ranks})
+    inside = Window.partitionBy(SLICE, "column_name").orderBy(AT)
+    ranked = slices.filter(F.col(SLICE).isin(places)).withColumn("upto", F.sum("n").over(inside))
+    # The wanted ranks: two rows per column and share.
+    hit = (F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto"))
+    found = ranked.join(F.broadcast(wanted), [SLICE, "column_name"]).filter(hit)
+    low = F.max(F.when(~F.col("high"), F.col("value")))
+    high = F.max(F.when(F.col("high"), F.col("value")))
+    return found.groupBy("column_name", "share").agg(
+        (low + (high - low) * F.max("fraction")).alias("quantile")
     )
 
 
