@@ -67,5 +67,5 @@ def ensure_id(df: DataFrame, order: Sequence[str], column: str = "id") -> DataFr
 
 def seeded_sample(df: DataFrame, n: int, seed: int = 1) -> DataFrame:
     """The ``n`` rows with the smallest seeded row hash: repeatable, top-n without a full sort."""
-    key = F.xxhash64(*[F.col(c).cast("string") for c in df.columns], F.lit(seed))
+    key = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns], F.lit(str(seed))))
     return df.withColumn("__key", key).orderBy("__key", *df.columns).limit(n).drop("__key")

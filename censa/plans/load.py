@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +64,8 @@ def load_group(spark: SparkSession, source: str, group: str, target: str) -> lis
     a failed load leaves nothing half loaded.
     """
     types = group_info(group)["columns"]
-    pending = pending_files(spark, source, group, stored(spark, target)).select("path", "id_arquivo").collect()
+    held = stored(spark, target, "id_arquivo string")
+    pending = pending_files(spark, source, group, held).select("path", "id_arquivo").collect()
     if not pending:
         return []
     raw = spark.read.option("mergeSchema", True).parquet(*[row.path for row in pending])
@@ -71,12 +73,14 @@ def load_group(spark: SparkSession, source: str, group: str, target: str) -> lis
     return sorted(row.id_arquivo for row in pending)
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """Frame of a parquet folder, or nothing when it is not there yet."""
+def stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """Frame of a parquet folder, or nothing when it is not there yet.
+
+    With a schema no file is opened to infer one.
+    """
     try:
-        df = spark.read.option("mergeSchema", True).parquet(path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from censa.operators.profile import null_ratio
 from censa.operators.reports import monthly_crosstab, report_totals
@@ -32,10 +33,13 @@ def report_nulls(df: DataFrame) -> DataFrame:
     return null_ratio(rename_present(df, INPUT_NAMES), INPUT_NAMES.values())
 
 
-def write_report(df: DataFrame, path: str, hospital: str = "Sp_Cnes") -> DataFrame:
+def write_report(
+    df: DataFrame, path: str, hospital: str = "Sp_Cnes", per_hospital: bool = True
+) -> DataFrame:
     """Write the report and return its totals, read back from what was written."""
-    export_report(build_report(df, hospital), path)
-    months = ", ".join(f"m{m:02d} long" for m in range(1, 13))
-    schema = f"procedure string, {months}, total long, procedure_group string, year int, hospital string"
-    written = df.sparkSession.read.schema(schema).option("header", True).csv(path)
-    return report_totals(written)
+    report = build_report(df, hospital)
+    export_report(report, path, per_hospital)
+    folders = ["year", "hospital"] if per_hospital else ["year"]
+    fields = [f for f in report.schema.fields if f.name not in folders]
+    schema = T.StructType(fields + [report.schema[c] for c in folders])
+    return report_totals(df.sparkSession.read.schema(schema).option("header", True).csv(path))

@@ -32,11 +32,15 @@ def export_chunks(df: DataFrame, path: str, lines: int) -> None:
     df.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", lines).csv(path)
 
 
-def export_report(report: DataFrame, path: str) -> None:
-    """Report as CSV folders per year and hospital."""
-    balanced(report, ["year", "hospital"]).sortWithinPartitions(
-        "year", "hospital", "procedure_group", "procedure"
-    ).write.mode("overwrite").partitionBy("year", "hospital").option("header", True).csv(path)
+def export_report(report: DataFrame, path: str, per_hospital: bool = True) -> None:
+    """Report as CSV folders per year and hospital, or per year with hospitals in order.
+
+    Thousands of hospitals make as many small files; one folder per year avoids them.
+    """
+    folders = ["year", "hospital"] if per_hospital else ["year"]
+    order = ["year", "hospital", "procedure_group", "procedure"]
+    ordered = balanced(report, folders).sortWithinPartitions(*order)
+    ordered.write.mode("overwrite").partitionBy(*folders).option("header", True).csv(path)
 
 
 def export_profile(profile: DataFrame, path: str) -> None:

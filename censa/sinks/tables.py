@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from censa.operators.schema import add_missing
-from censa.registry.types import spark_type, struct_of, types_of
+from censa.registry.types import spark_type, struct_of, text_length, types_of
+from censa.sources.tables import read_jdbc
 
 JDBC_BATCH = 10_000
 
@@ -42,13 +44,22 @@ def register(spark: SparkSession, table: str, path: str, schema: T.StructType) -
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
 
 
+@dataclass
+class Published:
+    """A published table, its row count, and the values in each optional column."""
+
+    table: DataFrame
+    n_rows: int
+    values: dict[str, int]
+
+
 def publish(
     df: DataFrame,
     table: str,
     root: str,
     types: dict[str, str] | None = None,
     optional: Sequence[str] = (),
-) -> DataFrame:
+) -> Published:
     """Replace ``table`` by the frame in one pass over it, and verify the count.
 
     The rows go to a fresh folder below ``root``; the table moves there only after
@@ -65,10 +76,10 @@ def publish(
     ).write.mode("errorifexists").parquet(path)
     counts = seen.get
     written = spark.read.schema(result.schema).parquet(path)
-    reconcile(counts["__rows"], written.count())
+    n_rows = reconcile(counts["__rows"], written.count())
     used = [f for f in result.schema.fields if f.name not in optional or counts[f.name] > 0]
     register(spark, table, path, T.StructType(used))
-    return spark.table(table)
+    return Published(spark.table(table), n_rows, {c: counts[c] for c in optional})
 
 
 def append(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> None:
@@ -134,15 +145,26 @@ def swap(spark: SparkSession, new: str, current: str) -> None:
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, types: dict[str, str] | None = None, mode: str = "append") -> None:
-    """Write to a database table in batches, with declared column types on creation."""
-    writer = df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
-    if types:
-        declared = {c.lower(): t for c, t in types.items()}
-        listed = ", ".join(f"{c} {declared[c.lower()]}" for c in df.columns if c.lower() in declared)
-        writer = writer.option("createTableColumnTypes", listed)
+    """Write to a database table in batches, with declared types and text lengths on creation."""
+    writer = typed(df, types).write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
+    declared = {c.lower(): t for c, t in (types or {}).items()}
+    lengths = [f"{c} {declared[c.lower()]}" for c in df.columns if text_length(declared.get(c.lower(), ""))]
+    if lengths:
+        writer = writer.option("createTableColumnTypes", ", ".join(lengths))
     writer.option("batchsize", JDBC_BATCH).save()
 
 
+def publish_jdbc(df: DataFrame, url: str, table: str, types: dict[str, str] | None = None, **properties: str) -> int:
+    """Replace a database table by the frame and verify the count.
+
+    The rows are counted while they are written; the database counts its own.
+    """
+    seen = Observation(f"jdbc-{uuid.uuid4().hex}")
+    write_jdbc(df.observe(seen, F.count(F.lit(1)).alias("n")), url, table, types, mode="overwrite")
+    stored = read_jdbc(df.sparkSession, url, f"(SELECT COUNT(*) AS n FROM {table}) counted", **properties)
+    return reconcile(seen.get["n"], stored.first()[0])
+
+
 def fresh_name(label: str) -> str:
     """A table name no one uses yet."""
     return f"{label}_{uuid.uuid4().hex}"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from datetime import date
+from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,9 @@ from censa.functions.dates import full_year, period_start
 from censa.registry.groups import STATES, Request
 from censa.registry.types import struct_of
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 # Fixed pattern: group code, state, two-digit year and month, optional part number.
 NAME_PATTERN = r"(?i)^([A-Z]+?)([A-Z]{2})([0-9]{4})(?:_[0-9]+)?\.parquet"
 FILE_ID_PATTERN = r"^(.*)_[0-9]+$"
@@ -30,15 +35,12 @@ def name_part(name: Column, group: str | None, part: int) -> Column:
     return F.nullif(F.upper(F.regexp_extract(name, pattern, part)), F.lit(""))
 
 
-def from_name(group: str | None, part: int) -> Column:
-    """The same, read from the row's file name first, then from its folder."""
-    folder, file = _segments()
-    return F.coalesce(name_part(file, group, part), name_part(folder, group, part))
-
-
 def extract_state(name: Column, group: str) -> Column:
-    """State letters after the group code at the start of a name, any case, else null."""
-    return F.nullif(F.upper(F.regexp_extract(name, f"(?i)^{group}([A-Z]{{2}})", 1)), F.lit(""))
+    """State after the group code at the start of a name, any case, else null.
+
+    Only real states count: a data file named ``part-...`` is no ``PA`` file of a state RT.
+    """
+    return F.nullif(F.upper(F.regexp_extract(name, f"(?i)^{group}({'|'.join(STATES)})", 1)), F.lit(""))
 
 
 def file_id(lineage: Column) -> Column:
@@ -50,9 +52,12 @@ def lineage_columns(group: str | None = None) -> dict[str, Column]:
     """State, period, file id and lineage key of each row, from the file it is in."""
     folder, file = _segments()
     whole_id = F.concat_ws("_", folder, file)
-    yymm = from_name(group, 3)
+    yymm = F.coalesce(name_part(file, group, 3), name_part(folder, group, 3))
+    states = [name_part(file, group, 2), name_part(folder, group, 2)]
+    if group:  # names without a month still tell the state
+        states += [extract_state(file, group), extract_state(folder, group)]
     return {
-        "uf": from_name(group, 2),
+        "uf": F.coalesce(*states),
         "competencia": period_start(yymm),
         "id_arquivo": whole_id,
         "id_log": F.concat_ws("_", whole_id, F.col("_metadata.row_index").cast("string")),
@@ -105,7 +110,7 @@ def scan_folders(
         try:
             reader.parquet(glob).schema
         except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
+            if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
         else:
             found.append(glob)
@@ -140,11 +145,10 @@ def discover_files(spark: SparkSession, root: str, group: str | None = None) ->
     listing = listing.withColumn("id_arquivo", F.concat_ws("_", "folder", "file_name"))
     if group is None:
         return listing
-    state = F.coalesce(
-        F.nullif(F.regexp_extract("file_name", f"(?i)^{group}([A-Z]{{2}}).+\\.parquet$", 1), F.lit("")),
-        F.nullif(F.regexp_extract("folder", f"(?i)^{group}([A-Z]{{2}}).+\\.parquet$", 1), F.lit("")),
-    )
-    return listing.withColumn("uf", F.upper(state)).filter(F.col("uf").isNotNull())
+    # The digit after the state keeps groups apart whose codes start alike (AB, ABO).
+    pattern = f"(?i)^{group}([A-Z]{{2}})[0-9].*\\.parquet$"
+    states = [F.nullif(F.upper(F.regexp_extract(c, pattern, 1)), F.lit("")) for c in ("file_name", "folder")]
+    return listing.withColumn("uf", F.coalesce(*states)).filter(F.col("uf").isNotNull())
 
 
 def read_concat(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
@@ -157,22 +161,41 @@ def merged_columns(spark: SparkSession, *paths: str) -> list[str]:
     return read_concat(spark, *paths, merge_schema=True).columns
 
 
+def file_columns(spark: SparkSession, *paths: str) -> DataFrame:
+    """Column names of each data file below the paths; an unreadable file has none.
+
+    Only footers are read, in parallel, one file per row.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).select("path")
+    return listing.mapInPandas(_footers, "path string, columns array<string>")
+
+
+def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(columns=[_names_in(path) for path in batch["path"]])
+
+
+def _names_in(path: str) -> list[str] | None:
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    try:
+        system, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+        return [c.lower() for c in pq.read_schema(name, filesystem=system).names]
+    except (OSError, ValueError):
+        return None
+
+
 def valid_paths(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> list[str]:
-    """Paths that can be read and hold every declared column; only footers are looked at."""
-    wanted = {c.lower() for c in types}
-    valid = []
-    for path in paths:
-        try:
-            names = {c.lower() for c in spark.read.parquet(path).columns}
-        except Exception:  # an unreadable file is left out, like one with a wrong schema
-            continue
-        if wanted <= names:
-            valid.append(path)
-    return valid
+    """Data files below the paths that can be read and hold every declared column."""
+    wanted = F.array(*[F.lit(c.lower()) for c in types])
+    fits = F.size(F.array_except(wanted, F.col("columns"))) == 0
+    valid = file_columns(spark, *paths).filter(fits & F.col("columns").isNotNull())
+    return sorted(row.path for row in valid.select("path").collect())
 
 
 def read_valid(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> DataFrame:
-    """Rows of the valid paths."""
+    """Rows of the valid files."""
     valid = valid_paths(spark, paths, types)
     if not valid:
         return spark.createDataFrame([], struct_of({c: "TEXT" for c in types}))

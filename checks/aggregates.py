@@ -68,7 +68,10 @@ def sparse_ids(spark, folder):
     return repeated.agg(F.sum("n").alias("n_rows"), F.count("id").alias("n_ids"))
 
 
-@check()
+@check(
+    """SELECT o_orderkey, o_custkey FROM orders
+       ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), '1')), o_orderkey, o_custkey LIMIT 100"""
+)
 def seeded_sample(spark, folder):
     return ordering.seeded_sample(table(spark, folder, "orders").select("o_orderkey", "o_custkey"), 100)
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from censa.functions.convert import to_boolean
 from censa.functions.dates import parse_date
 from censa.operators import conversion as cv
+from censa.operators import schema as sc
 from censa.operators.cleaning import trim_text
-from censa.operators.schema import drop_empty_columns, keep_originals
 from checks import check
 from checks.raw import FAILS_SQL, RAW_TYPES, VALUE_SQL, from_raw, raw_orders
 
@@ -126,7 +126,7 @@ def error_counts(spark, folder):
     )
 )
 def drop_empty_error_columns(spark, folder):
-    return drop_empty_columns(cv.convert_with_errors(raw_orders(spark, folder), RAW_TYPES))
+    return sc.drop_empty_columns(cv.convert_with_errors(raw_orders(spark, folder), RAW_TYPES))
 
 
 @check(
@@ -151,7 +151,7 @@ def silent_nulls(spark, folder):
         "sequencia, trim(val_tot) AS val_tot, trim(espec) AS espec, trim(val_tot) AS new_val_tot"
     )
 )
-def keep_original_columns(spark, folder):
+def keep_originals(spark, folder):
     raw = trim_text(raw_orders(spark, folder).select("sequencia", "val_tot", "espec"))
-    return keep_originals(raw, {"val_tot": "NUMERIC(15,2)"})
+    return sc.keep_originals(raw, {"val_tot": "NUMERIC(15,2)"})
 

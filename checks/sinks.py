@@ -28,7 +28,7 @@ def publish_table(spark, folder):
     converted = convert_with_errors(raw, RAW_TYPES)
     return ts.publish(
         converted, ts.fresh_name("published"), scratch_path(spark, "publish"), optional=error_columns(converted)
-    )
+    ).table
 
 
 @check("SELECT c_custkey AS code, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
@@ -77,8 +77,8 @@ def swap_table(spark, folder):
 def reconcile(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
     published = ts.publish(lines, ts.fresh_name("lines"), scratch_path(spark, "lines"))
-    rows = ts.reconcile(lines.count(), published.count())
-    return published.agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") == rows)
+    rows = ts.reconcile(lines.count(), published.n_rows)
+    return published.table.agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") == rows)
 
 
 @check("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")

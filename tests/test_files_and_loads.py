@@ -86,6 +86,22 @@ def test_discovery_and_state_names(spark, folders):
     assert [tuple(r) for r in got] == [("SP", "SP", "2301"), (None, None, None), (None, None, None), (None, "SP", "2303")]
 
 
+def test_groups_with_codes_that_start_alike(spark, tmp_path):
+    write(spark, tmp_path / "ABSP1610.parquet", [("1",)], "a string")
+    write(spark, tmp_path / "ABOSP2303.parquet", [("1",), ("2",)], "a string")
+    found = {g: files.discover_files(spark, str(tmp_path), g).select("folder", "uf") for g in ("AB", "ABO")}
+    assert rows(found["AB"]) == [("ABSP1610.parquet", "SP")]
+    assert rows(found["ABO"]) == [("ABOSP2303.parquet", "SP")]
+    both = files.with_lineage(spark.read.parquet(str(tmp_path / "*.parquet"))).groupBy("uf").count()
+    assert rows(both) == [("SP", 3)]
+
+
+def test_state_from_a_name_without_a_month(spark, tmp_path):
+    write(spark, tmp_path / "PARJ_total.parquet", [("1",)], "a string")
+    got = files.with_lineage(spark.read.parquet(str(tmp_path / "PARJ_total.parquet")), "PA").first()
+    assert (got.uf, got.competencia) == ("RJ", None)
+
+
 def test_lineage_is_unique_and_names_the_file(spark, folders):
     rowset = files.with_lineage(files.scan_request(spark, str(folders), request()), "RD")
     assert rowset.select("id_log").distinct().count() == 14
@@ -100,8 +116,10 @@ def test_batches_and_valid_files(spark, folders):
     assert [r.n_rows for r in files.batch_sizes(spark.read.parquet(path), 2).orderBy("batch_no").collect()] == [2, 2, 1]
     bad = folders / "bad.parquet"
     bad.write_bytes(b"nothing")
-    valid = files.valid_paths(spark, [path, str(bad), str(folders / "absent.parquet")], {"cnes": "TEXT"})
-    assert valid == [path]
+    (valid,) = files.valid_paths(spark, [path, str(bad)], {"cnes": "TEXT", "VAL_TOT": "TEXT"})
+    assert valid.startswith(f"file:{path}/part-")
+    assert files.valid_paths(spark, [path], {"cnes": "TEXT", "absent": "TEXT"}) == []
+    assert files.read_valid(spark, [path, str(bad)], {"cnes": "TEXT"}).count() == 5
     assert files.read_valid(spark, [str(bad)], {"cnes": "TEXT"}).count() == 0
 
 
@@ -113,13 +131,18 @@ def test_merged_columns(spark, tmp_path):
 
 def test_extract_publishes_once_and_drops_unused_flags(spark, folders, tmp_path):
     ask = request(facilities=["2077480", "2077482"], fields=["N_AIH", "VAL_TOT", "DT_INTER"], table_name="rd_out")
-    out = extract.extract_to_table(spark, str(folders), ask, str(tmp_path / "out"))
+    done = extract.extract_to_table(spark, str(folders), ask, str(tmp_path / "out"))
+    assert (done.n_rows, done.n_with_text) == (7, 7)
+    assert done.errors == {
+        "new_N_AIH_error": 0, "new_VAL_TOT_error": 3, "new_DT_INTER_error": 0, "new_CNES_error": 0,
+    }
+    out = done.table
     # Only VAL_TOT has errors; a blank date is no error.
     assert out.columns == ["N_AIH", "VAL_TOT", "new_VAL_TOT_error", "DT_INTER", "CNES"]
     assert out.filter("new_VAL_TOT_error = 'ERRO_TIPO'").count() == 3
     assert out.count() == 7 and {r.CNES for r in out.select("CNES").collect()} == {"2077480", "2077482"}
     again = extract.extract_to_table(spark, str(folders), ask, str(tmp_path / "out"))
-    assert again.count() == 7
+    assert again.table.count() == 7
 
 
 def test_extract_of_long_facility_list_joins(spark, folders):
@@ -130,7 +153,7 @@ def test_extract_of_long_facility_list_joins(spark, folders):
 
 def test_extract_grouped(spark, folders, tmp_path):
     ask = request(fields=["DT_INTER"], table_name="rd_grouped")
-    out = extract.extract_to_table(spark, str(folders), ask, str(tmp_path / "out"), grouped=True)
+    out = extract.extract_to_table(spark, str(folders), ask, str(tmp_path / "out"), grouped=True).table
     assert rows(out) == [(None, 3), (dt.date(2023, 1, 15), 11)]
 
 
