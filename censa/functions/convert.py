@@ -10,6 +10,7 @@ from censa.functions.dates import parse_date
 from censa.functions.text import blank_to_null
 from censa.registry.types import spark_type
 
+# Fixed value: the text of an error flag.
 ERROR_TEXT = "ERRO_TIPO"
 
 

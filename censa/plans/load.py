@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from censa.functions.text import zero_fill
 from censa.operators.cleaning import trim_text
 from censa.operators.conversion import convert_loader
-from censa.operators.joins import anti_join, decode
+from censa.operators.joins import anti_join
 from censa.operators.schema import align, drop_present, lower_names
 from censa.registry.groups import STATE_CODES, group_info
 from censa.sinks.files import write_partitioned
@@ -26,7 +26,7 @@ def state_lookup(spark: SparkSession) -> DataFrame:
 def decode_state(df: DataFrame, column: str) -> DataFrame:
     """Replace a numeric state code by its abbreviation; rows with an unknown code are dropped."""
     coded = df.withColumn("state_code", zero_fill(F.trim(F.col(column)), 2))
-    decoded = decode(coded, state_lookup(df.sparkSession), "state_code")
+    decoded = coded.join(F.broadcast(state_lookup(df.sparkSession)), "state_code")  # 27 rows
     return decoded.withColumn(column, F.col("state")).drop("state", "state_code").select(*df.columns)
 
 
@@ -37,18 +37,23 @@ def loaded_files(target: DataFrame) -> DataFrame:
     return target.select(file_id(F.col("id_log")).alias("id_arquivo")).distinct()
 
 
-def prepare(raw: DataFrame, group: str, types: dict[str, str], lineage: bool = True) -> DataFrame:
-    """Raw rows in the group's declared columns and types, with lineage."""
+def prepare(raw: DataFrame, group: str, types: dict[str, str]) -> DataFrame:
+    """Raw rows in the group's declared columns and types, with lineage.
+
+    Lineage is taken from file metadata, unless the rows bring all of it along.
+    Files without a state in their names are left out.
+    """
     own = {c: t for c, t in types.items() if c not in ("id", *LINEAGE)}
-    # Lineage reads file metadata, so it comes before the columns are renamed.
+    traced = raw if set(LINEAGE) <= set(raw.columns) else with_lineage(raw, group)
+    # Set aside under other names, as raw files may hold columns of the same names.
     origin = {f"__{c}": c for c in LINEAGE}
-    named = with_lineage(raw, group).withColumnsRenamed({c: o for o, c in origin.items()}) if lineage else raw
+    named = traced.withColumnsRenamed({c: o for o, c in origin.items()})
     named = drop_present(lower_names(named), ["id", *LINEAGE])
     if group == "SP":
         named = decode_state(named, "sp_uf")
         own["sp_uf"] = "CHAR(2)"
-    typed = align(convert_loader(trim_text(named), own), own, list(origin) if lineage else [])
-    return typed.withColumnsRenamed(origin).filter(F.col("uf").isNotNull()) if lineage else typed
+    typed = align(convert_loader(trim_text(named), own), own, list(origin))
+    return typed.withColumnsRenamed(origin).filter(F.col("uf").isNotNull())
 
 
 def pending_files(spark: SparkSession, source: str, group: str, target: DataFrame | None) -> DataFrame:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date
-from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +13,6 @@ from censa.functions.dates import full_year, period_start
 from censa.registry.groups import STATES, Request
 from censa.registry.types import struct_of
 
-if TYPE_CHECKING:
-    import pandas as pd
-
 # Fixed pattern: group code, state, two-digit year and month, optional part number.
 NAME_PATTERN = r"(?i)^([A-Z]+?)([A-Z]{2})([0-9]{4})(?:_[0-9]+)?\.parquet"
 FILE_ID_PATTERN = r"^(.*)_[0-9]+$"
@@ -164,26 +159,28 @@ def merged_columns(spark: SparkSession, *paths: str) -> list[str]:
 def file_columns(spark: SparkSession, *paths: str) -> DataFrame:
     """Column names of each data file below the paths; an unreadable file has none.
 
-    Only footers are read, in parallel, one file per row.
+    Only footers are read, in parallel, one file per row.  The task function is
+    local, so executors need pyarrow but not this package.
     """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).select("path")
-    return listing.mapInPandas(_footers, "path string, columns array<string>")
 
+    def names_in(path: str) -> list[str] | None:
+        import re
 
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(columns=[_names_in(path) for path in batch["path"]])
+        import pyarrow.parquet as pq
+        from pyarrow import fs
 
+        try:
+            system, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+            return [c.lower() for c in pq.read_schema(name, filesystem=system).names]
+        except (OSError, ValueError):
+            return None
 
-def _names_in(path: str) -> list[str] | None:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
+    def footers(batches):
+        for batch in batches:
+            yield batch.assign(columns=[names_in(path) for path in batch["path"]])
 
-    try:
-        system, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
-        return [c.lower() for c in pq.read_schema(name, filesystem=system).names]
-    except (OSError, ValueError):
-        return None
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).select("path")
+    return listing.mapInPandas(footers, "path string, columns array<string>")
 
 
 def valid_paths(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> list[str]:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from censa.plans.load import LINEAGE, prepare
+from censa.registry.groups import group_info
 from censa.sinks.files import write_partitioned
 from censa.sources.files import with_lineage
 
@@ -19,6 +21,7 @@ def load_new_files(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: list[str] | None = None,
+    group: str | None = None,
     files_per_batch: int = 1000,
 ) -> int:
     """Take up every file that arrived since the last run, then stop; returns the last batch number.
@@ -44,7 +47,7 @@ def load_new_files(
         .parquet(source)
     )
     query = (
-        with_lineage(stream)
+        with_lineage(stream, group)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -53,3 +56,15 @@ def load_new_files(
     query.awaitTermination()
     progress = query.lastProgress
     return progress["batchId"] if progress else -1
+
+
+def stream_group(spark: SparkSession, source: str, group: str, target: str, checkpoint: str) -> int:
+    """Load the new files of a group as ``load_group`` does, remembering files in the checkpoint.
+
+    Raw files are all text; a declared column a file lacks reads as null.
+    """
+    types = group_info(group)["columns"]
+    raw = T.StructType([T.StructField(c.upper(), T.StringType()) for c in types if c not in LINEAGE])
+    return load_new_files(
+        spark, source, raw, target, checkpoint, lambda batch: prepare(batch, group, types), ["uf", "competencia"], group
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from censa.operators import profile as pf
 from censa.operators.cleaning import trim_text
 from censa.operators.conversion import convert_with_errors, error_columns
+from censa.operators.joins import decode
 from censa.operators.reports import monthly_crosstab
 from censa.session import scratch_path
 from censa.sinks import files as fs
@@ -128,12 +129,18 @@ def compact_files(spark, folder):
     return spark.read.parquet(path)
 
 
-@check(f"SELECT year, hospital, procedure, m01, m12, total FROM ({_CROSSTAB})")
+@check(
+    f"""SELECT year, s_nationkey AS hospital, procedure, CAST(sum(m01) AS BIGINT) AS m01, CAST(sum(m12) AS BIGINT) AS m12,
+        CAST(sum(total) AS BIGINT) AS total FROM ({_CROSSTAB}) JOIN supplier ON s_suppkey = hospital GROUP BY 1, 2, 3"""
+)
 def report_files(spark, folder):
+    """One folder per year and hospital; the supplier's nation plays the hospital."""
     path = scratch_path(spark, "report")
     lines = spark.sql(_LINES.replace("FROM lineitem", "FROM {lines}"), lines=table(spark, folder, "lineitem"))
-    fs.export_report(monthly_crosstab(lines, "ano", "hospital", "proc", "mes"), path)
+    places = table(spark, folder, "supplier").selectExpr("s_suppkey AS hospital", "s_nationkey")
+    placed = decode(lines, places, "hospital")
+    fs.export_report(monthly_crosstab(placed, "ano", "s_nationkey", "proc", "mes"), path)
     months = ", ".join(f"m{m:02d} long" for m in range(1, 13))
-    schema = f"procedure string, {months}, total long, procedure_group string, year int, hospital long"
+    schema = f"procedure string, {months}, total long, procedure_group string, year int, hospital int"
     written = spark.read.option("header", True).schema(schema).csv(path)
     return written.select("year", "hospital", "procedure", "m01", "m12", "total")

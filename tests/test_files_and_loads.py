@@ -12,7 +12,7 @@ from censa.registry.groups import Request, group_types
 from censa.sinks import tables as ts
 from censa.sources import files
 from censa.streaming import ledger
-from censa.streaming.incremental import load_new_files
+from censa.streaming.incremental import load_new_files, stream_group
 from conftest import rows
 
 RD = "CNES string, N_AIH string, VAL_TOT string, DT_INTER string, ESPEC string"
@@ -215,6 +215,15 @@ def test_stream_takes_each_file_once(spark, folders, tmp_path):
         assert loaded.count() == 17 and loaded.select("id_log").distinct().count() == 17
 
 
+def test_group_stream_equals_the_batch_load(spark, folders, tmp_path):
+    source = str(folders / "SIH/RD")
+    load.load_group(spark, source, "RD", str(tmp_path / "batch"))
+    stream_group(spark, source, "RD", str(tmp_path / "stream"), str(tmp_path / "state"))
+    streamed = spark.read.parquet(str(tmp_path / "stream")).drop("batch")
+    batch = spark.read.parquet(str(tmp_path / "batch")).select(*streamed.columns)
+    assert rows(streamed) == rows(batch) and streamed.count() == 15
+
+
 def test_ledger(spark, tmp_path):
     keys = spark.createDataFrame([("RD", 2023, 1), ("RD", 2023, 1), ("SP", 2023, 2)], "g string, y int, m int")
     named = keys.select(ledger.progress_key(F.col("g"), F.col("y"), F.col("m")).alias(ledger.KEY))
