@@ -35,24 +35,16 @@ SHORT_INTEGER = "^[+-]?[0-9]{1,18}$"
 LONG_INTEGER = "^[+-]?[0-9]{19,}$"
 DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
-# Bits of the integer types.
-INTEGER_BITS = {"smallint": 16, "int": 32, "bigint": 64}
+# Bits of the integer types narrower than bigint.
+INTEGER_BITS = {"smallint": 16, "int": 32}
 
 
-def _to_integer(text: Column, kind: str) -> Column:
-    """Whole number of the text if it fits.
+def wide_value(text: Column, declared: str, boolean_rule: str = "map") -> Column:
+    """First half of a conversion: prepared text as the declared type, integers still as bigint.
 
     A failing cast throws and catches an exception per value, so what can be told
-    by pattern and range is kept away from it.
+    by pattern is kept away from it.
     """
-    top = 1 << (INTEGER_BITS[kind] - 1)
-    number = text.try_cast("bigint")
-    fits = F.when(number.between(-top, top - 1), number.cast(kind)) if kind != "bigint" else number
-    return F.when(text.rlike(SHORT_INTEGER), fits).when(text.rlike(LONG_INTEGER), text.try_cast(kind))
-
-
-def typed_value(text: Column, declared: str, boolean_rule: str = "map") -> Column:
-    """Prepared text (trimmed, blanks null) as the declared type, null when it does not fit."""
     target = spark_type(declared)
     if isinstance(target, T.StringType):
         return text
@@ -61,12 +53,22 @@ def typed_value(text: Column, declared: str, boolean_rule: str = "map") -> Colum
     if isinstance(target, T.BooleanType):
         return to_boolean(text, boolean_rule)
     if isinstance(target, T.IntegralType):
-        return _to_integer(text, target.simpleString())
+        number = text.try_cast("bigint")
+        return F.when(text.rlike(SHORT_INTEGER), number).when(text.rlike(LONG_INTEGER), number)
     if isinstance(target, (T.DecimalType, T.DoubleType)):
         return F.when(text.rlike(DECIMAL), text.try_cast(target))
     return text.try_cast(target)
 
 
+def narrow_value(wide: Column, declared: str) -> Column:
+    """Second half: integers cut to their declared range, null outside it."""
+    kind = spark_type(declared).simpleString()
+    if kind not in INTEGER_BITS:
+        return wide
+    top = 1 << (INTEGER_BITS[kind] - 1)
+    return F.when(wide.between(-top, top - 1), wide.cast(kind))
+
+
 def lost(text: Column, value: Column, declared: str, strict_digits: bool = False) -> Column:
     """Whether prepared text is present but its converted value is not.
 
@@ -82,7 +84,7 @@ def lost(text: Column, value: Column, declared: str, strict_digits: bool = False
 
 def to_type(c: Column, declared: str, boolean_rule: str = "map") -> Column:
     """Value of raw text as the declared type."""
-    return typed_value(blank_to_null(c), declared, boolean_rule)
+    return narrow_value(wide_value(blank_to_null(c), declared, boolean_rule), declared)
 
 
 def error_flag(failed: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from censa.functions.convert import error_flag, lost, to_type, typed_value
+from censa.functions.convert import error_flag, lost, narrow_value, wide_value
 from censa.functions.text import blank_to_null
 from censa.registry.types import spark_type
 
@@ -20,10 +20,10 @@ def error_name(column: str) -> str:
 
 
 def _staged(df: DataFrame, types: dict[str, str], columns: list[str], boolean_rule: str) -> DataFrame:
-    """Add prepared text ``__text_<i>`` and converted value ``__value_<i>`` of each column.
+    """Add prepared text ``__text_<i>`` and wide value ``__wide_<i>`` of each column.
 
     Two projections on top of each other: each text is prepared once and each value
-    converted once, however often the later expressions use them.
+    parsed once, however often the later expressions use them.
     """
     prepared = df.select(
         "*", *[blank_to_null(F.col(c).cast("string")).alias(f"__text_{i}") for i, c in enumerate(columns)]
@@ -31,16 +31,22 @@ def _staged(df: DataFrame, types: dict[str, str], columns: list[str], boolean_ru
     return prepared.select(
         "*",
         *[
-            typed_value(F.col(f"__text_{i}"), declared_type(types, c), boolean_rule).alias(f"__value_{i}")
+            wide_value(F.col(f"__text_{i}"), declared_type(types, c), boolean_rule).alias(f"__wide_{i}")
             for i, c in enumerate(columns)
         ],
     )
 
 
+def _values(types: dict[str, str], columns: list[str]) -> dict[str, Column]:
+    """Converted value per column of ``_staged``."""
+    return {c: narrow_value(F.col(f"__wide_{i}"), declared_type(types, c)) for i, c in enumerate(columns)}
+
+
 def _lost(types: dict[str, str], columns: list[str], strict_digits: bool) -> dict[str, Column]:
     """Per column, whether a present text was lost by the conversion of ``_staged``."""
+    value = _values(types, columns)
     return {
-        c: lost(F.col(f"__text_{i}"), F.col(f"__value_{i}"), declared_type(types, c), strict_digits)
+        c: lost(F.col(f"__text_{i}"), value[c], declared_type(types, c), strict_digits)
         for i, c in enumerate(columns)
     }
 
@@ -50,10 +56,11 @@ def convert_with_errors(
 ) -> DataFrame:
     """Every column as its declared type, each followed by its error flag column."""
     staged = _staged(df, types, df.columns, boolean_rule)
+    value = _values(types, df.columns)
     failed = _lost(types, df.columns, strict_digits)
     selected = []
-    for i, c in enumerate(df.columns):
-        selected.append(F.col(f"__value_{i}").alias(c))
+    for c in df.columns:
+        selected.append(value[c].alias(c))
         selected.append(error_flag(failed[c]).alias(error_name(c)))
     return staged.select(*selected)
 
@@ -86,7 +93,7 @@ def convert_quarantine(
     columns = [c for c in df.columns if _is_declared(types, c)]
     staged = _staged(df, types, columns, boolean_rule)
     failed = _lost(types, columns, strict_digits)
-    value = {c: F.col(f"__value_{i}").alias(c) for i, c in enumerate(columns)}
+    value = {c: v.alias(c) for c, v in _values(types, columns).items()}
     if not whole_column:
         kept = [F.when(failed[c], F.col(c)).alias(f"new_{c}") for c in columns]
         return staged.select(*[value.get(c, F.col(c)) for c in df.columns], *kept)
@@ -101,13 +108,9 @@ def convert_quarantine(
 
 def convert_loader(df: DataFrame, types: dict[str, str], boolean_rule: str = "map") -> DataFrame:
     """Declared columns converted, what does not fit null; other columns untouched."""
-    return df.withColumns(
-        {
-            c: to_type(F.col(c).cast("string"), declared_type(types, c), boolean_rule)
-            for c in df.columns
-            if _is_declared(types, c)
-        }
-    )
+    columns = [c for c in df.columns if _is_declared(types, c)]
+    value = {c: v.alias(c) for c, v in _values(types, columns).items()}
+    return _staged(df, types, columns, boolean_rule).select(*[value.get(c, F.col(c)) for c in df.columns])
 
 
 def convert_strict(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -115,12 +118,12 @@ def convert_strict(df: DataFrame, types: dict[str, str]) -> DataFrame:
     columns = [c for c in df.columns if _is_declared(types, c)]
     staged = _staged(df, types, columns, "map")
     failed = _lost(types, columns, strict_digits=False)
-    value = {}
+    converted, value = _values(types, columns), {}
     for i, c in enumerate(columns):
         declared = declared_type(types, c)
         message = F.concat(F.lit(f"{c} is no {declared}: "), F.col(f"__text_{i}"))
         stop = F.raise_error(message).cast(spark_type(declared))
-        value[c] = F.when(failed[c], stop).otherwise(F.col(f"__value_{i}")).alias(c)
+        value[c] = F.when(failed[c], stop).otherwise(converted[c]).alias(c)
     return staged.select(*[value.get(c, F.col(c)) for c in df.columns])
 
 

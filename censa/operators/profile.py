@@ -122,9 +122,9 @@ def column_profile(df: DataFrame, columns: Iterable[str] | None = None, sample:
     no, zero = F.lit(False), F.lit(0)
     text = F.col("is_text")
     return (
-        # One row per column of the frame on both sides.
-        F.broadcast(listed)
-        .join(metrics.join(samples, "column_name", "left"), "column_name", "left")
+        # One row per column of the frame on every side.
+        listed.join(F.broadcast(metrics), "column_name", "left")
+        .join(F.broadcast(samples), "column_name", "left")
         .select(
             "position",
             "column_name",
