@@ -74,7 +74,8 @@ def load_group(spark: SparkSession, source: str, group: str, target: str) -> lis
     if not pending:
         return []
     raw = spark.read.option("mergeSchema", True).parquet(*[row.path for row in pending])
-    write_partitioned(prepare(raw, group, types), target, ["uf", "competencia"], mode="append")
+    # Each source folder is one state and month, so the rows are written where they are read.
+    write_partitioned(prepare(raw, group, types), target, ["uf", "competencia"], mode="append", shuffle=False)
     return sorted(row.id_arquivo for row in pending)
 
 

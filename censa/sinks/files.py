@@ -17,9 +17,15 @@ def balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.sql(f"SELECT /*+ REBALANCE({keys}) */ * FROM {{rows}}", rows=df)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Sequence[str] = ("uf",), mode: str = "overwrite") -> None:
-    """Parquet folders per key value, in few files of even size."""
-    balanced(df, columns).write.mode(mode).partitionBy(*columns).parquet(path)
+def write_partitioned(
+    df: DataFrame, path: str, columns: Sequence[str] = ("uf",), mode: str = "overwrite", shuffle: bool = True
+) -> None:
+    """Parquet folders per key value, in few files of even size.
+
+    Rows that come grouped by key, as from one source folder per key, need no shuffle.
+    """
+    rows = balanced(df, columns) if shuffle else df
+    rows.write.mode(mode).partitionBy(*columns).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

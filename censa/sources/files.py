@@ -70,16 +70,10 @@ def row_batches(df: DataFrame, size: int = 10_000, out: str = "batch_no") -> Dat
     return df.withColumn(out, F.floor(F.col("_metadata.row_index") / size))
 
 
-def folder_globs(root: str, base: str, group: str, states: Sequence[str], months: Sequence[date]) -> list[str]:
-    """One glob per year for the wanted folders; folders that are not there match nothing."""
-    years: dict[str, list[str]] = {}
-    for month in months:
-        years.setdefault(f"{month:%y}", []).append(f"{month:%m}")
-    where = f"{root.rstrip('/')}/{base}/{group}"
-    wanted = "{" + ",".join(states) + "}"
-    return [
-        f"{where}/{group}{wanted}{yy}{{{','.join(mm)}}}{{,_*}}.parquet" for yy, mm in sorted(years.items())
-    ]
+def folder_glob(root: str, base: str, group: str, states: Sequence[str], months: Sequence[date]) -> str:
+    """Glob of the wanted folders and their parts; folders that are not there match nothing."""
+    wanted = [",".join(states), ",".join(f"{month:%y%m}" for month in months)]
+    return f"{root.rstrip('/')}/{base}/{group}/{group}{{{wanted[0]}}}{{{wanted[1]}}}{{,_*}}.parquet"
 
 
 def scan_folders(
@@ -92,28 +86,24 @@ def scan_folders(
     columns: Sequence[str] | None = None,
     types: dict[str, str] | None = None,
     skip_corrupt: bool = False,
-    merge_schema: bool = False,
+    merge_schema: bool = True,
 ) -> DataFrame:
     """Raw rows of the group's folders for the states and months.
 
-    The names select the folders, so Spark lists and opens nothing else.  ``types``
-    (column names of the group) gives the schema of an empty result.
+    The names select the folders, so Spark lists and opens nothing else.  Months may
+    differ in columns; ``merge_schema=False`` spares reading all footers where they
+    do not.  ``types`` (column names of the group) gives the schema of an empty result.
     """
     reader = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", skip_corrupt)
-    found = []
-    for glob in folder_globs(root, base, group, states or STATES, months):
+    if months:
         try:
-            reader.parquet(glob).schema
+            df = reader.parquet(folder_glob(root, base, group, states or STATES, months))
+            return df.select(*columns) if columns else df
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-        else:
-            found.append(glob)
-    if not found:
-        names = columns or list(types or {})
-        return spark.createDataFrame([], struct_of({c: "TEXT" for c in names}))
-    df = reader.parquet(*found)
-    return df.select(*columns) if columns else df
+    names = columns or list(types or {})
+    return spark.createDataFrame([], struct_of({c: "TEXT" for c in names}))
 
 
 def scan_request(spark: SparkSession, root: str, request: Request, **options) -> DataFrame:

@@ -35,7 +35,7 @@ def load_new_files(
         rows = transform(batch) if transform else batch
         path = f"{target}/batch={number}"
         if partition_by:
-            write_partitioned(rows, path, partition_by)
+            write_partitioned(rows, path, partition_by, shuffle=False)
         else:
             rows.write.mode("overwrite").parquet(path)
 

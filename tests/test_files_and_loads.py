@@ -67,6 +67,14 @@ def test_scan_columns_and_empty_result(spark, folders):
     assert none.count() == 0 and none.columns == ["CNES", "VAL_TOT"]
 
 
+def test_months_may_differ_in_columns(spark, folders):
+    write(spark, folders / "SIH/RD/RDSP2212.parquet", [("2077480", "new")], "CNES string, EXTRA string")
+    df = files.scan_request(spark, str(folders), request(period_start="12/2022", states=["SP"]))
+    assert "EXTRA" in df.columns and df.filter("EXTRA = 'new'").count() == 1 and df.count() == 13
+    reversed_period = request(period_start="03/2023")
+    assert files.scan_request(spark, str(folders), reversed_period, columns=["CNES"]).count() == 0
+
+
 def test_scan_skips_corrupt_files(spark, folders):
     (folders / "SIH/RD/RDSP2302.parquet/part-bad.parquet").write_bytes(b"PAR1 this is no parquet file PAR1")
     df = files.scan_folders(
