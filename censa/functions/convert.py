@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from censa.functions.dates import parse_date
+from censa.functions.dates import date_of
 from censa.functions.text import blank_to_null
 from censa.registry.types import spark_type
 
@@ -49,7 +49,7 @@ def wide_value(text: Column, declared: str, boolean_rule: str = "map") -> Column
     if isinstance(target, T.StringType):
         return text
     if isinstance(target, T.DateType):
-        return parse_date(text)
+        return date_of(text)
     if isinstance(target, T.BooleanType):
         return to_boolean(text, boolean_rule)
     if isinstance(target, T.IntegralType):

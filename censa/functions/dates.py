@@ -25,12 +25,16 @@ def _from_compact(text: Column) -> Column:
     return F.when(text.rlike(COMPACT_DATE), iso.try_cast("date"))
 
 
-def parse_date(c: Column) -> Column:
-    """Date of ``yyyyMMdd`` text, or of ISO text; anything else is null."""
-    text = F.trim(c)
+def date_of(text: Column) -> Column:
+    """Date of trimmed ``yyyyMMdd`` or ISO text; anything else is null."""
     return F.coalesce(_from_compact(text), F.when(text.rlike(ISO_DATE), text.try_cast("date")))
 
 
+def parse_date(c: Column) -> Column:
+    """The same for text with blanks around it."""
+    return date_of(F.trim(c))
+
+
 def is_compact_date(c: Column) -> Column:
     """Whether the text is eight characters that form a ``yyyyMMdd`` date."""
     return _from_compact(c).isNotNull()
