@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from censa.llm import packing, token_files
+from censa.llm import bpe, exact_dedup, packing, sharding, token_files, url_filter
 from censa.llm.shared import table
 from censa.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+SHARDS = 24
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -22,6 +25,17 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.sharded(table(spark, folder, "documents"), SHARDS)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"), TOKENIZER)
+
+
 @query
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
@@ -32,3 +46,35 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), TOKENIZER)
+
+
+@query
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judged(table(spark, folder, "pages"), rules)
+
+
+@query
+def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, folder, "documents"))
+
+
+ORACLES["op8_exact_dedup"] = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS s FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY s) AS kept, s AS text_sha256 FROM d
+"""
+
+#: The tables hold no canonical link or refresh (checked here), so every url stands alone.
+ORACLES["op6_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages WHERE NOT regexp_matches(coalesce(html, ''), '(?i)rel\s*=\s*["'']?canonical|http-equiv\s*=\s*["'']?refresh')
+), r(rhost, rpath, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+best AS (
+  SELECT page_id, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(action, length(rhost || rpath)) AS action
+  FROM p JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN best USING (page_id)
+"""
