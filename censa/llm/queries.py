@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censa.llm import bpe, exact_dedup, packing, sharding, token_files, url_filter
+from censa.llm import bpe, exact_dedup, fingerprints, packing, sharding, token_files, url_filter
 from censa.llm.shared import table
 from censa.session import scratch_path
 
@@ -59,6 +59,11 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(table(spark, folder, "documents"))
 
 
+@query
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared(table(spark, folder, "documents"))
+
+
 ORACLES["op8_exact_dedup"] = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS s FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
