@@ -20,59 +20,40 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import json
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from censa.llm.chunks import ChunkTable
 from censa.llm.shared import steps
+from censa.llm.tokens import ChunkEncoder, Splitter
 
 NEVER = np.iinfo(np.int64).max
-#: From here on what counts as a letter or digit depends on the Unicode version of a
-#: library, so such chunks are split into words by the tokenizer library itself.
-NEWER = "\u0500"
-
-
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in byte-level vocabularies."""
-    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 class Bpe:
     """A tokenizer file with a BPE model, byte-level letters and an end-of-word suffix."""
 
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        model, splitter = spec["model"], spec["pre_tokenizer"]["pretokenizers"][0]
-        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
-        if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or spec["decoder"] or not splitter["invert"]:
-            raise ValueError(f"{path} is another kind of tokenizer")
+        self.splitter = Splitter(path)
+        model, special = self.splitter.spec["model"], self.splitter.special
         vocabulary: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words = regex.compile(splitter["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
-        size = max(max(vocabulary.values()), *self.special.values()) + 1
-        self.library = Tokenizer.from_file(path)
+        size = max(max(vocabulary.values()), *special.values()) + 1
         self.text = [""] * size
-        for token, number in [*vocabulary.items(), *self.special.items()]:
+        for token, number in [*vocabulary.items(), *special.items()]:
             self.text[number] = token
         end = len(self.suffix)
         self.inner = {t: i for t, i in vocabulary.items() if not t.endswith(self.suffix)}
         self.last = {t[:-end]: i for t, i in vocabulary.items() if t.endswith(self.suffix)}
-        self.longest = max(map(len, self.inner | self.last))
-        self.letters = _byte_letters()
+        #: The longest token that starts with two letters.
+        self.reach: dict[str, int] = {}
+        for token in self.inner | self.last:
+            self.reach[token[:2]] = max(len(token), self.reach.get(token[:2], 1))
         self.rank = np.full(size, -1, np.int64)
         self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
@@ -90,26 +71,11 @@ class Bpe:
             raise ValueError(f"{path} has a token that is older than its parts")
         self.own: dict[int, bool] = {}
 
-    def pieces(self, chunk: str) -> list[str | int]:
-        """Words of a chunk in byte letters, and ids of special tokens."""
-        if self.specials and "<" in chunk and (parts := self.specials.split(chunk))[1:]:
-            return [p for part in parts if part for p in ([self.special[part]] if part in self.special else self.pieces(part))]
-        if chunk.isascii():
-            return self.words.findall(chunk.lower()) if chunk.isprintable() else [self._letters(w) for w in self.words.findall(chunk.lower())]
-        if max(chunk) >= NEWER:
-            normal = self.library.normalizer.normalize_str(chunk)
-            return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-        normal = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return [self._letters(w) for w in self.words.findall(normal)]
-
-    def _letters(self, word: str) -> str:
-        return word.encode("utf-8").decode("latin-1").translate(self.letters)
-
     def propose(self, word: str) -> list[int]:
         """Tokens by greedy longest match."""
         out, at, size = [], 0, len(word)
         while at < size:
-            for stop in range(min(size, at + self.longest), at, -1):
+            for stop in range(min(size, at + self.reach.get(word[at : at + 2], 1)), at, -1):
                 token = (self.last if stop == size else self.inner).get(word[at:stop])
                 if token is not None:
                     out.append(token)
@@ -202,13 +168,6 @@ class Bpe:
             proposed[at] = self.merge(words[at])
         return proposed
 
-    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        """The ids of each chunk (text without white space)."""
-        split = [self.pieces(c) for c in chunks]
-        words = list(dict.fromkeys(p for parts in split for p in parts if isinstance(p, str)))
-        ids: dict[str | int, list[int]] = dict(zip(words, self.encode_words(words), strict=True)) if words else {}
-        return [[t for p in parts for t in (ids[p] if isinstance(p, str) else (p,))] for parts in split]
-
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by spaces, as a file without a decoder has it."""
         return " ".join(map(self.text.__getitem__, ids))
@@ -217,7 +176,7 @@ class Bpe:
 @lru_cache(maxsize=2)
 def coder(path: str) -> tuple[Bpe, ChunkTable]:
     bpe = Bpe(path)
-    return bpe, ChunkTable(bpe.encode_chunks, np.int32)
+    return bpe, ChunkTable(ChunkEncoder(bpe.splitter, bpe.encode_words), np.int32)
 
 
 def encoded(documents: DataFrame, tokenizer: str) -> DataFrame:

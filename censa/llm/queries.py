@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censa.llm import bpe, exact_dedup, fingerprints, packing, sharding, token_files, url_filter
-from censa.llm.shared import table
+from censa.llm import bpe, exact_dedup, fingerprints, near_dedup, packing, sharding, token_files, url_filter
+from censa.llm.shared import shipped, table
 from censa.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,8 +22,15 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query under its function's name."""
+
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        shipped(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @query
@@ -36,6 +44,11 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), TOKENIZER)
 
 
+@query
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(table(spark, folder, "documents"))
+
+
 @query
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")

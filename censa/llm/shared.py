@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,13 +16,23 @@ from pyspark.sql.window import Window
 from censa.session import scratch_path
 
 #: Text handed to one step of Python code, in bytes; a longer text is a step of its own.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def shipped(spark: SparkSession) -> None:
+    """Hand this package to the executors, once for each application, as ``--py-files`` would."""
+    package = Path(__file__).resolve().parent.parent
+    context = spark.sparkContext
+    if getattr(context, "_censa_shipped", None) != context.applicationId:
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        context._censa_shipped = context.applicationId
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """The rows, written once to the shared folder and read from there.
 

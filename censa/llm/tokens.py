@@ -1,35 +1,91 @@
-"""Token ids of whole texts by a public tokenizer file, through the ``tokenizers`` library.
+"""Words of chunks as a tokenizer file makes them, and token ids through the ``tokenizers`` library.
 
-The file's pre-tokenizer never joins text across white space, so the library encodes
-each distinct chunk once and texts are put together from the chunks' ids.  ``encoder``
-checks that property on the file; another kind of file is refused.
+Files of one kind are served: NFC, white space and lower-casing normalisers, a splitting
+pattern that drops white space, byte-level letters and a BPE model.  Nothing in them joins
+text across white space, so chunks between white space stand for themselves, and words
+repeat: the library's model sees each distinct word once in a while.
 """
 
 from __future__ import annotations
 
-import os
+import json
+import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import regex
+from tokenizers import Tokenizer
 
 from censa.llm.chunks import ChunkTable
 
+#: From here on what counts as a letter or digit depends on the Unicode version of a
+#: library, so such chunks are split into words by the tokenizer library itself.
+NEWER = "Ԁ"
+#: Words whose ids are remembered; then the memory starts anew.
+WORDS = 200_000
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> ChunkTable:
-    """Texts to ids, without special tokens added, truncation or padding."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class Splitter:
+    """Chunks to words in byte letters, and to ids where a chunk holds a special token."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            self.spec = spec = json.load(file)
+        splitter = spec["pre_tokenizer"]["pretokenizers"][0]
+        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
+        if spec["model"]["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or spec["decoder"] or not splitter["invert"]:
+            raise ValueError(f"{path} is another kind of tokenizer")
+        self.library = Tokenizer.from_file(path)
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.words = regex.compile(splitter["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        self.letters = _byte_letters()
+
+    def pieces(self, chunk: str) -> list[str | int]:
+        if "<" in chunk and (parts := self.specials.split(chunk))[1:]:
+            return [p for part in parts if part for p in ([self.special[part]] if part in self.special else self.pieces(part))]
+        if chunk.isascii():
+            words = self.words.findall(chunk.lower())
+            return words if chunk.isprintable() else [self._letters(w) for w in words]
+        if max(chunk) >= NEWER:
+            normal = self.library.normalizer.normalize_str(chunk)
+            return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+        normal = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        return [self._letters(w) for w in self.words.findall(normal)]
+
+    def _letters(self, word: str) -> str:
+        return word.encode("utf-8").decode("latin-1").translate(self.letters)
 
-    def ids(chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    probe = ["a b", "a", "b", " \t\na"]
-    whole, left, right, spaced = ids(probe)
-    if whole != left + right or spaced != left:
-        raise ValueError(f"{path} does not drop white space between words")
-    return ChunkTable(ids, np.uint32)
+class ChunkEncoder:
+    """Ids of chunks by way of their words; ``encode_words`` gives the ids of words."""
+
+    def __init__(self, splitter: Splitter, encode_words: Callable[[list[str]], list[list[int]]]) -> None:
+        self.splitter, self.encode_words = splitter, encode_words
+        self.known: dict[str, list[int]] = {}
+
+    def __call__(self, chunks: list[str]) -> list[list[int]]:
+        if len(self.known) > WORDS:
+            self.known = {}
+        split = [self.splitter.pieces(c) for c in chunks]
+        known = self.known
+        new = list(dict.fromkeys(p for parts in split for p in parts if isinstance(p, str) and p not in known))
+        if new:
+            known.update(zip(new, self.encode_words(new), strict=True))
+        return [[t for p in parts for t in (known[p] if isinstance(p, str) else (p,))] if len(parts) != 1 or isinstance(parts[0], int) else known[parts[0]] for parts in split]
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> ChunkTable:
+    """Texts to ids, without special tokens added, truncation or padding."""
+    splitter = Splitter(path)
+    tokenize = splitter.library.model.tokenize
+    return ChunkTable(ChunkEncoder(splitter, lambda words: [[t.id for t in tokenize(w)] for w in words]), np.uint32)
