@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censa.llm import bpe, exact_dedup, fingerprints, near_dedup, packing, sharding, token_files, url_filter
+from censa.llm import bpe, exact_dedup, fingerprints, license_scan, near_dedup, packing, sharding, token_files, toxicity, url_filter
 from censa.llm.shared import shipped, table
 from censa.session import scratch_path
 
@@ -61,6 +61,11 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), TOKENIZER)
 
 
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scanned(table(spark, folder, "documents"))
+
+
 @query
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
@@ -72,6 +77,12 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(table(spark, folder, "documents"))
 
 
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.scored(documents, toxicity.trained(documents, table(spark, folder, "labels")))
+
+
 @query
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compared(table(spark, folder, "documents"))
