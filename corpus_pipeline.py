@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents through toxicity, exact dedup, near dedup and packing."""
+"""The corpus pipeline: documents through toxicity, exact dedup, near dedup and packing.
+
+Each stage works on all that the one before it kept; the first three return the columns
+of ``documents``, the last the places of all pieces.
+"""
 
 from __future__ import annotations
 
@@ -6,17 +10,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from censa.llm import packing
+from censa.llm import exact_dedup, near_dedup, packing, toxicity
 from censa.llm.queries import TOKENIZER
-from censa.llm.shared import kept, table
+from censa.llm.shared import kept, shipped, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the threshold of their language."""
+    shipped(spark)
+    return toxicity.accepted(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    shipped(spark)
+    return exact_dedup.deduplicated(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    shipped(spark)
+    return near_dedup.deduplicated(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of the pieces of all documents in sequences of at most 4096 tokens."""
+    shipped(spark)
     return packing.packed(docs, TOKENIZER)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", pack)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("packing", pack),
+]
 
 #: A trained score, a similarity and a packing are not SQL.
 ORACLE_SQL: str | None = None
