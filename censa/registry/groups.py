@@ -144,6 +144,8 @@ class Request:
             raise ValueError(f"base must be one of {sorted(BASES)}")
         if self.group not in BASES[self.base]:
             raise ValueError(f"group {self.group} is not published by {self.base}")
+        if self.group not in default_groups() or self.group not in FACILITY_COLUMNS:
+            raise ValueError(f"group {self.group} has no declared columns to extract")
         if not self.facilities or not self.fields:
             raise ValueError("facilities and fields must not be empty")
         if self.facilities != ALL_FACILITIES:
@@ -153,8 +155,8 @@ class Request:
         unknown = sorted(set(self.states) - set(STATES))
         if unknown or not self.states:
             raise ValueError(f"unknown states: {unknown}")
-        parse_period(self.period_start)
-        parse_period(self.period_end)
+        if parse_period(self.period_end) < parse_period(self.period_start):
+            raise ValueError(f"the period ends ({self.period_end}) before it starts ({self.period_start})")
 
     @property
     def months(self) -> list[date]:

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from censa.registry import groups as g
-from censa.registry.schemas import default_groups, load_type_map
+from censa.registry.schemas import default_groups, load_type_map, loader_types
 
 VALID = {
     "base": "SIH",
@@ -45,8 +45,12 @@ def test_bad_requests(change):
         g.Request(**{**VALID, **change})
 
 
-def test_reversed_period_is_empty():
-    assert g.Request(**{**VALID, "period_start": "03/2023"}).months == []
+def test_reversed_period_and_groups_without_columns_are_errors():
+    with pytest.raises(ValueError, match="before it starts"):
+        g.Request(**{**VALID, "period_start": "03/2023"})
+    for base, group in (("SIH", "CH"), ("SIA", "PS"), ("SIA", "SAD")):
+        with pytest.raises(ValueError, match="no declared columns"):
+            g.Request(**{**VALID, "base": base, "group": group})
 
 
 def test_group_lookup():
@@ -77,6 +81,9 @@ def test_declared_schemas():
         "AM": 53, "AMP": 67, "AN": 62, "AQ": 76, "AR": 76, "ATD": 67,
     }
     assert default_groups()["AQ"]["columns"]["ap_obito"] == "BOOLEAN"
+    assert default_groups()["AB"]["columns"]["ab_dtcirur"] == "CHAR(8)"
+    assert loader_types("RD")["n_aih"] == "BIGINT" and loader_types("RD")["uf_zi"] == "INTEGER"
+    assert loader_types("PA") == default_groups()["PA"]["columns"]
 
 
 def test_type_map_file(tmp_path):
