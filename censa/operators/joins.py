@@ -1,4 +1,9 @@
-"""Joins against key sets and lookups, broadcast only when the measured size allows it."""
+"""Joins against key sets and lookups.
+
+All are lazy.  Neither side has a known bound, so Spark picks the join at run time: it
+broadcasts a side whose shuffled size is within the session's adaptive threshold, and
+else splits hot keys (adaptive skew join).
+"""
 
 from __future__ import annotations
 
@@ -6,61 +11,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A side is broadcast up to this many measured bytes.  Beyond, Spark shuffles both
-# sides and splits hot keys at run time (adaptive skew join).
-BROADCAST_BYTES = 64 * 1024 * 1024
-# First-match lookups are written into the plan up to this many patterns.
-MAX_PATTERNS = 1000
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Approximate in-memory size: text by length, other columns at a flat rate."""
-    per_row: list = []
-    for f in df.schema.fields:
-        text = isinstance(f.dataType, (T.StringType, T.BinaryType))
-        per_row.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 16 if text else F.lit(16))
-    total = F.sum(sum(per_row, F.lit(16)).cast("long"))
-    return df.agg(F.coalesce(total, F.lit(0)).alias("bytes")).first()["bytes"]
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark the frame for broadcast if its measured size is within ``limit``."""
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
-def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys``."""
     names = [on] if isinstance(on, str) else list(on)
-    return df.join(small_side(keys.select(*names).distinct(), limit), names, "left_semi")
+    return df.join(keys.select(*names), names, "left_semi")
 
 
-def anti_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+def anti_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys``."""
     names = [on] if isinstance(on, str) else list(on)
-    return df.join(small_side(keys.select(*names).distinct(), limit), names, "left_anti")
+    return df.join(keys.select(*names), names, "left_anti")
 
 
-def decode(df: DataFrame, lookup: DataFrame, on: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Join a code to its lookup row; rows with an unknown code are dropped."""
-    return df.join(small_side(lookup, limit), on)
+def decode(df: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
+    """Join a code to its lookup row; rows with an unknown code are dropped (see ``unmapped``)."""
+    return df.join(lookup, on)
 
 
-def unmapped(df: DataFrame, lookup: DataFrame, on: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+def unmapped(df: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
     """Distinct codes without a lookup row, null included."""
-    return anti_join(df.select(on).distinct(), lookup, on, limit)
+    return anti_join(df.select(on).distinct(), lookup, on)
 
 
 def first_contained(df: DataFrame, name: str, patterns: Sequence[tuple[str, str]], out: str) -> DataFrame:
     """Label of the first pattern contained in the text of ``name``; rows without one are dropped.
 
-    The patterns are an ordered, bounded list, so this is a projection and no join.
+    The patterns are one ordered array value, so the plan does not grow with them.
     """
-    if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"at most {MAX_PATTERNS} patterns")
-    label = F.coalesce(
-        F.lit(None).cast("string"),
-        *[F.when(F.col(name).contains(text), F.lit(code)) for text, code in patterns],
-    )
-    return df.withColumn(out, label).filter(F.col(out).isNotNull())
+    listed = F.array(*[F.struct(F.lit(text).alias("text"), F.lit(code).alias("code")) for text, code in patterns])
+    hits = F.filter(listed, lambda p: F.col(name).contains(p["text"]))
+    return df.withColumn(out, F.get(hits, F.lit(0))["code"]).filter(F.col(out).isNotNull())

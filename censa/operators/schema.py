@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from censa.functions.text import normalized
 from censa.registry.types import spark_type, struct_of
 
+# The columns every loaded table carries.
 SERVICE_COLUMNS = {"id": "SERIAL PRIMARY KEY", "id_log": "VARCHAR(255)", "uf": "CHAR(2)"}
 
 

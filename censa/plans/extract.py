@@ -35,9 +35,9 @@ def extract(spark: SparkSession, root: str, request: Request, facility: str | No
     return convert_with_errors(_selected(spark, root, request, facility), types, **options)
 
 
-def _selected(spark: SparkSession, root: str, request: Request, facility: str | None) -> DataFrame:
+def _selected(spark: SparkSession, root: str, request: Request, facility: str | None, required: bool = False) -> DataFrame:
     types = group_types(request.group)
-    raw = scan_request(spark, root, request, types={c.upper(): t for c, t in types.items()})
+    raw = scan_request(spark, root, request, types={c.upper(): t for c, t in types.items()}, required=required)
     return select_raw(raw, request.fields, facility or facility_column(request.group), request.facilities)
 
 
@@ -58,15 +58,19 @@ def extract_to_table(
     target_root: str,
     facility: str | None = None,
     grouped: bool = False,
+    allow_missing: bool = False,
     **options,
 ) -> Extracted:
     """Run a request and publish the result; one read of the source in all.
 
     Text statistics, error counts and the row count are observed during the write.
-    ``grouped`` publishes rows per combination of the requested fields instead.
+    ``grouped`` publishes rows per combination of the requested fields instead; its text
+    count is taken below a shuffle, so a task that runs again counts twice there.
+    A period without any folder is an error and the table stays as it was, unless
+    ``allow_missing``.
     """
     seen = Observation(f"extract-{uuid.uuid4().hex}")
-    selected = _selected(spark, root, request, facility)
+    selected = _selected(spark, root, request, facility, required=not allow_missing)
     counted = selected.observe(seen, F.count_if(any_text(selected)).alias("n_with_text"))
     df = convert_with_errors(counted, group_types(request.group), **options)
     flags = [] if grouped else error_columns(df)

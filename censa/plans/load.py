@@ -11,10 +11,12 @@ from censa.operators.cleaning import trim_text
 from censa.operators.conversion import convert_loader
 from censa.operators.joins import anti_join
 from censa.operators.schema import align, drop_present, lower_names
-from censa.registry.groups import STATE_CODES, group_info
+from censa.registry.groups import STATE_CODES
+from censa.registry.schemas import loader_types
 from censa.sinks.files import write_partitioned
 from censa.sources.files import discover_files, file_id, with_lineage
 
+TAKEN, UNKNOWN_STATES = "_taken", "_unknown_states"
 LINEAGE = ["uf", "competencia", "id_arquivo", "id_log"]
 
 
@@ -56,26 +58,47 @@ def prepare(raw: DataFrame, group: str, types: dict[str, str]) -> DataFrame:
     return typed.withColumnsRenamed(origin).filter(F.col("uf").isNotNull())
 
 
-def pending_files(spark: SparkSession, source: str, group: str, target: DataFrame | None) -> DataFrame:
-    """Group files below ``source`` the target does not hold."""
+def unknown_states(raw: DataFrame, column: str = "sp_uf") -> DataFrame:
+    """State codes that ``decode_state`` drops, with their rows, by file."""
+    named = lower_names(with_lineage(raw, "SP", ["id_arquivo"]))
+    coded = named.select("id_arquivo", F.col(column).alias("code"), zero_fill(F.trim(F.col(column)), 2).alias("state_code"))
+    lookup = F.broadcast(state_lookup(raw.sparkSession))  # 27 rows
+    dropped = coded.join(lookup, "state_code", "left_anti")
+    return dropped.groupBy("id_arquivo", "code").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def pending_files(
+    spark: SparkSession, source: str, group: str, target: DataFrame | None, taken: DataFrame | None = None
+) -> DataFrame:
+    """Group files below ``source`` that neither the target nor the list of files taken up holds."""
     files = discover_files(spark, source, group)
-    return files if target is None else anti_join(files, loaded_files(target), "id_arquivo")
+    for held in (target, taken):
+        if held is not None:
+            files = anti_join(files, loaded_files(held), "id_arquivo")
+    return files
 
 
 def load_group(spark: SparkSession, source: str, group: str, target: str) -> list[str]:
     """Append the pending files of a group to the target folder; returns their ids.
 
     Only the names of the pending files reach the driver.  The write is one job, so
-    a failed load leaves nothing half loaded.
+    a failed load leaves nothing half loaded.  Files taken up are listed in the target's
+    ``_taken`` folder, so one without rows is not taken up again, and SP rows of unknown
+    state codes are counted in ``_unknown_states``; Spark's readers skip both folders.
+    The types are those the bulk load declares.
     """
-    types = group_info(group)["columns"]
+    types = loader_types(group)
     held = stored(spark, target, "id_arquivo string")
-    pending = pending_files(spark, source, group, held).select("path", "id_arquivo").collect()
+    taken = stored(spark, f"{target}/{TAKEN}", "id_arquivo string")
+    pending = pending_files(spark, source, group, held, taken).select("path", "id_arquivo").collect()
     if not pending:
         return []
     raw = spark.read.option("mergeSchema", True).parquet(*[row.path for row in pending])
     # Each source folder is one state and month, so the rows are written where they are read.
+    if group == "SP":
+        unknown_states(raw).write.mode("append").parquet(f"{target}/{UNKNOWN_STATES}")
     write_partitioned(prepare(raw, group, types), target, ["uf", "competencia"], mode="append", shuffle=False)
+    spark.createDataFrame([(row.id_arquivo,) for row in pending], "id_arquivo string").write.mode("append").parquet(f"{target}/{TAKEN}")
     return sorted(row.id_arquivo for row in pending)
 
 

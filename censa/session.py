@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Engine defaults.  Partition counts adapt at run time: the initial number is high
-# and small partitions are merged, so one setting serves a laptop and a cluster.
+# Engine defaults.  Partition counts adapt at run time: shuffles start with many
+# partitions, which bounds a task's share at scale, and small ones are merged.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.shuffle.partitions": "4000",
+    # A join side of at most this many shuffled bytes is broadcast instead.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     # Hot join keys are split even where that costs the aggregation above a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -42,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="censa-")
     spark.sparkContext.setCheckpointDir(folder)

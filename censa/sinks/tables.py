@@ -38,10 +38,33 @@ def typed(df: DataFrame, types: dict[str, str] | None) -> DataFrame:
 
 
 def register(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
-    """Point a catalog table at parquet files; columns may be fewer than in the files."""
+    """Point a catalog table at parquet files; columns may be fewer than in the files.
+
+    The new table is complete under a name of its own before it takes the old one's place.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
+    new = f"{table}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {new} ({columns}) USING parquet LOCATION '{path}'")
+    swap(spark, new, table)
+
+
+def location(spark: SparkSession, table: str) -> str | None:
+    """Folder of a catalog table, or nothing when there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").select("data_type").collect()
+    return rows[0][0] if rows else None
+
+
+def _remove_below(spark: SparkSession, folder: str | None, root: str) -> None:
+    """Delete the folder of a replaced table if it lies below ``root``."""
+    if not folder:
+        return
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old, top = (files.makeQualified(path(p)).toString().rstrip("/") for p in (folder, root))
+    if old.startswith(f"{top}/"):
+        files.delete(path(folder), True)
 
 
 @dataclass
@@ -65,7 +88,8 @@ def publish(
     The rows go to a fresh folder below ``root``; the table moves there only after
     the counts agree, so a failed run leaves the old table as it was.  Row and
     ``optional`` column counts are observed while writing, and optional columns
-    (error flags) without a value are left out of the table.
+    (error flags) without a value are left out of the table.  The folder of the table
+    that was replaced is deleted if it lies below ``root``.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{table.replace('.', '_')}-{uuid.uuid4().hex}"
@@ -78,7 +102,9 @@ def publish(
     written = spark.read.schema(result.schema).parquet(path)
     n_rows = reconcile(counts["__rows"], written.count())
     used = [f for f in result.schema.fields if f.name not in optional or counts[f.name] > 0]
+    before = location(spark, table)
     register(spark, table, path, T.StructType(used))
+    _remove_below(spark, before, root)
     return Published(spark.table(table), n_rows, {c: counts[c] for c in optional})
 
 
@@ -139,14 +165,29 @@ def evolve_and_append(df: DataFrame, table: str) -> None:
 
 
 def swap(spark: SparkSession, new: str, current: str) -> None:
-    """Put ``new`` in the place of ``current``."""
-    spark.sql(f"DROP TABLE IF EXISTS {current}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {current}")
-
-
-def write_jdbc(df: DataFrame, url: str, table: str, types: dict[str, str] | None = None, mode: str = "append") -> None:
-    """Write to a database table in batches, with declared types and text lengths on creation."""
-    writer = typed(df, types).write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
+    """Put ``new`` in the place of ``current``, which stays under another name until that is done."""
+    old = f"{current}_{uuid.uuid4().hex}"
+    replaced = spark.catalog.tableExists(current)
+    if replaced:
+        spark.sql(f"ALTER TABLE {current} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {current}")
+    except Exception:
+        if replaced:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {current}")
+        raise
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
+
+
+def write_jdbc(
+    df: DataFrame, url: str, table: str, types: dict[str, str] | None = None, mode: str = "append", **properties: str
+) -> None:
+    """Write to a database table in batches, with declared types and text lengths on creation.
+
+    ``properties`` are connection properties such as ``user``, ``password`` and ``driver``.
+    """
+    writer = typed(df, types).write.format("jdbc").options(**properties).mode(mode).option("url", url).option("dbtable", table)
     declared = {c.lower(): t for c, t in (types or {}).items()}
     lengths = [f"{c} {declared[c.lower()]}" for c in df.columns if text_length(declared.get(c.lower(), ""))]
     if lengths:
@@ -160,7 +201,7 @@ def publish_jdbc(df: DataFrame, url: str, table: str, types: dict[str, str] | No
     The rows are counted while they are written; the database counts its own.
     """
     seen = Observation(f"jdbc-{uuid.uuid4().hex}")
-    write_jdbc(df.observe(seen, F.count(F.lit(1)).alias("n")), url, table, types, mode="overwrite")
+    write_jdbc(df.observe(seen, F.count(F.lit(1)).alias("n")), url, table, types, mode="overwrite", **properties)
     stored = read_jdbc(df.sparkSession, url, f"(SELECT COUNT(*) AS n FROM {table}) counted", **properties)
     return reconcile(seen.get["n"], stored.first()[0])
 

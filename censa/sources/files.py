@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censa.functions.dates import full_year, period_start
-from censa.registry.groups import STATES, Request
+from censa.registry.groups import GROUP_DESCRIPTIONS, STATES, Request
 from censa.registry.types import struct_of
 
 # Fixed pattern: group code, state, two-digit year and month, optional part number.
-NAME_PATTERN = r"(?i)^([A-Z]+?)([A-Z]{2})([0-9]{4})(?:_[0-9]+)?\.parquet"
+ANY_STATE = "|".join(STATES)
+NAME_PATTERN = rf"(?i)^([A-Z]+?)({ANY_STATE})([0-9]{{4}})(?:_[0-9]+)?\.parquet"
 FILE_ID_PATTERN = r"^(.*)_[0-9]+$"
 
 
@@ -30,12 +31,20 @@ def name_part(name: Column, group: str | None, part: int) -> Column:
     return F.nullif(F.upper(F.regexp_extract(name, pattern, part)), F.lit(""))
 
 
-def extract_state(name: Column, group: str) -> Column:
-    """State after the group code at the start of a name, any case, else null.
+def group_start(group: str) -> str:
+    """Pattern of a name's start: the group code and, as group 1, a state.
 
     Only real states count: a data file named ``part-...`` is no ``PA`` file of a state RT.
+    Where a longer registered code fits the name too (AM, AMP), the name is that one's.
     """
-    return F.nullif(F.upper(F.regexp_extract(name, f"(?i)^{group}({'|'.join(STATES)})", 1)), F.lit(""))
+    longer = [code for code in GROUP_DESCRIPTIONS if code.startswith(group.upper()) and code != group.upper()]
+    other = f"(?!(?:{'|'.join(longer)})(?:{ANY_STATE}))" if longer else ""
+    return f"(?i)^{other}{group}({ANY_STATE})"
+
+
+def extract_state(name: Column, group: str) -> Column:
+    """State after the group code at the start of a name, any case, else null."""
+    return F.nullif(F.upper(F.regexp_extract(name, group_start(group), 1)), F.lit(""))
 
 
 def file_id(lineage: Column) -> Column:
@@ -87,12 +96,14 @@ def scan_folders(
     types: dict[str, str] | None = None,
     skip_corrupt: bool = False,
     merge_schema: bool = True,
+    required: bool = False,
 ) -> DataFrame:
     """Raw rows of the group's folders for the states and months.
 
     The names select the folders, so Spark lists and opens nothing else.  Months may
     differ in columns; ``merge_schema=False`` spares reading all footers where they
-    do not.  ``types`` (column names of the group) gives the schema of an empty result.
+    do not.  ``types`` (column names of the group) gives the schema of an empty result;
+    ``required`` makes it an error that no folder is there.
     """
     reader = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", skip_corrupt)
     if months:
@@ -102,6 +113,8 @@ def scan_folders(
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
+    if required:
+        raise FileNotFoundError(f"no folder of {base}/{group} below {root} for the states and months asked for")
     names = columns or list(types or {})
     return spark.createDataFrame([], struct_of({c: "TEXT" for c in names}))
 
@@ -130,8 +143,7 @@ def discover_files(spark: SparkSession, root: str, group: str | None = None) ->
     listing = listing.withColumn("id_arquivo", F.concat_ws("_", "folder", "file_name"))
     if group is None:
         return listing
-    # The digit after the state keeps groups apart whose codes start alike (AB, ABO).
-    pattern = f"(?i)^{group}([A-Z]{{2}})[0-9].*\\.parquet$"
+    pattern = f"{group_start(group)}.+\\.parquet$"
     states = [F.nullif(F.upper(F.regexp_extract(c, pattern, 1)), F.lit("")) for c in ("file_name", "folder")]
     return listing.withColumn("uf", F.coalesce(*states)).filter(F.col("uf").isNotNull())
 
@@ -147,37 +159,47 @@ def merged_columns(spark: SparkSession, *paths: str) -> list[str]:
 
 
 def file_columns(spark: SparkSession, *paths: str) -> DataFrame:
-    """Column names of each data file below the paths; an unreadable file has none.
+    """Column names of each data file below the paths; a file that is no Parquet has a ``reason`` instead.
 
-    Only footers are read, in parallel, one file per row.  The task function is
-    local, so executors need pyarrow but not this package.
+    Only footers are read, in parallel, one file per row.  A store that pyarrow does not
+    know, and a file that cannot be reached, are errors: they say nothing about the file.
+    The task function is local, so executors need pyarrow but not this package.
     """
 
-    def names_in(path: str) -> list[str] | None:
+    def footer(path: str) -> tuple[list[str] | None, str | None]:
         import re
 
+        import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        try:
-            system, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
-            return [c.lower() for c in pq.read_schema(name, filesystem=system).names]
-        except (OSError, ValueError):
-            return None
+        system, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+        with system.open_input_file(name) as file:
+            try:
+                return [c.lower() for c in pq.read_schema(file).names], None
+            except pa.ArrowInvalid as corrupt:
+                return None, str(corrupt)
 
     def footers(batches):
         for batch in batches:
-            yield batch.assign(columns=[names_in(path) for path in batch["path"]])
+            found = [footer(path) for path in batch["path"]]
+            yield batch.assign(columns=[names for names, _ in found], reason=[why for _, why in found])
 
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).select("path")
-    return listing.mapInPandas(footers, "path string, columns array<string>")
+    return listing.mapInPandas(footers, "path string, columns array<string>, reason string")
+
+
+def checked_files(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> DataFrame:
+    """``path`` and ``reason`` of each data file: null for a valid one, else why it is rejected."""
+    wanted = F.array(*[F.lit(c.lower()) for c in types])
+    absent = F.array_except(wanted, F.col("columns"))
+    lacks = F.when(F.size(absent) > 0, F.concat(F.lit("columns missing: "), F.array_join(absent, ", ")))
+    return file_columns(spark, *paths).select("path", F.coalesce("reason", lacks).alias("reason"))
 
 
 def valid_paths(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> list[str]:
     """Data files below the paths that can be read and hold every declared column."""
-    wanted = F.array(*[F.lit(c.lower()) for c in types])
-    fits = F.size(F.array_except(wanted, F.col("columns"))) == 0
-    valid = file_columns(spark, *paths).filter(fits & F.col("columns").isNotNull())
+    valid = checked_files(spark, paths, types).filter(F.col("reason").isNull())
     return sorted(row.path for row in valid.select("path").collect())
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from censa.plans.load import LINEAGE, prepare
-from censa.registry.groups import group_info
+from censa.registry.schemas import loader_types
 from censa.sinks.files import write_partitioned
 from censa.sources.files import with_lineage
 
@@ -63,7 +63,7 @@ def stream_group(spark: SparkSession, source: str, group: str, target: str, chec
 
     Raw files are all text; a declared column a file lacks reads as null.
     """
-    types = group_info(group)["columns"]
+    types = loader_types(group)
     raw = T.StructType([T.StructField(c.upper(), T.StringType()) for c in types if c not in LINEAGE])
     return load_new_files(
         spark, source, raw, target, checkpoint, lambda batch: prepare(batch, group, types), ["uf", "competencia"], group

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from censa.plans import consolidate as consolidation
 from censa.plans import extract, infer, load, merge, monthly, report, upload
 from censa.registry.groups import Request
 from censa.session import scratch_path
@@ -29,6 +30,9 @@ _HALF = "CASE WHEN substr(dt_inter, 1, 6) > '199805' THEN 1 ELSE 0 END"
 _MONTH = f"CASE WHEN {_HALF} = 1 THEN DATE '1998-11-01' ELSE DATE '1997-03-01' END"
 _RD_COLUMNS = ["sequencia", "cnes", "val_tot", "dt_inter", "qt_diarias", "munic_res", "homonimo", "espec"]
 
+# The bulk load declares the facility code as a number.
+_LOADED_SQL = {**VALUE_SQL, "cnes": f"TRY_CAST({VALUE_SQL['cnes']} AS INTEGER)"}
+
 
 def raw_folders(spark, folder, root: str, months: tuple[str, ...] = ("9703", "9811")) -> str:
     """Write all raw records as RD folders below ``root`` and return it."""
@@ -83,7 +87,7 @@ def extract_request(spark, folder):
 @check(
     from_raw(
         f"{_STATE} AS uf, {_MONTH} AS competencia, "
-        + ", ".join(f"{VALUE_SQL[c]} AS {c}" for c in _RD_COLUMNS)
+        + ", ".join(f"{_LOADED_SQL[c]} AS {c}" for c in _RD_COLUMNS)
         + ", CAST(NULL AS VARCHAR) AS diag_princ, true AS lineage_ok"
     )
 )
@@ -228,3 +232,21 @@ def monthly_export(spark, folder):
         F.count("DT_INTER").alias("n_dates"),
         F.count("valorTotal").alias("n_values"),
     )
+
+
+@check(
+    from_raw(f"'RD' AS \"group\", {_STATE} AS uf, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(cnes) AS BIGINT) AS n_cnes")
+    + " WHERE homonimo IN ('0', '1') GROUP BY 2"
+)
+def consolidate(spark, folder):
+    """Two groups and years of two states in one table; the group without folders adds nothing."""
+    root, name = raw_folders(spark, folder, scratch_path(spark, "raw")), ts.fresh_name("both")
+    path = scratch_path(spark, "both")
+    for years in ([1997], [1998]):
+        if not consolidation.consolidate(spark, name, root, "SIH", years, [3, 11], ["RD", "ER"], ["SP", "RJ"], path=path):
+            raise AssertionError("no folder was found")
+    if consolidation.consolidate(spark, name, root, "SIH", [1996], [3], ["RD"], ["SP"], path=path):
+        raise AssertionError("a folder was found that is not there")
+    # As many rows of a state as the raw records have; states stand in the order of the flag.
+    rows = spark.table(name).withColumn("uf", F.when(F.col("HOMONIMO") == "1", "SP").otherwise("RJ"))
+    return rows.groupBy("group", "uf").agg(F.count(F.lit(1)).alias("n_rows"), F.count("CNES").alias("n_cnes"))

@@ -6,8 +6,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from censa.functions.dates import months_between, month_of, period_start
+from censa.functions.dates import month_of, period_start
 from censa.operators.filters import in_months
+from censa.operators.grid import absent, counted_on, expected_folders, month_grid
 from censa.operators.joins import semi_join
 from censa.operators.schema import union_all
 from censa.registry.types import types_of
@@ -17,6 +18,7 @@ from censa.sources.tables import run_query
 from checks import check, table
 
 FIRST, LAST = date(1996, 3, 1), date(1997, 2, 1)
+GRID = date(1992, 1, 1), date(1998, 12, 1)
 
 
 @check(
@@ -87,7 +89,7 @@ def row_lineage(spark, folder):
     """Lineage key of each order, without the name of the data folder."""
     rows = files.with_lineage(table(spark, folder, "orders"), columns=["id_log"])
     name = folder.rstrip("/").split("/")[-1] + "_"
-    own = F.substring("id_log", len(name) + 1, 10_000)
+    own = F.substr("id_log", F.lit(len(name) + 1))
     return rows.select("o_orderkey", own.alias("id_log"), files.file_id(own).alias("id_arquivo"))
 
 
@@ -142,12 +144,12 @@ def param_sql(spark, folder):
 @check(
     """WITH seen AS (SELECT c_nationkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n
                      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-            months AS (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM seen)
+            months AS (SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '1998-12-01', INTERVAL 1 MONTH)) AS DATE) AS month)
        SELECT n_nationkey, months.month, coalesce(n, 0) AS n_orders
        FROM nation CROSS JOIN months LEFT JOIN seen ON c_nationkey = n_nationkey AND seen.month = months.month"""
 )
 def expected_grid(spark, folder):
-    """Every state and month of the covered period with its rows, zero where there are none."""
+    """Every state and month of a period with its rows, zero where there are none."""
     orders = table(spark, folder, "orders").select("o_custkey", month_of(F.col("o_orderdate")).alias("month"))
     # Orders are combined per customer and month before the join with the customers.
     per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey"), "month").agg(F.count(F.lit(1)).alias("n"))
@@ -157,10 +159,23 @@ def expected_grid(spark, folder):
         .groupBy(F.col("c_nationkey").alias("n_nationkey"), "month")
         .agg(F.sum("n").alias("n_orders"))
     )
-    period = orders.agg(F.min("month").alias("first"), F.max("month").alias("last")).first()
-    months = months_between(F.lit(period["first"]), F.lit(period["last"]))
-    grid = table(spark, folder, "nation").select("n_nationkey", F.explode(months).alias("month"))
-    return grid.join(seen, ["n_nationkey", "month"], "left").fillna(0, ["n_orders"])
+    grid = month_grid(table(spark, folder, "nation").select("n_nationkey"), *GRID)
+    return counted_on(grid, seen, ["n_nationkey", "month"], ["n_orders"])
+
+
+@check(
+    """WITH months AS (SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '1998-12-01', INTERVAL 1 MONTH)) AS DATE) AS month),
+            seen AS (SELECT DISTINCT CASE o_orderstatus WHEN 'F' THEN 'SP' WHEN 'O' THEN 'RJ' ELSE 'MG' END AS state,
+                     CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders)
+       SELECT 'RD' AS "group", state, month, concat('RD', state, strftime(month, '%y%m'), '.parquet') AS name
+       FROM (VALUES ('SP'), ('RJ'), ('MG'), ('AC')) s(state) CROSS JOIN months
+       WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.state = s.state AND seen.month = months.month)"""
+)
+def absent_files(spark, folder):
+    """Expected folders of a group, states and period that no order belongs to."""
+    state = F.expr("CASE o_orderstatus WHEN 'F' THEN 'SP' WHEN 'O' THEN 'RJ' ELSE 'MG' END")
+    seen = table(spark, folder, "orders").select(state.alias("state"), month_of(F.col("o_orderdate")).alias("month"))
+    return absent(expected_folders(spark, "RD", ["SP", "RJ", "MG", "AC"], *GRID), seen, ["state", "month"])
 
 
 # Names of monthly files derived from the orders: one per state and month.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from censa.functions.text import zero_fill
 from censa.operators import joins, sets
+from censa.operators.lookup import is_declared, table_of
 from censa.operators.filters import keep_facilities, project, require, text_statistics
 from censa.operators.cleaning import trim_text
 from censa.plans.infer import build_registry
@@ -134,3 +135,27 @@ def merge_distinct(spark, folder):
 @check(f"SELECT code, status FROM ({_A}) EXCEPT SELECT code, status FROM ({_B})")
 def except_tables(spark, folder):
     return sets.only_in_first(*_versions(spark, folder))
+
+
+_CODES = """CASE o_orderpriority WHEN '1-URGENT' THEN 'rd' WHEN '2-HIGH' THEN 'AT' WHEN '3-MEDIUM' THEN ' AM '
+    WHEN '4-NOT SPECIFIED' THEN 'A' ELSE 'ZZ' END"""
+
+
+@check(
+    f"""SELECT o_orderkey, CASE code WHEN 'rd' THEN 'sih_aih_reduzida' WHEN 'AT' THEN 'sia_apac_tratamento_dialitico'
+          WHEN ' AM ' THEN 'sia_apac_medicamentos' WHEN 'A' THEN 'sia_apac_cirurgia_bariatrica' END AS table_name
+        FROM (SELECT o_orderkey, {_CODES} AS code FROM orders)"""
+)
+def schema_lookup(spark, folder):
+    """Table of each order's group code: the exact group, else the first one the code starts."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.expr(_CODES).alias("code"))
+    return orders.select("o_orderkey", table_of(F.col("code")).alias("table_name"))
+
+
+_FIELDS = "CASE o_orderpriority WHEN '1-URGENT' THEN 'CNES' WHEN '2-HIGH' THEN 'val_tot' WHEN '3-MEDIUM' THEN 'Dt_Inter ' ELSE o_orderstatus END"
+
+
+@check(f"SELECT o_orderkey, lower(trim({_FIELDS})) IN ('cnes', 'val_tot', 'dt_inter') AS declared FROM orders")
+def valid_columns(spark, folder):
+    """Whether each order's column name is one of the hospital group's."""
+    return table(spark, folder, "orders").select("o_orderkey", is_declared(F.expr(_FIELDS), "RD").alias("declared"))

@@ -1,12 +1,15 @@
 import datetime as dt
 import shutil
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from censa.operators.conversion import convert_loader
 from censa.operators.schema import lower_names
+from censa.operators.grid import absent, expected_folders
+from censa.plans.consolidate import consolidated
 from censa.plans import extract, infer, load, merge, monthly, report, upload
 from censa.registry.groups import Request, group_types
 from censa.sinks import tables as ts
@@ -71,8 +74,7 @@ def test_months_may_differ_in_columns(spark, folders):
     write(spark, folders / "SIH/RD/RDSP2212.parquet", [("2077480", "new")], "CNES string, EXTRA string")
     df = files.scan_request(spark, str(folders), request(period_start="12/2022", states=["SP"]))
     assert "EXTRA" in df.columns and df.filter("EXTRA = 'new'").count() == 1 and df.count() == 13
-    reversed_period = request(period_start="03/2023")
-    assert files.scan_request(spark, str(folders), reversed_period, columns=["CNES"]).count() == 0
+    assert files.scan_request(spark, str(folders), request(states=["AC"]), columns=["CNES"]).count() == 0
 
 
 def test_scan_skips_corrupt_files(spark, folders):
@@ -129,6 +131,19 @@ def test_batches_and_valid_files(spark, folders):
     assert files.valid_paths(spark, [path], {"cnes": "TEXT", "absent": "TEXT"}) == []
     assert files.read_valid(spark, [path, str(bad)], {"cnes": "TEXT"}).count() == 5
     assert files.read_valid(spark, [str(bad)], {"cnes": "TEXT"}).count() == 0
+    reasons = {r.path.rsplit("/", 1)[1]: r.reason for r in files.checked_files(spark, [path, str(bad)], {"absent": "TEXT"}).collect()}
+    assert "absent" in reasons.pop(next(n for n in reasons if n.startswith("part-"))) and "Parquet" in reasons["bad.parquet"]
+
+
+def test_a_store_that_cannot_be_reached_is_no_invalid_file(spark, folders, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen = {}
+    monkeypatch.setattr(DataFrame, "mapInPandas", lambda self, run, schema: seen.setdefault("run", run) and self)
+    files.file_columns(spark, str(folders))
+    for path, kind in (("s4a://bucket/a.parquet", ValueError), ("file:/no/such/file.parquet", OSError)):
+        with pytest.raises(kind):
+            list(seen["run"]([pd.DataFrame({"path": [path]})]))
 
 
 def test_merged_columns(spark, tmp_path):
@@ -153,7 +168,16 @@ def test_extract_publishes_once_and_drops_unused_flags(spark, folders, tmp_path)
     assert again.table.count() == 7
 
 
-def test_extract_of_long_facility_list_joins(spark, folders):
+def test_extract_of_nothing_keeps_the_old_table(spark, folders, tmp_path):
+    ask = request(fields=["N_AIH"], table_name="rd_held")
+    held = extract.extract_to_table(spark, str(folders), ask, str(tmp_path / "out")).n_rows
+    with pytest.raises(FileNotFoundError):
+        extract.extract_to_table(spark, str(tmp_path / "elsewhere"), ask, str(tmp_path / "out"))
+    assert spark.table("rd_held").count() == held > 0
+    assert extract.extract_to_table(spark, str(tmp_path / "elsewhere"), ask, str(tmp_path / "out"), allow_missing=True).n_rows == 0
+
+
+def test_extract_of_long_facility_list(spark, folders):
     codes = [f"{2077480 + i:07d}" for i in range(2000)]
     ask = request(facilities=codes)
     assert extract.extract(spark, str(folders), ask).count() == 14
@@ -175,9 +199,9 @@ def test_load_is_incremental_and_typed(spark, folders, tmp_path):
     loaded = spark.read.parquet(target)
     assert loaded.count() == 18 and loaded.select("id_log").distinct().count() == 18
     declared = {c: t.simpleString() for c, t in ((f.name, f.dataType) for f in loaded.schema.fields)}
-    assert declared["val_tot"] == "decimal(15,2)" and declared["dt_inter"] == "date" and declared["idade"] == "smallint"
+    assert declared["val_tot"] == "decimal(14,2)" and declared["dt_inter"] == "date" and declared["n_aih"] == "bigint"
     assert set(group_types("RD")) <= set(loaded.columns)
-    assert loaded.filter("uf = 'SP' AND n_aih = 'a0' AND espec = '03'").count() == 1
+    assert loaded.filter("uf = 'SP' AND cnes = 2077480 AND espec = '03'").count() >= 1
 
 
 def test_loaded_files_from_lineage_alone(spark):
@@ -191,6 +215,43 @@ def test_professional_services_decode_the_state(spark, tmp_path):
     load.load_group(spark, str(tmp_path / "src"), "SP", str(tmp_path / "target"))
     loaded = spark.read.parquet(str(tmp_path / "target"))
     assert rows(loaded.select("sp_uf", "sp_dtinter")) == [("AC", None), ("SP", dt.date(2018, 1, 22))]
+    dropped = spark.read.parquet(str(tmp_path / "target" / load.UNKNOWN_STATES))
+    assert rows(dropped.select("code", "n_rows")) == [("99", 1)]
+
+
+def test_names_without_a_month_and_files_without_rows_load_once(spark, tmp_path):
+    schema, source, target = "PA_CODUNI string", str(tmp_path / "src"), str(tmp_path / "target")
+    write(spark, tmp_path / "src/PARJ_total.parquet", [("0000001",)], schema)
+    write(spark, tmp_path / "src/PASP2301.parquet", [("0000002",)], schema)
+    write(spark, tmp_path / "src/PAMG2301.parquet", [], schema)
+    assert len(load.load_group(spark, source, "PA", target)) == 3
+    assert load.load_group(spark, source, "PA", target) == []
+    assert rows(spark.read.parquet(target).select("pa_coduni", "uf")) == [("0000001", "RJ"), ("0000002", "SP")]
+
+
+def test_the_longer_group_code_wins(spark, tmp_path):
+    for name in ("AMPAL2301", "AMPA2301", "AMXX2301"):
+        write(spark, tmp_path / f"{name}.parquet", [("1",)], "a string")
+    found = {g: rows(files.discover_files(spark, str(tmp_path), g).select("folder", "uf")) for g in ("AM", "AMP")}
+    assert found == {"AM": [("AMPA2301.parquet", "PA")], "AMP": [("AMPAL2301.parquet", "AL")]}
+
+
+def test_expected_and_absent_folders(spark):
+    grid = expected_folders(spark, "RD", ["SP", "RJ"], dt.date(2022, 12, 1), dt.date(2023, 1, 1))
+    assert [r[3] for r in rows(grid)] == ["RDRJ2212.parquet", "RDRJ2301.parquet", "RDSP2212.parquet", "RDSP2301.parquet"]
+    seen = spark.createDataFrame([("SP", dt.date(2023, 1, 1))], "state string, month date")
+    assert absent(grid, seen, ["state", "month"]).count() == 3
+    assert expected_folders(spark, "RD", ["SP"], dt.date(2023, 1, 1), dt.date(2022, 1, 1)).count() == 0
+    with pytest.raises(ValueError):
+        expected_folders(spark, "ZZ", ["SP"], dt.date(2023, 1, 1), dt.date(2023, 1, 1))
+
+
+def test_consolidation_checks_groups_and_skips_empty_ones(spark, folders):
+    with pytest.raises(ValueError):
+        consolidated(spark, str(folders), "SIH", [2023], [1], ["RD", "XX"], ["SP"])
+    assert consolidated(spark, str(folders), "SIH", [1999], [1], ["RD"], ["SP"]) is None
+    found = consolidated(spark, str(folders), "SIH", [2022, 2023], range(1, 13), ["RD", "ER"], ["SP", "RJ", "MG"])
+    assert {r.group for r in found.select("group").distinct().collect()} == {"RD"} and found.count() >= 14
 
 
 def test_production_group_keeps_declared_columns(spark, tmp_path):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from censa.operators import joins, ordering, profile, quality, reports, sets
+from censa.session import SETTINGS
 from censa.operators.filters import any_text, in_months, keep_facilities, project, text_statistics
 from conftest import rows
 
@@ -191,29 +192,41 @@ def test_date_rule_ignores_nulls(spark):
     assert rows(quality.date_format_ok(df, ["a", "b", "c"])) == [("a", True), ("b", False), ("c", True)]
 
 
-def test_key_joins_beyond_the_broadcast_size(spark, skewed):
+def test_key_joins_with_and_without_a_broadcast(spark, skewed):
     keys = spark.createDataFrame([(7,), (7,), (8,), (None,)], "k long")
-    for limit in (0, joins.BROADCAST_BYTES):
-        assert joins.semi_join(skewed, keys, "k", limit).count() == skewed.filter("k IN (7, 8)").count()
-        assert joins.anti_join(skewed, keys, "k", limit).count() == skewed.filter("k NOT IN (7, 8)").count()
     lookup = spark.createDataFrame([(7, "seven")], "k long, name string")
-    for limit in (0, joins.BROADCAST_BYTES):
-        assert joins.decode(skewed, lookup, "k", limit).count() == skewed.filter("k = 7").count()
-    assert "BroadcastHashJoin" in executed(joins.semi_join(skewed, keys, "k"))
-
-
-def test_size_is_measured(spark):
-    df = spark.createDataFrame([("abcd", 1), (None, 2)], "s string, n int")
-    assert joins.measured_bytes(df) == 2 * (16 + 16 + 16) + 4
-    assert joins.measured_bytes(df.limit(0)) == 0
+    for hint in ("merge", "broadcast"):
+        assert joins.semi_join(skewed, keys.hint(hint), "k").count() == skewed.filter("k IN (7, 8)").count()
+        assert joins.anti_join(skewed, keys.hint(hint), "k").count() == skewed.filter("k NOT IN (7, 8)").count()
+        assert joins.decode(skewed, lookup.hint(hint), "k").count() == skewed.filter("k = 7").count()
+
+
+def test_key_joins_start_no_job(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy joins", "")
+    keys = skewed.select("k")
+    joins.unmapped(joins.decode(joins.anti_join(joins.semi_join(skewed, keys, "k"), keys, "k"), keys, "k"), keys, "k")
+    assert not tracker.getJobIdsForGroup("lazy joins")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_shuffles_start_wide_and_are_merged(spark):
+    assert int(SETTINGS["spark.sql.shuffle.partitions"]) >= 2000
+    grouped = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", SETTINGS["spark.sql.shuffle.partitions"])
+    try:
+        assert grouped.groupBy("count").count().rdd.getNumPartitions() < 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_first_pattern_wins(spark):
     df = spark.createDataFrame([("aih_rejeitada_com_erro",), ("none",)], "t string")
     got = joins.first_contained(df, "t", [("aih_rejeitada", "RJ"), ("aih_rejeitada_com_erro", "ER")], "g")
     assert rows(got) == [("aih_rejeitada_com_erro", "RJ")]
-    with pytest.raises(ValueError):
-        joins.first_contained(df, "t", [("x", "y")] * 1001, "g")
+    many = [(f"no such text {n}", "XX") for n in range(5000)] + [("none", "NO")]
+    assert rows(joins.first_contained(df, "t", many, "g")) == [("none", "NO")]
 
 
 def test_unmapped_codes_include_null(spark):
@@ -230,6 +243,9 @@ def test_filters(spark):
     assert keep_facilities(df, "x", ["*"]) is df
     with pytest.raises(KeyError):
         keep_facilities(df, "cnes", ["1"])
+    for n in (3, 5000):
+        held = keep_facilities(df, "y", [" ", *map(str, range(n))])
+        assert held.columns == df.columns and held.count() == 1
     assert project(df, ["n"], "x").columns == ["n", "x"] and project(df, ["X", "n"], "x").columns == ["X", "n"]
 
 

@@ -18,6 +18,9 @@ def test_scratch_lies_below_the_named_folder(spark):
 def test_publish_applies_declared_types(spark, tmp_path):
     df = spark.createDataFrame([("1", "2.5", None)], "A string, b string, new_b_error string")
     out = ts.publish(df, "typed", str(tmp_path), {"a": "SMALLINT", "b": "NUMERIC(5,1)"}, ["new_b_error"])
+    assert len(list(tmp_path.glob("typed-*"))) == 1
+    out = ts.publish(df, "typed", str(tmp_path), {"a": "SMALLINT", "b": "NUMERIC(5,1)"}, ["new_b_error"])
+    assert len(list(tmp_path.glob("typed-*"))) == 1  # the replaced folder is gone
     assert out.n_rows == 1 and out.values == {"new_b_error": 0}
     assert out.table.dtypes == [("A", "smallint"), ("b", "decimal(5,1)")]
 
