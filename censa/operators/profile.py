@@ -1,23 +1,28 @@
 """Column profiles: counts, lengths, flags, samples, frequent values, quartiles.
 
-Wide frames are unpivoted to (column, value) and grouped, so one shuffle serves all
-columns and copies combine before it.  Per-column results come from the distinct
-values; each task passes on one partial row per column, or its first few values.
+Counts, lengths and flags are plain aggregates.  Where distinct values are needed, wide
+frames are unpivoted to (column, value) and grouped, so one shuffle serves all columns
+and copies combine before it; each task passes on one partial row per column, or its
+first few values.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from censa.operators.ordering import AT, SLICE, sorted_slices
-
 SAMPLE_SIZE = 10
 TOP_VALUES = 5
+# Columns whose counts and flags are aggregated together.
+BLOCK = 16
+# The approximate quantile is off by at most 1 / ACCURACY of the rows, so a bracket of
+# twice that to either side holds the exact one.
+ACCURACY = 100_000
+BRACKET = 2 / ACCURACY
 
 # How a value's kind is told apart, first match wins.
 INTEGER_TEXT = r"^-?[0-9]+$"
@@ -68,8 +73,8 @@ def iso_date_text(value: Column) -> Column:
 
 
 def magnitude(value: Column) -> Column:
-    """Absolute value of integer text, null for anything else."""
-    return F.abs(value.try_cast("decimal(38,0)"))
+    """Absolute value of integer text, null for anything else; the cast sees no other text, where it is slow."""
+    return F.when(F.trim(value).rlike(INTEGER_TEXT), F.abs(value.try_cast("decimal(38,0)")))
 
 
 def _ranked(counts: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -83,36 +88,55 @@ def _ranked(counts: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return ranked.filter(F.col("value").isNotNull())
 
 
+def _metrics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts, lengths and flags of each column, without a shuffle of values.
+
+    Columns are taken BLOCK at a time, which keeps the generated code small; a
+    columnar source is still read once in all.
+    """
+    parts = []
+    for low in range(0, len(columns), BLOCK):
+        block = columns[low : low + BLOCK]
+        texts = df.select(*[F.col(c).cast("string").alias(c) for c in block])
+        wanted = []
+        for c in block:
+            value = F.col(c)
+            present = value.isNotNull()
+            # A character value of length zero says nothing about lengths.
+            length = F.when(F.length(value) > 0, F.length(value))
+            kind = F.when(present, value_kind(value))
+            wanted.append(
+                F.struct(
+                    F.count(F.lit(1)).alias("n_rows"),
+                    F.count_if(~present).alias("n_null"),
+                    F.max(length).alias("max_length"),
+                    F.min(length).alias("min_length"),
+                    F.max(leading_zero(value)).alias("leading_zeros"),
+                    F.max(special_character(value)).alias("special_chars"),
+                    (F.min(kind) != F.max(kind)).alias("mixed_types"),
+                    F.bool_and(boolean_text(value)).alias("all_boolean"),
+                    F.bool_and(iso_date_text(value)).alias("all_dates"),
+                    F.max(magnitude(value)).alias("largest"),
+                ).alias(c)
+            )
+        rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("m")) for c in block]
+        parts.append(texts.agg(*wanted).select(F.inline(F.array(*rows))).select("column_name", "m.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def column_profile(df: DataFrame, columns: Iterable[str] | None = None, sample: int = SAMPLE_SIZE) -> DataFrame:
     """One row per column with the nine profile metrics, and what type suggestion needs.
 
     Flags and lengths describe text columns and are computed on all values.  The
     sample holds the smallest distinct values in text order.  On top come the row
     count, whether all values are yes/no texts or ISO dates, and the largest integer.
+    Only the distinct count and the sample need a shuffle, of distinct values.
     """
     columns = df.columns if columns is None else list(columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
-    counts = value_counts(df, columns)
-    present = F.col("value").isNotNull()
-    # A character value of length zero says nothing about lengths.
-    length = F.when(F.length("value") > 0, F.length("value"))
-    kind = F.when(present, value_kind(F.col("value")))
-    metrics = counts.groupBy("column_name").agg(
-        F.count("value").alias("n_distinct"),
-        F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("n_null"),
-        F.sum("n").alias("n_rows"),
-        F.max(length).alias("max_length"),
-        F.min(length).alias("min_length"),
-        F.max(leading_zero(F.col("value"))).alias("leading_zeros"),
-        F.max(special_character(F.col("value"))).alias("special_chars"),
-        (F.min(kind) != F.max(kind)).alias("mixed_types"),
-        F.bool_and(boolean_text(F.col("value"))).alias("all_boolean"),
-        F.bool_and(iso_date_text(F.col("value"))).alias("all_dates"),
-        F.max(magnitude(F.col("value"))).alias("largest"),
-    )
-    # Keeping ``n`` in this branch makes both branches share one shuffle.
-    smallest = _ranked(counts.filter("n > 0"), [F.asc_nulls_last("value")], sample)
-    samples = smallest.groupBy("column_name").agg(
+    values = _as_text(df, columns).filter(F.col("value").isNotNull()).distinct()
+    distinct = values.groupBy("column_name").agg(F.count("value").alias("n_distinct"))
+    samples = _ranked(values, [F.asc_nulls_last("value")], sample).groupBy("column_name").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))), lambda s: s["value"]).alias("sample")
     )
     listed = df.sparkSession.createDataFrame(
@@ -123,7 +147,8 @@ def column_profile(df: DataFrame, columns: Iterable[str] | None = None, sample:
     text = F.col("is_text")
     return (
         # One row per column of the frame on every side.
-        listed.join(F.broadcast(metrics), "column_name", "left")
+        listed.join(F.broadcast(_metrics(df, columns)), "column_name", "left")
+        .join(F.broadcast(distinct), "column_name", "left")
         .join(F.broadcast(samples), "column_name", "left")
         .select(
             "position",
@@ -216,57 +241,45 @@ def max_lengths(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return longest.select(F.inline(F.array(*rows)))
 
 
-def _wanted_ranks(sizes: Sequence[Row], shares: Sequence[float]) -> list[tuple]:
-    """Where the two ranks around each share lie: slice, column, share, fraction, which, rank in the slice."""
-    spans: dict[str, list[tuple[int, int]]] = {}
-    for row in sorted(sizes, key=lambda r: r[SLICE]):
-        spans.setdefault(row["column_name"], []).append((row[SLICE], row["size"]))
-    wanted = []
-    for column, parts in spans.items():
-        last = sum(size for _, size in parts) - 1
-        for share in shares:
-            at = last * float(share)
-            for rank, high in ((math.floor(at), False), (math.ceil(at), True)):
-                for place, size in parts:
-                    if rank < size:
-                        wanted.append((place, column, float(share), at - math.floor(at), high, rank))
-                        break
-                    rank -= size
-    return wanted
-
-
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
     """Interpolated exact quantiles of numeric columns, as (column_name, share, quantile).
 
-    Values are counted, sorted into slices, and only the slices that hold a wanted
-    rank are looked into, so no task keeps a column's distinct values in memory as
-    the built-in exact percentile would.
+    An approximate quantile a little to either side brackets each wanted one.  One pass
+    then counts the values below each bracket and the rows of each value inside it, a
+    small part of all, which gives the exact ranks.
     """
+    columns = list(columns)
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counts = (
-        numbers.unpivot([], list(columns), "column_name", "value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    slices = sorted_slices(counts, ["column_name", "value"])
-    # One row per slice, and one more per column that ends inside a slice.
-    sizes = slices.groupBy(SLICE, "column_name").agg(F.sum("n").alias("size")).collect()
-    ranks = _wanted_ranks(sizes, shares)
-    wanted = df.sparkSession.createDataFrame(
-        ranks,
-        f"{SLICE} long, column_name string, share double, fraction double, high boolean, rank long",
+    around = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-BRACKET, BRACKET)]
+    spans = numbers.agg(
+        *[F.struct(F.count(c).alias("n"), F.percentile_approx(c, around, ACCURACY).alias("at"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
+    ).first()
+    brackets = []
+    for c in columns:
+        n, at, low, high = spans[c]
+        for k, share in enumerate(shares if n else []):
+            # Brackets at the ends, and those narrower than two rows, reach to the ends.
+            narrow = n * BRACKET < 2
+            first = low if narrow or around[2 * k] == 0 else at[2 * k]
+            last = high if narrow or around[2 * k + 1] == 1 else at[2 * k + 1]
+            brackets.append((c, float(share), (n - 1) * float(share), first, last))
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "column_name string, share double, quantile double")
+    wanted = df.sparkSession.createDataFrame(brackets, "column_name string, share double, at double, first double, last double")
+    below = numbers.agg(*[F.count_if(F.col(c) < first).alias(str(k)) for k, (c, _, _, first, _) in enumerate(brackets)])
+    below = below.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("share"), F.col(str(k)).alias("below")) for k, (c, s, *_) in enumerate(brackets)]))
     )
-    places = sorted({place for place, *_ in ranks})
-    inside = Window.partitionBy(SLICE, "column_name").orderBy(AT)
-    ranked = slices.filter(F.col(SLICE).isin(places)).withColumn("upto", F.sum("n").over(inside))
-    # The wanted ranks: two rows per column and share.
-    hit = (F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto"))
-    found = ranked.join(F.broadcast(wanted), [SLICE, "column_name"]).filter(hit)
-    low = F.max(F.when(~F.col("high"), F.col("value")))
-    high = F.max(F.when(F.col("high"), F.col("value")))
-    return found.groupBy("column_name", "share").agg(
-        (low + (high - low) * F.max("fraction")).alias("quantile")
+    # One row per bracket is broadcast.
+    inside = numbers.unpivot([], columns, "column_name", "value").join(F.broadcast(wanted), "column_name").filter("value BETWEEN first AND last")
+    counts = inside.groupBy("column_name", "share", "at", "value").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(below), ["column_name", "share"])
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy("column_name", "share").orderBy("value"))
+    ranked = counts.withColumn("upto", upto)
+    holds = lambda rank: (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
+    low = F.max(F.when(holds(F.floor("at")), F.col("value")))
+    high = F.max(F.when(holds(F.ceil("at")), F.col("value")))
+    return ranked.groupBy("column_name", "share", "at").agg(low.alias("low"), high.alias("high")).select(
+        "column_name", "share", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("at") - F.floor("at"))).alias("quantile")
     )
 
 
