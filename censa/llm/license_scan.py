@@ -63,8 +63,9 @@ RULES = [
     ("all-rights-reserved", ("rights",)),
 ]
 
-END = re.compile(r"(?<=[.!?;:])\s+|[\r\n\x0b\x0c\x85  ]+")
+END = re.compile(r"(?<=[.!?;:])\s+|[\r\n\x0b\x0c\x85\u2028\u2029]+")
 OTHER = re.compile(r"[\W_]+")
+FIRST = re.compile(r"[^\W_]+")
 
 
 def normal(sentence: str) -> str:
@@ -75,23 +76,27 @@ class Scanner:
     """Sentences and rules made ready for lookup."""
 
     def __init__(self, sentences: dict[str, str], rules: list[tuple[str, tuple[str, ...]]]) -> None:
-        self.known: dict[str, tuple[str, ...]] = {}
+        # By its first part: a known text may itself be cut, at a colon say.
+        self.known: dict[str, list[tuple[list[str], str]]] = {}
         for name, text in sentences.items():
-            # A known text may itself be cut (at a colon, say); its first cut carries the identifier.
-            cuts = [normal(s) for s in END.split(text) if normal(s)]
-            self.known[" ".join(cuts)] = (name,)
+            parts = [p for p in map(normal, END.split(text)) if p]
+            self.known.setdefault(parts[0], []).append((parts, name))
+        for found in self.known.values():
+            found.sort(key=lambda f: -len(f[0]))
         self.starts = {k.split(" ", 1)[0] for k in self.known}
-        self.longest = max(map(len, self.known))
         self.rules = rules
 
     def identifiers(self, text: str) -> list[str]:
         """Known sentences of a text in their order."""
         found = []
-        for sentence in END.split(text):
-            if len(sentence) <= 4 * self.longest:
-                first = OTHER.split(sentence.lstrip()[: 4 * self.longest], 2)
-                if (first[0] or first[1:2] and first[1] or "").lower() in self.starts and (ids := self.known.get(normal(sentence))):
-                    found.extend(ids)
+        sentences = [x for x in END.split(text) if FIRST.search(x)]
+        for at, sentence in enumerate(sentences):
+            # Few sentences start like a known one; only they are normalised as a whole.
+            if FIRST.search(sentence)[0].lower() in self.starts:
+                for parts, name in self.known.get(normal(sentence), ()):
+                    if [normal(x) for x in sentences[at : at + len(parts)]] == parts:
+                        found.append(name)
+                        break
         return found
 
     def licences(self, identifiers: list[str]) -> tuple[list[str], list[str]]:

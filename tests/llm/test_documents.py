@@ -254,6 +254,9 @@ def test_licences(spark, messy, nothing):
         5: license_scan.SENTENCES["apache-copy"] + "\n" + license_scan.SENTENCES["bsd-redistribution"],
         6: " ".join(license_scan.SENTENCES[k] for k in ("apache-2-header", "apache-compliance", "apache-copy", "apache-as-is")),
     }
+    scanner = license_scan.Scanner(license_scan.SENTENCES, license_scan.RULES)
+    for name, text in license_scan.SENTENCES.items():
+        assert scanner.identifiers(f"Before it. {text}\nAfter it") == [name]
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     found = {r["doc_id"]: r for r in license_scan.scanned(frame).collect()}
     assert found[1]["licences"] == ["Apache-2.0", "MIT"]
