@@ -22,20 +22,24 @@ def zero_fill(c: Column, width: int) -> Column:
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
-def _accented() -> tuple[str, str]:
-    """Latin letters whose compatibility form is one ASCII letter, with that letter."""
-    pairs = []
-    for code in [*range(0x80, 0x250), *range(0x1E00, 0x1F00)]:
-        plain = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
-        if len(plain) == 1:
-            pairs.append((chr(code), plain))
-    return "".join(a for a, _ in pairs), "".join(p for _, p in pairs)
+def _plain_forms() -> dict[str, str]:
+    """Latin letters, ligatures and fractions with the ASCII part of their compatibility form."""
+    codes = [*range(0x80, 0x250), *range(0x1E00, 0x1F00), *range(0xFB00, 0xFB07)]
+    forms = {chr(code): unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode() for code in codes}
+    return {letter: plain for letter, plain in forms.items() if plain}
 
 
 def strip_accents(c: Column) -> Column:
     """Replace accented Latin letters and drop whatever is still not ASCII."""
-    accented, plain = _accented()
-    return F.regexp_replace(F.translate(c, accented, plain), r"[^\x00-\x7F]", "")
+    forms = _plain_forms()
+    single = {a: p for a, p in forms.items() if len(p) == 1}
+    several = {a: p for a, p in forms.items() if len(p) > 1}
+    spelled = c
+    for letter, plain in several.items():
+        spelled = F.replace(spelled, F.lit(letter), F.lit(plain))
+    # Ligatures and fractions are rare, so only texts that hold one are taken through.
+    spelled = F.when(c.rlike(f"[{''.join(several)}]"), spelled).otherwise(c)
+    return F.regexp_replace(F.translate(spelled, "".join(single), "".join(single.values())), r"[^\x00-\x7F]", "")
 
 
 def normalize_name(c: Column, per_character: bool = False) -> Column:

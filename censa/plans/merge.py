@@ -10,7 +10,7 @@ from censa.operators.conversion import alter_types
 from censa.operators.schema import lower_names
 from censa.operators.sets import in_both, merge_distinct
 from censa.sinks.files import write_partitioned
-from censa.sinks.tables import register
+from censa.sinks.tables import fresh_name, swap
 
 
 @dataclass
@@ -39,10 +39,8 @@ def merge_and_partition(
     write_partitioned(merged, path, [state], mode="errorifexists")
     stored = spark.read.parquet(path)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema.fields)
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet PARTITIONED BY (`{state}`) LOCATION '{path}'")
-    spark.catalog.recoverPartitions(target)
+    new = fresh_name(target)
+    spark.sql(f"CREATE TABLE {new} ({columns}) USING parquet PARTITIONED BY (`{state}`) LOCATION '{path}'")
+    spark.catalog.recoverPartitions(new)
+    swap(spark, new, target)
     return spark.table(target)
-
-
-__all__ = ["Merged", "merge_and_partition", "merge_versions", "register"]

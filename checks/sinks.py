@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from censa.operators import profile as pf
 from censa.operators.cleaning import trim_text
 from censa.operators.conversion import convert_with_errors, error_columns
 from censa.operators.joins import decode
@@ -14,7 +13,7 @@ from censa.sinks import files as fs
 from censa.sinks import tables as ts
 from checks import check, table
 from checks.aggregates import _CROSSTAB, _LINES
-from checks.profiles import _CUSTOMER
+from checks.profiles import _CUSTOMER, _customer_profile, _readable, profile_sql
 from checks.raw import FAILS_SQL, RAW_TYPES, VALUE_SQL, from_raw, raw_orders
 
 
@@ -100,23 +99,26 @@ def export_chunks(spark, folder):
     return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 7000).alias("within_limit"))
 
 
-@check("SELECT count(*) AS n_columns, CAST(4 * (SELECT count(*) FROM customer) AS BIGINT) AS n_values FROM range(4)")
+@check(profile_sql("customer", _CUSTOMER))
 def export_profile(spark, folder):
+    """The profile as it reads back from the JSON file."""
     path = scratch_path(spark, "profile")
-    profile = pf.column_profile(table(spark, folder, "customer"), list(_CUSTOMER))
+    profile = _customer_profile(spark, folder)
     fs.export_profile(profile, path)
-    return spark.read.schema(profile.schema).json(path).agg(
-        F.count(F.lit(1)).alias("n_columns"), F.sum("n_rows").alias("n_values")
-    )
+    return _readable(spark.read.schema(profile.schema).json(path))
 
 
-@check("SELECT l_returnflag AS uf, count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS n_sum FROM lineitem GROUP BY 1")
+@check(
+    """SELECT l_returnflag AS uf, count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS n_sum, count(*) AS n_in_folder
+       FROM lineitem GROUP BY 1"""
+)
 def partition_by_state(spark, folder):
     path = scratch_path(spark, "states")
     lines = table(spark, folder, "lineitem").selectExpr("l_returnflag AS uf", "l_orderkey", "l_linenumber")
     fs.write_partitioned(lines, path, ["uf"])
-    return spark.read.parquet(path).groupBy("uf").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("l_linenumber").alias("n_sum")
+    in_folder = F.col("_metadata.file_path").contains(F.concat(F.lit("/uf="), "uf", F.lit("/")))
+    return spark.read.parquet(path).withColumn("in_folder", in_folder).groupBy("uf").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("l_linenumber").alias("n_sum"), F.count_if("in_folder").alias("n_in_folder")
     )
 
 
