@@ -14,8 +14,6 @@ equal fingerprints is 1.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,7 +55,7 @@ def _bins(hashes: Column) -> Column:
     A mark at the upper end of each bin is sorted in with the hashes, so the first value
     of every bin is its smallest hash or, in an empty bin, the mark.
     """
-    marks = F.array(*(F.lit(_signed(b << 56 | LOW)).cast("long") for b in range(BINS)))
+    marks = F.expr("array(" + ", ".join(f"{_signed(b << 56 | LOW)}L" for b in range(BINS)) + ")")
     least = _bound(
         F.sort_array(F.concat(hashes, marks)),
         lambda s: F.filter(s, lambda x, i: (i == 0) | (F.shiftright(x, 56) != F.shiftright(F.get(s, i - 1), 56))),
@@ -65,21 +63,20 @@ def _bins(hashes: Column) -> Column:
     return F.transform(least, lambda x: F.when(x.bitwiseAND(F.lit(LOW)) != LOW, x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")))
 
 
-def _filling(order: Column, probes: int):
+def _filling(turn: int, probes: int):
     """One round: an empty bin takes the first filled one of its probes."""
 
     def fill(d: Column) -> Column:
-        tries = lambda x, i: F.coalesce(x, *(F.get(d, F.get(order, i * probes + k)) for k in range(probes)))
+        probed = lambda i, k: F.pmod(F.xxhash64(F.lit(turn), F.lit(k), i), F.lit(BINS)).cast("int")
+        tries = lambda x, i: F.coalesce(x, *(F.get(d, probed(i, k)) for k in range(probes)))
         return F.when(F.size(F.array_compact(d)) == BINS, d).otherwise(F.transform(d, tries))
 
     return fill
 
 
 def _densified(bins: Column) -> Column:
-    rng = random.Random(20_170)
-    for probes in PROBES:
-        order = F.array(*(F.lit(rng.randrange(BINS)) for _ in range(BINS * probes)))
-        bins = _bound(bins, _filling(order, probes))
+    for turn, probes in enumerate(PROBES):
+        bins = _bound(bins, _filling(turn, probes))
     return F.transform(bins, lambda x: F.coalesce(x, F.lit(0)))
 
 
@@ -143,9 +140,9 @@ def with_next(documents: DataFrame, columns: list[str], key: str = "doc_id") ->
     around = F.when(F.col("_k") == F.lit(found["top"]), F.struct(F.lit(0).alias("stretch"), F.lit(True).alias("copy")))
     rows = rows.withColumn("_to", F.explode(F.array_compact(F.array(own, after, around))))
     order = Window.partitionBy("_to.stretch").orderBy(F.desc("_to.copy"), "_k", F.xxhash64(*columns))
-    for name in columns:
-        rows = rows.withColumn(f"next_{name}", F.lag(name).over(order))
-    return rows.filter("NOT _to.copy").drop("_k", "_first", "_stretch", "_to")
+    # All columns in one window, or each would be sorted and shuffled anew.
+    rows = rows.withColumn("_next", F.lag(F.struct(*columns)).over(order)).filter("NOT _to.copy")
+    return rows.select(*documents.columns, *(F.col(f"_next.{name}").alias(f"next_{name}") for name in columns))
 
 
 def compared(documents: DataFrame) -> DataFrame:
