@@ -34,11 +34,10 @@ def strip_accents(c: Column) -> Column:
     forms = _plain_forms()
     single = {a: p for a, p in forms.items() if len(p) == 1}
     several = {a: p for a, p in forms.items() if len(p) > 1}
-    spelled = c
-    for letter, plain in several.items():
-        spelled = F.replace(spelled, F.lit(letter), F.lit(plain))
-    # Ligatures and fractions are rare, so only texts that hold one are taken through.
-    spelled = F.when(c.rlike(f"[{''.join(several)}]"), spelled).otherwise(c)
+    # Ligatures and fractions are rare, so only texts that hold one are taken apart.
+    known = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    letters = F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(known, x), x))
+    spelled = F.when(c.rlike(f"[{''.join(several)}]"), F.array_join(letters, "")).otherwise(c)
     return F.regexp_replace(F.translate(spelled, "".join(single), "".join(single.values())), r"[^\x00-\x7F]", "")
 
 
