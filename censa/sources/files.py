@@ -185,16 +185,20 @@ def file_columns(spark: SparkSession, *paths: str) -> DataFrame:
             found = [footer(path) for path in batch["path"]]
             yield batch.assign(columns=[names for names, _ in found], reason=[why for _, why in found])
 
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).select("path")
-    return listing.mapInPandas(footers, "path string, columns array<string>, reason string")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    named = listing.select("path", F.col("_metadata.file_path").alias("file_path"))
+    return named.mapInPandas(footers, "path string, file_path string, columns array<string>, reason string")
 
 
 def checked_files(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> DataFrame:
-    """``path`` and ``reason`` of each data file: null for a valid one, else why it is rejected."""
+    """``path``, ``file_path`` (as row metadata has it) and ``reason`` of each data file.
+
+    The reason is null for a valid file, else why it is rejected.
+    """
     wanted = F.array(*[F.lit(c.lower()) for c in types])
     absent = F.array_except(wanted, F.col("columns"))
     lacks = F.when(F.size(absent) > 0, F.concat(F.lit("columns missing: "), F.array_join(absent, ", ")))
-    return file_columns(spark, *paths).select("path", F.coalesce("reason", lacks).alias("reason"))
+    return file_columns(spark, *paths).select("path", "file_path", F.coalesce("reason", lacks).alias("reason"))
 
 
 def valid_paths(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> list[str]:
@@ -204,11 +208,17 @@ def valid_paths(spark: SparkSession, paths: Sequence[str], types: dict[str, str]
 
 
 def read_valid(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> DataFrame:
-    """Rows of the valid files."""
-    valid = valid_paths(spark, paths, types)
-    if not valid:
+    """Rows of the valid files; their names are joined, so the driver holds no list of them."""
+    valid = checked_files(spark, paths, types).filter(F.col("reason").isNull())
+    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+    try:
+        rows = reader.parquet(*paths)
+    except AnalysisException as nothing:
+        if nothing.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         return spark.createDataFrame([], struct_of({c: "TEXT" for c in types}))
-    return spark.read.option("mergeSchema", True).parquet(*valid)
+    named = rows.select("*", F.col("_metadata.file_path").alias("__file"))
+    return named.join(valid.select(F.col("file_path").alias("__file")), "__file", "left_semi").select(*rows.columns)
 
 
 def batch_sizes(df: DataFrame, size: int = 100_000) -> DataFrame:
