@@ -118,7 +118,7 @@ def sketches(hashes: np.ndarray, stops: np.ndarray) -> np.ndarray:
     return out
 
 
-def signed(documents: DataFrame) -> DataFrame:
+def signed(documents: DataFrame, order: str = "doc_id") -> DataFrame:
     """Per row its words (32-bit hashes), two hashes of the whole, and its sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,13 +132,13 @@ def signed(documents: DataFrame) -> DataFrame:
             keys = np.array([(d >> 64, d & (1 << 64) - 1) for d in map(xxhash.xxh3_128_intdigest, own)], np.uint64).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, SKETCHES), pa.int32()), pa.array(rows.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(own, pa.binary()), lists],
-                ["row", "doc_id", "key", "key2", "words", "sketches"],
+                [batch.column("row"), batch.column("doc_id"), batch.column("order"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(own, pa.binary()), lists],
+                ["row", "doc_id", "order", "key", "key2", "words", "sketches"],
             )
 
     text = F.col("text").cast("string").alias("text")
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text)
-    return rows.mapInArrow(run, "row long, doc_id long, key long, key2 long, words binary, sketches array<long>")
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(order).cast("long").alias("order"), text)
+    return rows.mapInArrow(run, "row long, doc_id long, order long, key long, key2 long, words binary, sketches array<long>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -259,9 +259,12 @@ def _linked(blocks: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long, similarity double")
 
 
-def classes(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``class_id``, ``class_size`` and ``kept`` of every row."""
-    rows = kept(signed(documents), "near-rows")
+def classes(documents: DataFrame, order: str = "doc_id") -> DataFrame:
+    """``doc_id``, ``class_id``, ``class_size`` and ``kept`` of every row.
+
+    Of a class the row with the smallest ``order`` stays (nulls last).
+    """
+    rows = kept(signed(documents, order), "near-rows")
     # One node for each distinct sequence of words; copies combine before the shuffle.
     same = kept(rows.groupBy("key", "key2").agg(F.min("row").alias("node")), "near-nodes")
     nodes = rows.select("row", "sketches").join(same.select(F.col("node").alias("row")), "row", "left_semi")
@@ -273,9 +276,12 @@ def classes(documents: DataFrame) -> DataFrame:
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     members = sketched.join(full, "bucket").select("bucket", "n", "node", F.pmod(F.xxhash64("bucket", "node"), n_blocks).cast("int").alias("block"))
     members = kept(members, "near-members")
+    # The words of members only, written once: they are needed for each round of links.
+    # No side of these joins has a bound, so they are sorted ones at every size.
     words = rows.select(F.col("row").alias("node"), "words")
+    words = kept(words.join(members.select("node").distinct().hint("merge"), "node", "left_semi"), "near-words")
     fresh = members.select("bucket", F.col("block").cast("long").alias("block"), "node", F.col("node").alias("known"), F.lit(0).alias("side"))
-    links = kept(_linked(fresh.join(words, "node")), "near-links")
+    links = kept(_linked(fresh.join(words.hint("merge"), "node")), "near-links")
     label = components(links)
     large = members.filter(F.col("n") > BLOCK)
     if not large.isEmpty():
@@ -301,14 +307,15 @@ def _across(large: DataFrame, label: DataFrame, words: DataFrame) -> DataFrame:
     # A node of the part that the block holds itself is there once, as a node of the part.
     blocks = blocks.filter("NOT (out AND block % parts = part)").drop("out", "part", "parts")
     parts = told.filter(out).select("bucket", F.explode(F.transform(F.sequence(F.lit(0), total - 1), lambda b: place(b, part))).alias("block"), "node", "known", F.lit(1).alias("side"))
-    return kept(_linked(blocks.unionByName(parts).join(words, "node")), "near-links")
+    return kept(_linked(blocks.unionByName(parts).join(words.hint("merge"), "node")), "near-links")
 
 
 def _described(rows: DataFrame, same: DataFrame, label: DataFrame) -> DataFrame:
     grouped = same.join(label, "node", "left").select("key", "key2", F.coalesce("component", "node").alias("class"))
     # Few keys are hot: copies of one text, and classes; the skew join splits them.
-    placed = kept(rows.select("row", "doc_id", "key", "key2").join(grouped, ["key", "key2"]).select("row", "doc_id", "class"), "near-placed")
-    first = placed.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("class_size"))
+    placed = kept(rows.select("row", "doc_id", "order", "key", "key2").join(grouped, ["key", "key2"]).select("row", "doc_id", "order", "class"), "near-placed")
+    first = placed.groupBy("class").agg(F.min(F.struct(F.col("order").isNull().alias("no"), "order", "row", "doc_id")).alias("first"), F.count(F.lit(1)).alias("class_size"))
+    first = kept(first, "near-first")
     return placed.join(first, "class").select(
         "doc_id",
         F.col("first.doc_id").alias("class_id"),
@@ -318,7 +325,8 @@ def _described(rows: DataFrame, same: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
-    """One row of each class, with its columns.  ``documents``: a written table, read in the same way twice."""
-    numbered = kept(documents.withColumn("_near", F.monotonically_increasing_id()), "near-input")
-    dropped = classes(numbered.withColumn("doc_id", F.col("_near"))).filter("NOT kept").select(F.col("doc_id").alias("_near"))
-    return numbered.join(dropped, "_near", "left_anti").drop("_near")
+    """One row of each class, with its columns (the row of the smallest number where a class has no ``doc_id``)."""
+    row = "near_row" + "_" * max(map(len, documents.columns))  # none of the columns is that long
+    numbered = kept(documents.withColumn(row, F.monotonically_increasing_id()), "near-input")
+    found = classes(numbered.select(F.col(row).alias("doc_id"), "text", F.col("doc_id").cast("long").alias("order")), "order")
+    return numbered.join(found.filter("NOT kept").select(F.col("doc_id").alias(row)), row, "left_anti").select(*documents.columns)
