@@ -79,7 +79,9 @@ def groups(documents: DataFrame) -> DataFrame:
     alone = asked.filter("NOT maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
     some = asked.filter("maybe")
     first = some.groupBy("sha").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("group_size"))
-    # A text with very many copies is a hot key on one side only, which the skew join splits.
+    # A text with very many copies is a hot key on one side only.  The skew join splits it,
+    # as both sides are plain shuffles: the groups are written first.
+    first = kept(first, "exact-groups")
     repeated = some.join(first, "sha").select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), F.col("sha").alias("text_sha256")
     )
