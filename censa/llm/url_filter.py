@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from censa.llm.components import components
 from censa.llm.shared import kept
 
+SALTS = 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
@@ -72,8 +73,11 @@ def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
     named = rules.select(F.col("host").alias("suffix"), F.col("path").alias("start"), "action")
     each = F.struct(F.length(F.concat("suffix", "start")).alias("n"), F.length("suffix").alias("m"), F.concat("suffix", "start").alias("rule"), "start", "action")
     by_host = suffixes.join(named, "suffix").groupBy("host").agg(F.collect_set(each).alias("_rules"))
+    # A host may have a third of all urls, so each host's urls are dealt to SALTS parts.
+    by_host = by_host.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     best = F.array_max(F.filter("_rules", lambda r: F.col("path").startswith(r["start"])))
-    return urls.join(by_host, "host", "left").withColumn("_best", best).select(*urls.columns, F.col("_best.rule").alias("rule"), F.col("_best.action").alias("action"))
+    salted = urls.withColumn("_salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
+    return salted.join(by_host, ["host", "_salt"], "left").withColumn("_best", best).select(*urls.columns, F.col("_best.rule").alias("rule"), F.col("_best.action").alias("action"))
 
 
 def judged(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
