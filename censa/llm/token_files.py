@@ -128,7 +128,8 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return rows.join(bases, "part").withColumn("start", F.col("base") + F.col("first")).drop("base")
+    # As many rows as the write had partitions, so the segments stay where they are read.
+    return rows.join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("first")).drop("base")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
