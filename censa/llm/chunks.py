@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from typing import ClassVar
 
 import numpy as np
 import regex
@@ -36,10 +37,13 @@ class _Numbers(dict):
 class ChunkTable:
     """``encode`` gives each of a list of chunks its values; ``limit`` bounds the kept characters.
 
-    When the table is full it starts anew, so its memory does not grow with the data.
+    When the table is full it starts anew, so its memory does not grow with the data.  A
+    worker process serves one operator after another, so only the table in use is kept.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype, limit: int = 6_000_000) -> None:
+    in_use: ClassVar[ChunkTable | None] = None
+
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype, limit: int = 1_500_000) -> None:
         self.encode, self.dtype, self.limit = encode, dtype, limit
         self._clear()
 
@@ -50,6 +54,8 @@ class ChunkTable:
         self.pool = np.empty(1 << 16, self.dtype)
         self.starts = np.empty(1 << 14, np.int64)
         self.sizes = np.empty(1 << 14, np.int64)
+        if hasattr(self.encode, "known"):
+            self.encode.known = {}
 
     def _learn(self) -> None:
         new = self.numbers.new
@@ -70,6 +76,10 @@ class ChunkTable:
 
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The values of all texts one after the other, and where each text starts (one more at the end)."""
+        if ChunkTable.in_use is not self:
+            if ChunkTable.in_use is not None:
+                ChunkTable.in_use._clear()
+            ChunkTable.in_use = self
         if self.chars > self.limit:
             self._clear()
         found: list[int] = []

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from censa.session import scratch_path
 
 #: Text handed to one step of Python code, in bytes; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

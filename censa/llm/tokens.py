@@ -23,7 +23,7 @@ from censa.llm.chunks import ChunkTable
 #: library, so such chunks are split into words by the tokenizer library itself.
 NEWER = "Ԁ"
 #: Words whose ids are remembered; then the memory starts anew.
-WORDS = 200_000
+WORDS = 80_000
 
 
 def _byte_letters() -> dict[int, str]:
