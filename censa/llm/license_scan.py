@@ -1,7 +1,9 @@
 """Licence recognition by sentences and ordered rules.
 
 A text is cut into sentences, which are normalised (lower case, letters and digits only)
-and looked up among known licence sentences.  The text's sequence of sentence
+and looked up among known licence sentences.  A sentence starts and ends at punctuation
+or at a line; line breaks inside it, with comment marks around them, are spaces, so that
+wrapped and commented notices are found as well.  The text's sequence of sentence
 identifiers is then matched against rules in their order: a rule that finds its
 identifiers one after the other takes them, so that a full licence wins over a mere
 mention and no sentence serves two rules.  Identifiers that no rule took are reported.
@@ -63,40 +65,87 @@ RULES = [
     ("all-rights-reserved", ("rights",)),
 ]
 
-END = re.compile(r"(?<=[.!?;:])\s+|[\r\n\x0b\x0c\x85\u2028\u2029]+")
+END = re.compile(r"(?<=[.!?;:])\s+")
+LINE = re.compile(r"[\r\n\x0b\x0c\x85\u2028\u2029]+")
 OTHER = re.compile(r"[\W_]+")
 FIRST = re.compile(r"[^\W_]+")
+#: Comment marks that are words; all others hold no letter and fall out by themselves.
+MARKS = {"dnl", "rem"}
 
 
 def normal(sentence: str) -> str:
     return OTHER.sub(" ", sentence.lower()).strip()
 
 
+def lines(sentence: str) -> list[tuple[str, str]]:
+    """The lines of a sentence that hold words, each after its first word in lower case."""
+    out = []
+    for line in LINE.split(sentence):
+        first = FIRST.search(line)
+        if first and first[0].lower() in MARKS:
+            line = line[first.end() :]
+            first = FIRST.search(line)
+        if first:
+            out.append((first[0].lower(), line))
+    return out
+
+
 class Scanner:
     """Sentences and rules made ready for lookup."""
 
     def __init__(self, sentences: dict[str, str], rules: list[tuple[str, tuple[str, ...]]]) -> None:
-        # By its first part: a known text may itself be cut, at a colon say.
+        # By its first word: a known text may itself be cut, at a colon say.
         self.known: dict[str, list[tuple[list[str], str]]] = {}
         for name, text in sentences.items():
             parts = [p for p in map(normal, END.split(text)) if p]
-            self.known.setdefault(parts[0], []).append((parts, name))
-        for found in self.known.values():
-            found.sort(key=lambda f: -len(f[0]))
-        self.starts = {k.split(" ", 1)[0] for k in self.known}
+            self.known.setdefault(parts[0].split(" ", 1)[0], []).append((parts, name))
+        for found in self.known.values():  # the longest first: one may start like another
+            found.sort(key=lambda f: -sum(map(len, f[0])))
         self.rules = rules
 
+    @staticmethod
+    def _end(sentence: list[tuple[str, str]], at: int, part: str) -> int:
+        """The line after those from ``at`` that together are ``part``, or -1."""
+        rest = part
+        while at < len(sentence):
+            line = normal(sentence[at][1])
+            at += 1
+            if line == rest:
+                return at
+            if not rest.startswith(line + " "):
+                return -1
+            rest = rest[len(line) + 1 :]
+        return -1
+
+    def _after(self, sentences: list[list[tuple[str, str]]], row: int, at: int, parts: list[str]) -> tuple[int, int] | None:
+        """The place after a known text that starts at a line of a sentence, if it does."""
+        for k, part in enumerate(parts):
+            if k:  # the part before must have taken its sentence to the end
+                if at < len(sentences[row]) or row + 1 == len(sentences):
+                    return None
+                row, at = row + 1, 0
+            at = self._end(sentences[row], at, part)
+            if at < 0:
+                return None
+        return row, at
+
     def identifiers(self, text: str) -> list[str]:
         """Known sentences of a text in their order."""
         found = []
-        sentences = [x for x in END.split(text) if FIRST.search(x)]
-        for at, sentence in enumerate(sentences):
-            # Few sentences start like a known one; only they are normalised as a whole.
-            if FIRST.search(sentence)[0].lower() in self.starts:
-                for parts, name in self.known.get(normal(sentence), ()):
-                    if [normal(x) for x in sentences[at : at + len(parts)]] == parts:
-                        found.append(name)
-                        break
+        sentences = [x for x in map(lines, END.split(text)) if x]
+        row, at = 0, 0
+        while row < len(sentences):
+            if at == len(sentences[row]):
+                row, at = row + 1, 0
+                continue
+            after = None
+            # Few lines start like a known text; only they are normalised as a whole.
+            for parts, name in self.known.get(sentences[row][at][0], ()):
+                after = self._after(sentences, row, at, parts)
+                if after:
+                    found.append(name)
+                    break
+            row, at = after or (row, at + 1)
         return found
 
     def licences(self, identifiers: list[str]) -> tuple[list[str], list[str]]:

@@ -2,6 +2,7 @@ import hashlib
 import heapq
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -267,6 +268,31 @@ def test_licences(spark, messy, nothing):
     assert license_scan.scanned(messy).count() == messy.count() and license_scan.scanned(nothing).count() == 0
 
 
+def test_wrapped_and_commented_licences():
+    known = license_scan.SENTENCES
+    notices = {
+        "MIT": ["Copyright (c) 2020 A. Person", ("mit-grant",), ("mit-notice",), 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.'],
+        "BSD-3-Clause": [("bsd-redistribution",), "1. Redistributions of source code must retain the notice.", "3. " + known["bsd-names"]],
+        "GPL-3.0-or-later": [("gpl-free",), known["gpl-hope"] + " without even the implied warranty of FITNESS.", "You should have received a copy."],
+        "Apache-2.0": [("apache-2-header", "apache-compliance"), ("apache-copy",), "http://www.apache.org/licenses/LICENSE-2.0", ("apache-as-is",)],
+    }
+    scanner = license_scan.Scanner(known, license_scan.RULES)
+    for licence, paragraphs in notices.items():
+        paragraphs = [p if isinstance(p, str) else " ".join(known[k] for k in p) for p in paragraphs]
+        stream = " ".join(license_scan.normal(p) for p in paragraphs)
+        places = {n: stream.find(license_scan.normal(t)) for n, t in known.items()}
+        want = sorted((n for n, k in places.items() if k >= 0 and (n, licence) != ("apache-2", "Apache-2.0")), key=places.get)
+        assert len(want) >= 2
+        for width in (24, 60, 72, 80):
+            for mark in ("", "# ", "// ", " * ", "dnl ", "REM ", "> "):
+                for gap, end in (("", "\n"), (mark.rstrip(), "\n"), (mark, "\r\n")):
+                    wrapped = f"{end}{gap}{end}".join(end.join(mark + x for x in textwrap.wrap(p, width, break_long_words=False)) for p in paragraphs)
+                    got = scanner.identifiers("Some words before it\n" + wrapped + "\nint main()")
+                    assert got == want, (licence, width, mark)
+                    assert scanner.licences(got) == ([licence], [])
+    assert scanner.identifiers("All rights. Reserved seats only\nThis work is\nnot in the public domain.") == []
+
+
 @pytest.fixture(scope="module")
 def told(spark):
     rng = random.Random(6)
