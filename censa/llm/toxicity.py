@@ -5,11 +5,13 @@ word shares both of its rows with an unlike one hardly ever, and one that the sa
 does not hold still has the row of its stem.  Filters of one, two and three words run over the whole
 text, each keeps its largest value (max pooling), and a logistic unit joins them.  The
 first embedding coordinate starts from the word's smoothed log-odds in the sample, all
-else from small random numbers.  Scores are calibrated to probabilities on rows kept out
-of the training; thresholds are then set for each language.
+else from small random numbers.  Scores are calibrated to probabilities; thresholds are then
+set for each language.
 
-The model learns from a bounded sample of the labelled rows (``MOST``); scoring reads
-every whole text and nothing else.  Null and empty texts get the score of a text
+The model learns from a bounded sample of the labelled rows (``MOST``).  Calibration and
+thresholds look at every labelled row that is not held out, each by the logit of a model
+that was not fitted on it: rows outside the sample by the model itself, rows of the sample
+by one fitted on the other folds.  Scoring reads every whole text and nothing else.  Null and empty texts get the score of a text
 without words.  Rows of unknown language, or one with few labels, take ``THRESHOLD``.
 With labels of one kind only, or none, every score is their smoothed mean.  Repeated
 rows get equal scores; labels given twice for a document count once, toxic if any is.
@@ -24,6 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +42,12 @@ PAD = 3
 MOST = {1: 1200, 0: 2800}
 EPOCHS, BATCH, RATE, DECAY = 16, 32, 0.05, 1e-4
 THRESHOLD = 0.7
-#: Labelled toxic rows a language needs for a threshold of its own.
+#: Parts of the sample; each gets its logits from a model fitted on the others.
+FOLDS = 5
+#: Labelled toxic rows a language needs for a threshold of its own, of all that are not held out.
 LEAST = 20
+#: Bins of logits, for one unit.
+BINS = 50
 SEED = 11
 
 WORD = re.compile(r"\w+")
@@ -91,7 +98,6 @@ class Model:
         self.bias = {w: np.zeros(f) for w, f in FILTERS.items()}
         self.join = np.concatenate([np.full(f, 0.1) for f in FILTERS.values()])
         self.base = 0.0
-        self.slope, self.shift = 1.0, 0.0
 
     def forward(self, rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pooled values, the place of each, and the logit of every text."""
@@ -154,26 +160,39 @@ class Model:
                     sums["t"][t, which] += total * total
                     self.tables[t, which] -= RATE * total / np.sqrt(sums["t"][t, which])
 
-    def calibrate(self, logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> None:
-        """Slope and shift that make the logits log-odds, by Newton steps with a prior on both."""
-        x = np.stack([logits, np.ones_like(logits)], axis=1)
-        at = np.array([1.0, 0.0])
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
-            grad = x.T @ (weights * (p - labels)) + 0.1 * (at - [1.0, 0.0])
-            at = at - np.linalg.solve((x * (weights * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2), grad)
-        self.slope, self.shift = max(float(at[0]), 0.0), float(at[1])
-
     def tapped(self) -> dict:
         """What scoring needs: for each table row its share in every filter, as one gather."""
         shares = {(w, k, t): (self.tables[t] @ taps[k][t * WIDTH : (t + 1) * WIDTH]).astype(np.float32) for w, taps in self.filters.items() for k in range(w) for t in (0, 1)}
-        return {"shares": shares, "bias": self.bias, "join": self.join, "base": self.base, "slope": self.slope, "shift": self.shift}
+        return {"shares": shares, "bias": self.bias, "join": self.join, "base": self.base}
+
+
+def calibrated(logits: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> dict[str, float]:
+    """Slope and shift that make the logits log-odds, by Newton steps with a prior on both."""
+    x = np.stack([logits, np.ones_like(logits)], axis=1)
+    at = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = _probability(x @ at)
+        grad = x.T @ (counts * (p - labels)) + 0.1 * (at - [1.0, 0.0])
+        at = at - np.linalg.solve((x * (counts * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2), grad)
+    return {"slope": max(float(at[0]), 0.0), "shift": float(at[1])}
+
+
+def _probability(logits: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+
+
+def _bins(logits: np.ndarray) -> np.ndarray:
+    return np.round(np.clip(logits, -30, 30) * BINS).astype(np.int32)
 
 
 def scores(model: dict, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The score of each text, 0 to 1."""
     if "constant" in model:
         return np.full(len(bounds) - 1, model["constant"])
+    return _probability(model["slope"] * _logits(model, codes, bounds) + model["shift"])
+
+
+def _logits(model: dict, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     rows, starts = padded(codes, bounds)
     pooled = []
     for w, bias in model["bias"].items():
@@ -183,8 +202,7 @@ def scores(model: dict, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
             values[:-k] += model["shares"][w, k, 0][rows[k:, 0]]
             values[:-k] += model["shares"][w, k, 1][rows[k:, 1]]
         pooled.append(np.maximum(np.maximum.reduceat(values, starts, axis=0) + bias, 0))
-    logits = np.concatenate(pooled, axis=1) @ model["join"] + model["base"]
-    return 1 / (1 + np.exp(-np.clip(model["slope"] * logits + model["shift"], -30, 30)))
+    return np.concatenate(pooled, axis=1) @ model["join"] + model["base"]
 
 
 def trained(documents: DataFrame, labels: DataFrame) -> dict:
@@ -212,20 +230,71 @@ def trained(documents: DataFrame, labels: DataFrame) -> dict:
         return {"constant": (seen[1] + 0.5) / (sum(seen.values()) + 1), "thresholds": {}}
     texts = [np.frombuffer(r["codes"], np.int64) for r in found]
     toxic = np.array([r["toxic"] for r in found], float)
-    apart = np.arange(len(found)) % 5 == 0  # for calibration and thresholds
-    model = Model(_log_odds([t for t, a in zip(texts, apart, strict=True) if not a], toxic[~apart]))
-    model.fit([t for t, a in zip(texts, apart, strict=True) if not a], toxic[~apart])
-    own = [i for i in np.flatnonzero(apart).tolist()]
-    codes, bounds = np.concatenate([texts[i] for i in own]), np.concatenate([[0], np.cumsum([len(texts[i]) for i in own])])
-    logits = np.concatenate([model.forward(*padded(codes[lo:hi], np.array([0, hi - lo])))[2] for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
-    share = np.array([seen[k] / max(1, int((toxic == k).sum())) for k in (0, 1)])
-    weights = share[toxic[apart].astype(int)]
-    model.calibrate(logits, toxic[apart], weights / weights.mean())
+    fold = np.zeros(len(found), int)
+    for k in (0, 1):
+        fold[toxic == k] = np.arange((toxic == k).sum()) % FOLDS
+    context = documents.sparkSession.sparkContext
+    held = context.broadcast((texts, toxic, fold))
+
+    def fitted(k: int) -> tuple[dict, list[np.ndarray], list[np.ndarray]] | list[float]:
+        """The logits of fold ``k`` by a model of the others; after the last fold the model of the whole sample.
+
+        Only table rows of the sample's words are handed back; all others are as they were before the fit.
+        """
+        texts, toxic, fold = held.value
+        rest = np.flatnonzero(fold != k).tolist()
+        model = Model(_log_odds([texts[i] for i in rest], toxic[rest]))
+        model.fit([texts[i] for i in rest], toxic[rest])
+        if k == FOLDS:
+            words = np.concatenate(texts)
+            used = [np.unique(words >> 32), np.unique(words & 0xFFFFFFFF)]
+            learned = [model.tables[t][used[t]] for t in (0, 1)]
+            model.tables = None
+            return vars(model), used, learned
+        return [float(model.forward(*padded(texts[i], np.array([0, len(texts[i])])))[2][0]) for i in np.flatnonzero(fold == k).tolist()]
+
+    *parts, (learned, used, values) = context.parallelize(range(FOLDS + 1), FOLDS + 1).map(fitted).collect()
+    held.destroy()
+    model = Model(_log_odds([], np.zeros(0)))
+    vars(model).update(learned | {"tables": model.tables})
+    for t in (0, 1):
+        model.tables[t, used[t]] = values[t]
     out = model.tapped()
-    out["thresholds"] = _thresholds(scores(out, codes, bounds), toxic[apart], weights, [found[i]["lang"] for i in own])
+    bins = np.zeros(len(found), np.int32)
+    for k, part in enumerate(parts):
+        bins[fold == k] = _bins(np.array(part))
+    counted = [(r["lang"], r["toxic"], b, 1) for r, b in zip(found, bins.tolist(), strict=True)]
+    if any(seen[k] > MOST[k] for k in (0, 1)):
+        used = documents.sparkSession.createDataFrame([(r["doc_id"],) for r in found], "doc_id long")
+        held = context.broadcast(out)
+        counted += [tuple(r) for r in _rest(text, told, used, held).collect()]
+        held.destroy()
+    langs, label, x, counts = (list(c) for c in zip(*counted, strict=True))
+    label, x, counts = np.array(label, float), np.array(x) / BINS, np.array(counts, float)
+    out |= calibrated(x, label, counts)
+    out["thresholds"] = _thresholds(_probability(out["slope"] * x + out["shift"]), label, counts, langs)
     return out
 
 
+def _rest(text: DataFrame, told: DataFrame, used: DataFrame, held: Broadcast) -> DataFrame:
+    """``lang``, ``toxic``, ``bin`` and number of the labelled documents outside the sample.
+
+    Texts are scored where they are read; only numbers are shuffled.  A repeated document
+    counts once, by the row of the least text hash.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in steps(batches):
+            own = _bins(_logits(held.value, *word_table().rows(texts)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("doc_id", "lang", "hash")), pa.array(own)], ["doc_id", "lang", "hash", "bin"])
+
+    rows = text.filter(~held_out(F.col("doc_id"))).withColumn("hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, lang string, hash long, bin int")
+    single = rows.groupBy("doc_id").agg(F.min(F.struct("hash", "lang", "bin")).alias("row"))
+    # As many rows as the sample, of one number.
+    rest = told.join(F.broadcast(used), "doc_id", "left_anti")
+    return single.join(rest, "doc_id").groupBy("row.lang", "toxic", "row.bin").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _log_odds(texts: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """Tables whose first coordinate holds each row's smoothed log-odds, shrunk where it was seen in few texts."""
     tables = np.random.default_rng(SEED).normal(0, 0.05, (2, ROWS, WIDTH))
@@ -240,18 +309,18 @@ def _log_odds(texts: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     return tables
 
 
-def _thresholds(score: np.ndarray, toxic: np.ndarray, weights: np.ndarray, langs: list[str | None]) -> dict[str, float]:
+def _thresholds(score: np.ndarray, toxic: np.ndarray, counts: np.ndarray, langs: list[str | None]) -> dict[str, float]:
     """For each language with LEAST toxic rows the threshold of the best F1, nearest to THRESHOLD."""
     out = {}
     names = np.array([x or "" for x in langs])
     for lang in sorted(set(names) - {""}):
         own = names == lang
-        if toxic[own].sum() < LEAST:
+        if (counts[own] * toxic[own]).sum() < LEAST:
             continue
         best = (-1.0, 0.0, THRESHOLD)
         for threshold in np.arange(0.3, 0.96, 0.05).round(2).tolist():
-            hit = weights[own] * (score[own] >= threshold)
-            f1 = 2 * (hit * toxic[own]).sum() / (hit.sum() + (weights[own] * toxic[own]).sum())
+            hit = counts[own] * (score[own] >= threshold)
+            f1 = 2 * (hit * toxic[own]).sum() / (hit.sum() + (counts[own] * toxic[own]).sum())
             best = max(best, (round(float(f1), 4), -abs(threshold - THRESHOLD), threshold))
         out[lang] = best[2]
     return out

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from censa.llm import exact_dedup, fingerprints, license_scan, near_dedup, sharding, toxicity, url_filter
@@ -325,6 +326,26 @@ def test_toxicity_on_rows_held_out(spark, told):
     assert all(again[r["doc_id"]] == pytest.approx(r["score"]) for r in found)
 
 
+def test_thresholds_look_at_all_labelled_rows(spark, told, monkeypatch):
+    documents, labels = told
+    # A language with few more toxic rows than it needs, over all rows that may be learned from.
+    few = [r["doc_id"] for r in labels.filter("toxic = 1").filter(~toxicity.held_out(labels["doc_id"])).orderBy("doc_id").limit(toxicity.LEAST + 4).collect()]
+    named = documents.withColumn("lang", F.when(F.col("doc_id").isin(few), "es").when(F.col("doc_id") % 2 == 0, "en"))
+    seen = []
+    thresholds = toxicity._thresholds
+    monkeypatch.setattr(toxicity, "_thresholds", lambda score, toxic, counts, langs: seen.append((toxic, counts, langs)) or thresholds(score, toxic, counts, langs))
+    rare = {r["doc_id"] for r in labels.filter("toxic = 1").collect()} - set(few)
+    want = [tuple(r) for r in named.join(labels, "doc_id").filter(~toxicity.held_out(F.col("doc_id"))).select("lang", "toxic").collect()]
+    for most in (toxicity.MOST, {1: 40, 0: 150}):  # all rows in the sample, and most of them outside
+        monkeypatch.setattr(toxicity, "MOST", most)
+        model = toxicity.trained(named.unionByName(named.filter(F.col("doc_id").isin(list(rare)[:5]))) if most[1] == 40 else named, labels)
+        assert set(model["thresholds"]) == {"en", "es"}
+        toxic, counts, langs = seen.pop()
+        found = [(lang, int(t)) for lang, t, n in zip(langs, toxic, counts, strict=True) for _ in range(int(n))]
+        assert sorted(map(str, found)) == sorted(map(str, want))
+    assert not seen
+
+
 def test_toxicity_without_labels_and_of_messy_rows(spark, told, messy, nothing):
     documents, labels = told
     for few in (labels.limit(0), labels.filter("toxic = 0"), labels.selectExpr("doc_id", "cast(null AS int) AS toxic")):
