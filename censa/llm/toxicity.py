@@ -14,7 +14,8 @@ that was not fitted on it: rows outside the sample by the model itself, rows of
 by one fitted on the other folds.  Scoring reads every whole text and nothing else.  Null and empty texts get the score of a text
 without words.  Rows of unknown language, or one with few labels, take ``THRESHOLD``.
 With labels of one kind only, or none, every score is their smoothed mean.  Repeated
-rows get equal scores; labels given twice for a document count once, toxic if any is.
+rows get equal scores; labels given twice for a document count once, toxic if any is, and a
+document given twice is learned from once, by the row of the least text hash.
 """
 
 from __future__ import annotations
@@ -223,8 +224,10 @@ def trained(documents: DataFrame, labels: DataFrame) -> dict:
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("doc_id", "lang", "toxic")), pa.array(own, pa.binary())], ["doc_id", "lang", "toxic", "codes"])
 
     text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    # The sample has at most sum(MOST) rows of two numbers.
-    found = text.join(F.broadcast(sample), "doc_id").mapInArrow(coded, "doc_id long, lang string, toxic int, codes binary").collect()
+    text = text.withColumn("hash", F.xxhash64("text"))
+    # The sample has at most sum(MOST) rows of two numbers; repeated documents become one before they are shuffled.
+    single = text.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("hash", "lang", "text")).alias("row"))
+    found = single.select("doc_id", "row.lang", "toxic", "row.text").mapInArrow(coded, "doc_id long, lang string, toxic int, codes binary").collect()
     found = sorted(found, key=lambda r: (xxhash.xxh64_intdigest(str(r["doc_id"])), r["codes"]))
     if len({r["toxic"] for r in found}) < 2:
         return {"constant": (seen[1] + 0.5) / (sum(seen.values()) + 1), "thresholds": {}}
@@ -279,8 +282,7 @@ def trained(documents: DataFrame, labels: DataFrame) -> dict:
 def _rest(text: DataFrame, told: DataFrame, used: DataFrame, held: Broadcast) -> DataFrame:
     """``lang``, ``toxic``, ``bin`` and number of the labelled documents outside the sample.
 
-    Texts are scored where they are read; only numbers are shuffled.  A repeated document
-    counts once, by the row of the least text hash.
+    Texts are scored where they are read; only numbers are shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +290,7 @@ def _rest(text: DataFrame, told: DataFrame, used: DataFrame, held: Broadcast) ->
             own = _bins(_logits(held.value, *word_table().rows(texts)))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("doc_id", "lang", "hash")), pa.array(own)], ["doc_id", "lang", "hash", "bin"])
 
-    rows = text.filter(~held_out(F.col("doc_id"))).withColumn("hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, lang string, hash long, bin int")
+    rows = text.filter(~held_out(F.col("doc_id"))).mapInArrow(run, "doc_id long, lang string, hash long, bin int")
     single = rows.groupBy("doc_id").agg(F.min(F.struct("hash", "lang", "bin")).alias("row"))
     # As many rows as the sample, of one number.
     rest = told.join(F.broadcast(used), "doc_id", "left_anti")

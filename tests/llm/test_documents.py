@@ -346,6 +346,17 @@ def test_thresholds_look_at_all_labelled_rows(spark, told, monkeypatch):
     assert not seen
 
 
+def test_a_repeated_document_is_learned_from_once(spark, told, monkeypatch):
+    documents, labels = told
+    hot = labels.filter(~toxicity.held_out(labels["doc_id"])).first()["doc_id"]
+    copies = documents.filter(F.col("doc_id") == hot).crossJoin(spark.range(300)).selectExpr("doc_id", "concat(text, ' ', id) AS text", "lang", "source")
+    counts = []
+    monkeypatch.setattr(toxicity, "_thresholds", lambda score, toxic, count, langs: counts.append(count.sum()) or {})
+    models = [toxicity.trained(frame, labels) for frame in (documents.unionByName(copies), copies.repartition(5).unionByName(documents))]
+    assert counts == [labels.filter(~toxicity.held_out(labels["doc_id"])).count()] * 2
+    assert [m["slope"] for m in models] == [models[0]["slope"]] * 2
+
+
 def test_toxicity_without_labels_and_of_messy_rows(spark, told, messy, nothing):
     documents, labels = told
     for few in (labels.limit(0), labels.filter("toxic = 0"), labels.selectExpr("doc_id", "cast(null AS int) AS toxic")):
