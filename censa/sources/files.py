@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from censa.functions.dates import full_year, period_start
 from censa.registry.groups import GROUP_DESCRIPTIONS, STATES, Request
 from censa.registry.types import struct_of
+from censa.session import scratch_path
 
 # Fixed pattern: group code, state, two-digit year and month, optional part number.
 ANY_STATE = "|".join(STATES)
@@ -191,14 +192,14 @@ def file_columns(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def checked_files(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> DataFrame:
-    """``path``, ``file_path`` (as row metadata has it) and ``reason`` of each data file.
+    """``path``, ``file_path`` (as row metadata has it), ``reason`` and ``broken`` of each data file.
 
-    The reason is null for a valid file, else why it is rejected.
+    The reason is null for a valid file, else why it is rejected; a broken file is no Parquet.
     """
     wanted = F.array(*[F.lit(c.lower()) for c in types])
     absent = F.array_except(wanted, F.col("columns"))
     lacks = F.when(F.size(absent) > 0, F.concat(F.lit("columns missing: "), F.array_join(absent, ", ")))
-    return file_columns(spark, *paths).select("path", "file_path", F.coalesce("reason", lacks).alias("reason"))
+    return file_columns(spark, *paths).select("path", "file_path", F.coalesce("reason", lacks).alias("reason"), F.col("columns").isNull().alias("broken"))
 
 
 def valid_paths(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> list[str]:
@@ -208,16 +209,25 @@ def valid_paths(spark: SparkSession, paths: Sequence[str], types: dict[str, str]
 
 
 def read_valid(spark: SparkSession, paths: Sequence[str], types: dict[str, str]) -> DataFrame:
-    """Rows of the valid files; their names are joined, so the driver holds no list of them."""
-    valid = checked_files(spark, paths, types).filter(F.col("reason").isNull())
-    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
-    try:
-        rows = reader.parquet(*paths)
+    """Rows of the valid files; their names are joined, so the driver holds no list of them.
+
+    Nothing is ignored when rows are read: a valid file that then fails is an error.  Only
+    files that are no Parquet are left out of the scan by name.
+    """
+    listed = scratch_path(spark, "checked-files")
+    checked_files(spark, paths, types).write.parquet(listed)
+    checked = spark.read.parquet(listed)
+    valid = checked.filter(F.col("reason").isNull())
+    try:  # footers only; those of broken files are passed over
+        schema = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).parquet(*paths).schema
     except AnalysisException as nothing:
-        if nothing.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+        if nothing.getCondition() != "UNABLE_TO_INFER_SCHEMA" or not valid.isEmpty():
             raise
         return spark.createDataFrame([], struct_of({c: "TEXT" for c in types}))
-    named = rows.select("*", F.col("_metadata.file_path").alias("__file"))
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", False).option("recursiveFileLookup", True).parquet(*paths)
+    # As many names as there are broken files; Spark drops files by name before it opens any.
+    broken = [row.file_path for row in checked.filter("broken").select("file_path").collect()]
+    named = rows.select("*", F.col("_metadata.file_path").alias("__file")).filter(~F.col("_metadata.file_path").isin(broken))
     return named.join(valid.select(F.col("file_path").alias("__file")), "__file", "left_semi").select(*rows.columns)
 
 

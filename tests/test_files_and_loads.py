@@ -135,6 +135,22 @@ def test_batches_and_valid_files(spark, folders):
     assert "absent" in reasons.pop(next(n for n in reasons if n.startswith("part-"))) and "Parquet" in reasons["bad.parquet"]
 
 
+def test_a_valid_file_with_a_damaged_page_is_an_error(spark, tmp_path):
+    for name in ("a", "b"):
+        write(spark, tmp_path / name, [(f"{name}{i}",) for i in range(50)], "x string")
+    (tmp_path / "a/no_parquet.parquet").write_bytes(b"nothing")
+    paths, types = [str(tmp_path / "a"), str(tmp_path / "b")], {"x": "TEXT"}
+    assert files.read_valid(spark, paths, types).count() == 100
+    (part,) = (tmp_path / "b").glob("part-*.parquet")
+    data = bytearray(part.read_bytes())
+    data[4:64] = b"\xff" * 60
+    part.write_bytes(data)
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    assert len(files.valid_paths(spark, paths, types)) == 2
+    with pytest.raises(Exception, match="FAILED_READ_FILE|Could not read|decode|page"):
+        files.read_valid(spark, paths, types).collect()
+
+
 def test_a_store_that_cannot_be_reached_is_no_invalid_file(spark, folders, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame
 
