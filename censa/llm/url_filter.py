@@ -12,6 +12,10 @@ pages are judged one by one.  Nothing is compared but urls with a link.
 
 from __future__ import annotations
 
+import html
+import re
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +23,7 @@ from censa.llm.components import components
 from censa.llm.shared import kept
 
 SALTS = 32
+REFERENCE = re.compile(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
@@ -34,8 +39,21 @@ def path(url: Column) -> Column:
 
 
 def alias(url: Column) -> Column:
-    """A url without its fragment."""
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+    """A url without its fragment, scheme and host in lower case."""
+    whole = F.regexp_replace(url, r"(?s)#.*$", "")
+    start = r"(?s)^([^:/?#]*://)([^/?#]*@)?([^/?#]*)"
+    scheme, user, name = (F.regexp_extract(whole, start, k) for k in (1, 2, 3))
+    return F.concat(F.translate(scheme, UPPER, LOWER), user, F.translate(name, UPPER, LOWER), F.regexp_replace(whole, start, ""))
+
+
+def unescaped(link: Column) -> Column:
+    """A link from an attribute with its character references resolved."""
+    return F.udf(_unescaped, "string", useArrow=False)(link)
+
+
+def _unescaped(link: str) -> str:
+    # Only with a semicolon: a lone ``&copy=`` starts a parameter.
+    return REFERENCE.sub(lambda m: html.unescape(m[0]) if m[1][0] == "#" or f"{m[1]};" in html5 else m[0], link)
 
 
 def resolved(link: Column, base: Column) -> Column:
@@ -54,9 +72,9 @@ def resolved(link: Column, base: Column) -> Column:
 
 def links(pages: DataFrame) -> DataFrame:
     """``a`` and ``b``: aliases that a page's canonical links and refreshes join."""
-    html = F.coalesce(F.col("html"), F.lit(""))
-    found = F.concat(F.regexp_extract_all(html, F.lit(CANONICAL), 1), F.regexp_extract_all(html, F.lit(REFRESH), 1))
-    out = pages.filter("url IS NOT NULL").select("url", F.explode(found).alias("link"))
+    page = F.coalesce(F.col("html"), F.lit(""))
+    found = F.concat(F.regexp_extract_all(page, F.lit(CANONICAL), 1), F.regexp_extract_all(page, F.lit(REFRESH), 1))
+    out = pages.filter("url IS NOT NULL").select("url", F.explode(found).alias("link")).select("url", unescaped(F.col("link")).alias("link"))
     return out.select(alias(F.col("url")).alias("a"), alias(resolved(F.col("link"), F.col("url"))).alias("b"))
 
 

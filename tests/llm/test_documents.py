@@ -120,6 +120,19 @@ def test_urls(spark):
     assert {r["page_id"]: r["verdict"] for r in url_filter.judged(frame, rules, redirects).collect()}[6] == "block"
 
 
+def test_url_aliases_of_other_case_and_with_character_references(spark):
+    rules = spark.createDataFrame([("bad.org", "/", "block")], "host string, path string, action string")
+    link = '<link rel="canonical" href="{}">'
+    pages = [
+        (1, "https://example.com/x?a=1&b=2", ""), (2, "https://www.bad.org/q", link.format("HTTPS://Example.COM/x?a=1&amp;b=2")),
+        (3, "https://example.com/X?a=1&b=2", ""), (4, "http://Other.com/y?a&copy=1#z", ""), (5, "http://bad.org/r", link.format("http://other.com/y?a&copy=1")),
+        (6, "http://third.com/?a&b", ""), (7, "http://bad.org/s", '<meta http-equiv="refresh" content="0; url=http://third.com/?a&#x26;b">'),
+    ]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judged(frame, rules).collect()}
+    assert {k for k, v in found.items() if v == "allow"} == {3}
+
+
 def labelled(text):
     words, seen, out = text.lower().split(), {}, []
     for k in range(max(1, len(words) - 4)):
