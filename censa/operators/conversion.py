@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from censa.functions.convert import error_flag, lost, narrow_value, wide_value
@@ -78,32 +78,27 @@ def error_counts(df: DataFrame) -> DataFrame:
 
 
 def convert_quarantine(
-    df: DataFrame,
-    types: dict[str, str],
-    whole_column: bool = False,
-    boolean_rule: str = "map",
-    strict_digits: bool = False,
+    df: DataFrame, types: dict[str, str], boolean_rule: str = "map", strict_digits: bool = False
 ) -> DataFrame:
-    """Convert and keep what failed in ``new_<column>``.
+    """Convert and keep the values that failed, row by row, in ``new_<column>``."""
+    columns = [c for c in df.columns if _is_declared(types, c)]
+    staged = _staged(df, types, columns, boolean_rule)
+    failed = _lost(types, columns, strict_digits)
+    value = {c: v.alias(c) for c, v in _values(types, columns).items()}
+    kept = [F.when(failed[c], F.col(c)).alias(f"new_{c}") for c in columns]
+    return staged.select(*[value.get(c, F.col(c)) for c in df.columns], *kept)
 
-    Per row, only failing values are kept.  With ``whole_column`` one failure keeps
-    the whole original column and leaves the converted one null; that needs one
-    extra pass to find the failing columns.
-    """
+
+def both_forms(
+    df: DataFrame, types: dict[str, str], failures: Observation, boolean_rule: str = "map", strict_digits: bool = False
+) -> DataFrame:
+    """Declared columns converted, and as they were in ``new_<column>``; ``failures`` counts per column what fails."""
     columns = [c for c in df.columns if _is_declared(types, c)]
     staged = _staged(df, types, columns, boolean_rule)
     failed = _lost(types, columns, strict_digits)
+    seen = staged.observe(failures, F.count(F.lit(1)).alias("__rows"), *[F.count_if(failed[c]).alias(c) for c in columns])
     value = {c: v.alias(c) for c, v in _values(types, columns).items()}
-    if not whole_column:
-        kept = [F.when(failed[c], F.col(c)).alias(f"new_{c}") for c in columns]
-        return staged.select(*[value.get(c, F.col(c)) for c in df.columns], *kept)
-    found = staged.agg(*[F.coalesce(F.max(failed[c]), F.lit(False)).alias(c) for c in columns]).first()
-    bad = [c for c in columns if found[c]]
-    for c in bad:
-        value[c] = F.lit(None).cast(spark_type(declared_type(types, c))).alias(c)
-    return staged.select(
-        *[value.get(c, F.col(c)) for c in df.columns], *[F.col(c).alias(f"new_{c}") for c in bad]
-    )
+    return seen.select(*[value.get(c, F.col(c)) for c in df.columns], *[F.col(c).alias(f"new_{c}") for c in columns])
 
 
 def convert_loader(df: DataFrame, types: dict[str, str], boolean_rule: str = "map") -> DataFrame:

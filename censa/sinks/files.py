@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from censa.session import remove_folder, scratch_path
 
 
 def balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -34,8 +37,29 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def export_chunks(df: DataFrame, path: str, lines: int) -> None:
-    """CSV in files of at most ``lines`` rows, the header repeated in each."""
-    df.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", lines).csv(path)
+    """CSV in folders ``chunk=<k>`` of one file with exactly ``lines`` rows (the last may have fewer), in the frame's order.
+
+    The header is repeated in each file.  The rows are written once as Parquet, where each knows its
+    place in its file; the sizes of the files before it give its number in the whole frame.
+    """
+    spark = df.sparkSession
+    whole = scratch_path(spark, "chunks")
+    df.write.parquet(whole)
+    rows = spark.read.schema(df.schema).parquet(whole)
+    # Files are named by task and, within a task, by a running number.
+    name = F.col("_metadata.file_name")
+    task, part = (F.regexp_extract(name, r"^part-([0-9]+)-.*-c([0-9]+)[.]", k).cast("long") for k in (1, 2))
+    rows = rows.select("*", task.alias("__task"), part.alias("__part"), F.col("_metadata.row_index").alias("__row"))
+    sizes = rows.groupBy("__task", "__part").agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.orderBy("__task", "__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("__task", "__part", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    # One row a file of the frame: the window and the broadcast are as small as the number of its tasks.
+    line = F.col("__before") + F.col("__row")
+    numbered = rows.join(F.broadcast(before), ["__task", "__part"]).withColumn("__line", line)
+    chunked = numbered.withColumn("chunk", F.floor(F.col("__line") / lines)).drop("__task", "__part", "__row", "__before")
+    ordered = chunked.repartition("chunk").sortWithinPartitions("chunk", "__line").drop("__line")
+    ordered.write.mode("overwrite").partitionBy("chunk").option("header", True).csv(path)
+    remove_folder(spark, whole)
 
 
 def export_report(report: DataFrame, path: str, per_hospital: bool = True) -> None:

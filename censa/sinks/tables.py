@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from censa.operators.schema import add_missing
 from censa.registry.types import spark_type, struct_of, text_length, types_of
+from censa.sinks import generations
+from censa.sinks.generations import swap  # noqa: F401  part of this module's interface
 from censa.sources.tables import read_jdbc
 
 JDBC_BATCH = 10_000
@@ -37,34 +39,17 @@ def typed(df: DataFrame, types: dict[str, str] | None) -> DataFrame:
     )
 
 
-def register(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
-    """Point a catalog table at parquet files; columns may be fewer than in the files.
+def register(spark: SparkSession, table: str, path: str, schema: T.StructType, root: str | None = None) -> None:
+    """Let a published table show parquet files; columns may be fewer than in the files.
 
-    The new table is complete under a name of its own before it takes the old one's place.
+    The files are a complete generation before the name shows them.  Of the generations
+    it showed before, the last one stays; folders of older ones below ``root`` are deleted.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    new = f"{table}_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {new} ({columns}) USING parquet LOCATION '{path}'")
-    swap(spark, new, table)
-
-
-def location(spark: SparkSession, table: str) -> str | None:
-    """Folder of a catalog table, or nothing when there is no such table."""
-    if not spark.catalog.tableExists(table):
-        return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").select("data_type").collect()
-    return rows[0][0] if rows else None
-
-
-def _remove_below(spark: SparkSession, folder: str | None, root: str) -> None:
-    """Delete the folder of a replaced table if it lies below ``root``."""
-    if not folder:
-        return
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old, top = (files.makeQualified(path(p)).toString().rstrip("/") for p in (folder, root))
-    if old.startswith(f"{top}/"):
-        files.delete(path(folder), True)
+    newest = generations.new_generation(spark, table)
+    spark.sql(f"CREATE TABLE {newest} ({columns}) USING parquet LOCATION '{path}'")
+    generations.show(spark, table, newest)
+    generations.retire(spark, table, root)
 
 
 @dataclass
@@ -85,11 +70,11 @@ def publish(
 ) -> Published:
     """Replace ``table`` by the frame in one pass over it, and verify the count.
 
-    The rows go to a fresh folder below ``root``; the table moves there only after
-    the counts agree, so a failed run leaves the old table as it was.  Row and
-    ``optional`` column counts are observed while writing, and optional columns
-    (error flags) without a value are left out of the table.  The folder of the table
-    that was replaced is deleted if it lies below ``root``.
+    The rows go to a fresh folder below ``root``; the table shows them only after the
+    counts agree, by one catalog call, so a failed run leaves the old rows and a reader
+    never meets a gap.  Row and ``optional`` column counts are observed while writing, and
+    optional columns (error flags) without a value are left out of the table.  The rows that were
+    replaced stay for the queries that began on them, until the table is replaced again.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{table.replace('.', '_')}-{uuid.uuid4().hex}"
@@ -102,9 +87,7 @@ def publish(
     written = spark.read.schema(result.schema).parquet(path)
     n_rows = reconcile(counts["__rows"], written.count())
     used = [f for f in result.schema.fields if f.name not in optional or counts[f.name] > 0]
-    before = location(spark, table)
-    register(spark, table, path, T.StructType(used))
-    _remove_below(spark, before, root)
+    register(spark, table, path, T.StructType(used), root)
     return Published(spark.table(table), n_rows, {c: counts[c] for c in optional})
 
 
@@ -120,7 +103,7 @@ def append(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> N
             (F.col(given[c.lower()]) if c.lower() in given else F.lit(None)).cast(t).alias(c)
             for c, t in wanted.items()
         ]
-    ).write.insertInto(table)
+    ).write.insertInto(generations.stored_in(spark, table))
 
 
 def create_or_append(df: DataFrame, table: str, path: str | None = None) -> None:
@@ -128,16 +111,15 @@ def create_or_append(df: DataFrame, table: str, path: str | None = None) -> None
     if df.sparkSession.catalog.tableExists(table):
         append(df, table)
     else:
-        writer = df.write.format("parquet")
-        (writer.option("path", path) if path else writer).saveAsTable(table)
+        generations.first_rows(df, table, path)
 
 
 def empty_like(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
-    """Create or replace an empty table with the frame's columns."""
+    """Create or replace an empty table with the frame's columns; its rows go to a folder of their own beside ``path``."""
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    writer = spark.createDataFrame([], df.schema).write.format("parquet").mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+    empty = spark.createDataFrame([], df.schema)
+    generations.first_rows(empty, table, f"{path.rstrip('/')}-{uuid.uuid4().hex}" if path else None)
+    generations.retire(spark, table)
     return spark.table(table)
 
 
@@ -153,8 +135,11 @@ def add_table_columns(table: str, df: DataFrame) -> list[str]:
     present = {c.lower() for c in spark.table(table).columns}
     new = [f for f in df.schema.fields if f.name.lower() not in present]
     if new:
+        held = generations.stored_in(spark, table)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        spark.sql(f"ALTER TABLE {held} ADD COLUMNS ({columns})")
+        if held != table:
+            generations.show(spark, table, held)
     return [f.name for f in new]
 
 
@@ -164,22 +149,6 @@ def evolve_and_append(df: DataFrame, table: str) -> None:
     append(add_missing(df, types_of(df.sparkSession.table(table))), table)
 
 
-def swap(spark: SparkSession, new: str, current: str) -> None:
-    """Put ``new`` in the place of ``current``, which stays under another name until that is done."""
-    old = f"{current}_{uuid.uuid4().hex}"
-    replaced = spark.catalog.tableExists(current)
-    if replaced:
-        spark.sql(f"ALTER TABLE {current} RENAME TO {old}")
-    try:
-        spark.sql(f"ALTER TABLE {new} RENAME TO {current}")
-    except Exception:
-        if replaced:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {current}")
-        raise
-    if replaced:
-        spark.sql(f"DROP TABLE {old}")
-
-
 def write_jdbc(
     df: DataFrame, url: str, table: str, types: dict[str, str] | None = None, mode: str = "append", **properties: str
 ) -> None:

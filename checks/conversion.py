@@ -9,6 +9,9 @@ from censa.functions.dates import parse_date
 from censa.operators import conversion as cv
 from censa.operators import schema as sc
 from censa.operators.cleaning import trim_text
+from censa.plans.quarantine import publish_quarantined
+from censa.session import scratch_path
+from censa.sinks.tables import fresh_name
 from checks import check
 from checks.raw import FAILS_SQL, RAW_TYPES, VALUE_SQL, from_raw, raw_orders
 
@@ -54,7 +57,7 @@ def convert_quarantine(spark, folder):
 def convert_quarantine_columns(spark, folder):
     raw = raw_orders(spark, folder).select("sequencia", "cnes", "val_tot", "homonimo")
     types = {"sequencia": "BIGINT", "val_tot": "NUMERIC(15,2)"}
-    return cv.convert_quarantine(raw, types, whole_column=True)
+    return publish_quarantined(raw, types, fresh_name("quarantined"), scratch_path(spark, "quarantined")).table
 
 
 @check(from_raw(", ".join(f"{v} AS {c}" for c, v in VALUE_SQL.items())))

@@ -90,13 +90,24 @@ def export_csv(spark, folder):
     ).csv(path)
 
 
-@check("SELECT count(*) AS n_rows, true AS within_limit FROM lineitem")
+_LINES_IN_ORDER = """SELECT (row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) // 7000 AS chunk,
+    l_shipdate, l_orderkey FROM lineitem"""
+
+
+@check(
+    f"""SELECT CAST(chunk AS INTEGER) AS chunk, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files, CAST(min(l_shipdate) AS DATE) AS first, CAST(max(l_shipdate) AS DATE) AS last
+        FROM ({_LINES_IN_ORDER}) GROUP BY 1"""
+)
 def export_chunks(spark, folder):
+    """Chunks of exactly 7000 lines in the order of the frame, one file each."""
     path = scratch_path(spark, "chunks")
-    fs.export_chunks(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"), path, 7000)
-    written = spark.read.option("header", True).schema("l_orderkey bigint, l_linenumber int").csv(path)
-    per_file = written.groupBy(F.col("_metadata.file_name")).agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 7000).alias("within_limit"))
+    lines = table(spark, folder, "lineitem").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    fs.export_chunks(lines.select("l_orderkey", F.col("l_shipdate").cast("date").alias("l_shipdate")), path, 7000)
+    written = spark.read.option("header", True).schema("l_orderkey bigint, l_shipdate date, chunk int").csv(path)
+    per_file = written.groupBy("chunk", F.col("_metadata.file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last")
+    )
+    return per_file.groupBy("chunk").agg(F.sum("n").alias("n_rows"), F.count("file").alias("n_files"), F.min("first").alias("first"), F.max("last").alias("last"))
 
 
 @check(profile_sql("customer", _CUSTOMER))

@@ -2,12 +2,14 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from censa.functions.convert import to_boolean, to_type
 from censa.functions.dates import full_year, parse_date, period_start
 from censa.operators import conversion as cv
 from censa.operators.schema import drop_empty_columns
+from censa.plans.quarantine import publish_quarantined
 
 D = Decimal
 
@@ -92,11 +94,15 @@ def test_error_counts_and_empty_error_columns(spark):
     assert drop_empty_columns(converted).columns == ["id", "valor", "new_valor_error", "dia", "new_dia_error"]
 
 
-def test_quarantine_per_row_and_per_column(spark):
+def test_quarantine_per_row_and_per_column(spark, tmp_path):
     raw = spark.createDataFrame(RAW, "id string, valor string, dia string")
     got = cv.convert_quarantine(raw, TYPES).orderBy("id").collect()
     assert [r.new_valor for r in got] == [None, "x", None, None, None]
-    whole = cv.convert_quarantine(raw, TYPES, whole_column=True)
+    done = publish_quarantined(raw, TYPES, "set_aside", str(tmp_path))
+    whole = done.table
+    assert (done.n_rows, done.values) == (5, {"id": 0, "valor": 1, "dia": 2})
+    plan = cv.both_forms(raw, TYPES, Observation("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1  # the rows are read once
     assert whole.columns == ["id", "valor", "dia", "new_valor", "new_dia"]
     first = whole.orderBy("id").first()
     assert (first.id, first.valor, first.new_valor, first.dia) == (1, None, " 10.5 ", None)

@@ -1,6 +1,8 @@
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from censa.operators import profile
 from censa.session import scratch_path, shared_folder
@@ -19,8 +21,9 @@ def test_publish_applies_declared_types(spark, tmp_path):
     df = spark.createDataFrame([("1", "2.5", None)], "A string, b string, new_b_error string")
     out = ts.publish(df, "typed", str(tmp_path), {"a": "SMALLINT", "b": "NUMERIC(5,1)"}, ["new_b_error"])
     assert len(list(tmp_path.glob("typed-*"))) == 1
-    out = ts.publish(df, "typed", str(tmp_path), {"a": "SMALLINT", "b": "NUMERIC(5,1)"}, ["new_b_error"])
-    assert len(list(tmp_path.glob("typed-*"))) == 1  # the replaced folder is gone
+    for _ in range(3):
+        out = ts.publish(df, "typed", str(tmp_path), {"a": "SMALLINT", "b": "NUMERIC(5,1)"}, ["new_b_error"])
+        assert len(list(tmp_path.glob("typed-*"))) == 2  # the last replaced folder stays, older ones are gone
     assert out.n_rows == 1 and out.values == {"new_b_error": 0}
     assert out.table.dtypes == [("A", "smallint"), ("b", "decimal(5,1)")]
 
@@ -35,10 +38,19 @@ def test_append_orders_and_fills_columns(spark, tmp_path):
     assert ts.empty_like(spark.table("target"), "like", str(tmp_path / "l")).dtypes == spark.table("target").dtypes
 
 
-def test_csv_chunks_repeat_the_header(spark, tmp_path):
-    fs.export_chunks(spark.range(25).coalesce(1), str(tmp_path / "c"), 10)
-    written = [f.read_text().splitlines() for f in sorted((tmp_path / "c").glob("*.csv"))]
-    assert sorted(len(lines) - 1 for lines in written) == [5, 10, 10] and all(lines[0] == "id" for lines in written)
+@pytest.mark.parametrize(("rows_", "lines"), [(25, 10), (100, 30), (30, 30), (0, 5), (7, 100)])
+def test_csv_chunks_are_exact_and_in_order(spark, tmp_path, rows_, lines):
+    df = spark.range(rows_).repartition(6).orderBy(F.desc("id")).selectExpr("id", "id * 2 AS chunks")
+    fs.export_chunks(df, str(tmp_path / "c"), lines)
+    want = list(range(rows_ - 1, -1, -1))
+    folders = sorted((tmp_path / "c").glob("chunk=*"), key=lambda p: int(p.name.split("=")[1]))
+    assert [p.name for p in folders] == [f"chunk={k}" for k in range(-(-rows_ // lines))]
+    for k, folder in enumerate(folders):
+        (written,) = folder.glob("*.csv")
+        header, *body = written.read_text().splitlines()
+        assert header == "id,chunks"
+        assert [int(x.split(",")[0]) for x in body] == want[k * lines : (k + 1) * lines]
+    assert not list(Path(scratch_path(spark, "x")).parent.glob("chunks-*"))
 
 
 def test_partitioned_writes_make_few_files(spark, tmp_path):
