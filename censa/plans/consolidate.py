@@ -8,9 +8,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censa.operators.schema import union_all
 from censa.registry.groups import invalid_groups
 from censa.sinks.tables import create_or_append
+from censa.sources.drift import union_widest
 from censa.sources.files import scan_folders
 
 
@@ -19,7 +19,8 @@ def consolidated(
 ) -> DataFrame | None:
     """Rows of all groups for the years and months, with their ``group``; nothing where no folder is there.
 
-    Unknown groups are an error.  Groups differ in columns; absent ones are null.
+    Unknown groups are an error.  Groups differ in columns and
+    their types; absent ones are null.
     """
     unknown = invalid_groups(groups, base)
     if unknown:
@@ -32,7 +33,7 @@ def consolidated(
         except FileNotFoundError:
             continue
         frames.append(rows.withColumn("group", F.lit(group)))
-    return union_all(frames) if frames else None
+    return union_widest(frames) if frames else None
 
 
 def consolidate(spark: SparkSession, table: str, *arguments, path: str | None = None) -> bool:

@@ -1,7 +1,16 @@
-"""Bulk load of raw group folders: only files that are not in the target yet."""
+"""Bulk load of raw group folders: only files that are not in the target yet, each load as one commit.
+
+A load writes what it takes up under an id of its own: the files (``_taken/load=<id>``), the rows
+(``load=<id>``), SP rows of unknown states (``_unknown_states/load=<id>``).  Last comes one small file
+in ``_loads``, and only loads listed there count (``loaded``, ``committed``).  Whatever a load that failed
+has left is no part of the target, and the next load deletes it.  One load may run on a target at a time.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +23,12 @@ from censa.operators.schema import align, drop_present, lower_names
 from censa.registry.groups import STATE_CODES
 from censa.registry.schemas import loader_types
 from censa.sinks.files import write_partitioned
+from censa.sources.drift import read_drifting
 from censa.sources.files import discover_files, file_id, with_lineage
 
-TAKEN, UNKNOWN_STATES = "_taken", "_unknown_states"
+TAKEN, UNKNOWN_STATES, LOADS = "_taken", "_unknown_states", "_loads"
+#: Partition column of everything a load writes.
+LOAD = "load"
 LINEAGE = ["uf", "competencia", "id_arquivo", "id_log"]
 
 
@@ -60,7 +72,8 @@ def prepare(raw: DataFrame, group: str, types: dict[str, str]) -> DataFrame:
 
 def unknown_states(raw: DataFrame, column: str = "sp_uf") -> DataFrame:
     """State codes that ``decode_state`` drops, with their rows, by file."""
-    named = lower_names(with_lineage(raw, "SP", ["id_arquivo"]))
+    traced = raw if "id_arquivo" in raw.columns else with_lineage(raw, "SP", ["id_arquivo"])
+    named = lower_names(traced)
     coded = named.select("id_arquivo", F.col(column).alias("code"), zero_fill(F.trim(F.col(column)), 2).alias("state_code"))
     lookup = F.broadcast(state_lookup(raw.sparkSession))  # 27 rows
     dropped = coded.join(lookup, "state_code", "left_anti")
@@ -78,28 +91,63 @@ def pending_files(
     return files
 
 
-def load_group(spark: SparkSession, source: str, group: str, target: str) -> list[str]:
-    """Append the pending files of a group to the target folder; returns their ids.
+def committed(spark: SparkSession, target: str, part: str = "") -> DataFrame | None:
+    """Rows of all finished loads of the target, or of one of its side folders; nothing before the first."""
+    done = stored(spark, f"{target}/{LOADS}", f"n_files long, {LOAD} string")
+    rows = stored(spark, f"{target}/{part}" if part else target) if done is not None else None
+    if rows is None or LOAD not in rows.columns:
+        return None
+    return rows.withColumn(LOAD, F.col(LOAD).cast("string")).join(done.select(LOAD), LOAD, "left_semi").drop(LOAD)
+
+
+def loaded(spark: SparkSession, target: str) -> DataFrame | None:
+    """The rows of the target; nothing before the first load."""
+    return committed(spark, target)
+
+
+def _discard_unfinished(spark: SparkSession, target: str) -> None:
+    """Delete what loads without a commit have left (a listing of one folder a load)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def loads(folder: str) -> list[str]:
+        found = store.globStatus(path(f"{folder}/{LOAD}=*")) or []
+        return [f.getPath().getName() for f in found]
+
+    done = set(loads(f"{target}/{LOADS}"))
+    for folder in (target, f"{target}/{TAKEN}", f"{target}/{UNKNOWN_STATES}"):
+        for name in loads(folder):
+            if name not in done:
+                store.delete(path(f"{folder}/{name}"), True)
+
+
+def load_group(spark: SparkSession, source: str, group: str, target: str) -> int:
+    """Load the pending files of a group into the target folder as one commit; returns their number.
 
-    Only the names of the pending files reach the driver.  The write is one job, so
-    a failed load leaves nothing half loaded.  Files taken up are listed in the target's
-    ``_taken`` folder, so one without rows is not taken up again, and SP rows of unknown
-    state codes are counted in ``_unknown_states``; Spark's readers skip both folders.
-    The types are those the bulk load declares.
+    The pending files are written to the ledger first and joined from there, so no list of files
+    reaches the driver, only the folders they are in (states x months).  Those may hold
+    columns in different types.  The types are those the bulk load declares.
     """
-    types = loader_types(group)
-    held = stored(spark, target, "id_arquivo string")
-    taken = stored(spark, f"{target}/{TAKEN}", "id_arquivo string")
-    pending = pending_files(spark, source, group, held, taken).select("path", "id_arquivo").collect()
-    if not pending:
-        return []
-    raw = spark.read.option("mergeSchema", True).parquet(*[row.path for row in pending])
+    _discard_unfinished(spark, target)
+    load = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    files = pending_files(spark, source, group, None, committed(spark, target, TAKEN))
+    ledger = f"{target}/{TAKEN}/{LOAD}={load}"
+    files.select("id_arquivo", F.regexp_replace("path", "/[^/]*$", "").alias("folder")).write.parquet(ledger)
+    pending = spark.read.schema("id_arquivo string, folder string").parquet(ledger)
+    folders = sorted(r.folder for r in pending.select("folder").distinct().collect())
+    if not folders:
+        _discard_unfinished(spark, target)
+        return 0
+    raw = read_drifting(spark, folders, lambda scan: with_lineage(scan, group))
+    # Files of these folders that were taken up before, or are of another group, stay out.
+    raw = raw.join(pending.select("id_arquivo"), "id_arquivo", "left_semi")
     # Each source folder is one state and month, so the rows are written where they are read.
+    write_partitioned(prepare(raw, group, loader_types(group)), f"{target}/{LOAD}={load}", ["uf", "competencia"], mode="errorifexists", shuffle=False)
     if group == "SP":
-        unknown_states(raw).write.mode("append").parquet(f"{target}/{UNKNOWN_STATES}")
-    write_partitioned(prepare(raw, group, types), target, ["uf", "competencia"], mode="append", shuffle=False)
-    spark.createDataFrame([(row.id_arquivo,) for row in pending], "id_arquivo string").write.mode("append").parquet(f"{target}/{TAKEN}")
-    return sorted(row.id_arquivo for row in pending)
+        unknown_states(raw).write.parquet(f"{target}/{UNKNOWN_STATES}/{LOAD}={load}")
+    n_files = pending.count()
+    spark.createDataFrame([(n_files,)], "n_files long").coalesce(1).write.parquet(f"{target}/{LOADS}/{LOAD}={load}")
+    return n_files
 
 
 def stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -13,6 +13,7 @@ from censa.functions.dates import full_year, period_start
 from censa.registry.groups import GROUP_DESCRIPTIONS, STATES, Request
 from censa.registry.types import struct_of
 from censa.session import scratch_path
+from censa.sources.drift import read_drifting
 
 # Fixed pattern: group code, state, two-digit year and month, optional part number.
 ANY_STATE = "|".join(STATES)
@@ -98,22 +99,33 @@ def scan_folders(
     skip_corrupt: bool = False,
     merge_schema: bool = True,
     required: bool = False,
+    each: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Raw rows of the group's folders for the states and months.
 
     The names select the folders, so Spark lists and opens nothing else.  Months may
-    differ in columns; ``merge_schema=False`` spares reading all footers where they
-    do not.  ``types`` (column names of the group) gives the schema of an empty result;
-    ``required`` makes it an error that no folder is there.
+    differ in columns and in their types (``read_drifting``); ``merge_schema=False`` spares
+    reading all footers where they do not.  ``types`` (column names of the group) gives the schema
+    of an empty result; ``required`` makes it an error that no folder is there.  ``each`` is applied
+    to every scan, for what needs the files' metadata.
     """
-    reader = spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", skip_corrupt)
+    options = {"ignoreCorruptFiles": skip_corrupt}
+    wanted_states = states or STATES
     if months:
-        try:
-            df = reader.parquet(folder_glob(root, base, group, states or STATES, months))
-            return df.select(*columns) if columns else df
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        found = None
+        if merge_schema:
+            whole = folder_glob(root, base, group, wanted_states, months)
+            by_month = [folder_glob(root, base, group, wanted_states, [month]) for month in months]
+            found = read_drifting(spark, [whole], each, missing_ok=True, finer={whole: by_month}, **options)
+        else:
+            try:
+                found = spark.read.options(**options).parquet(folder_glob(root, base, group, wanted_states, months))
+                found = each(found) if each else found
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        if found is not None:
+            return found.select(*columns) if columns else found
     if required:
         raise FileNotFoundError(f"no folder of {base}/{group} below {root} for the states and months asked for")
     names = columns or list(types or {})
@@ -150,7 +162,9 @@ def discover_files(spark: SparkSession, root: str, group: str | None = None) ->
 
 
 def read_concat(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
-    """Rows of files or directories, one after another."""
+    """Rows of files or directories, one after another; merged ones may hold a column in different types."""
+    if merge_schema:
+        return read_drifting(spark, paths)
     return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
 

@@ -11,7 +11,7 @@ from censa.registry.groups import Request
 from censa.session import scratch_path
 from censa.sinks import tables as ts
 from censa.sources.files import scan_request
-from censa.streaming.incremental import load_new_files
+from censa.streaming.incremental import load_new_files, stream_group
 from checks import check, table
 from checks.raw import FAILS_SQL, RAW_TYPES, VALUE_SQL, from_raw, raw_orders
 
@@ -100,7 +100,7 @@ def load_files(spark, folder):
     load.load_group(spark, root, "RD", target)
     if load.load_group(spark, root, "RD", target):
         raise AssertionError("a loaded file was loaded again")
-    loaded = load.stored(spark, target)
+    loaded = load.loaded(spark, target)
     own = F.col("id_log").rlike("^RD[A-Z]{2}[0-9]{4}[.]parquet_.+[.]parquet_[0-9]+$")
     return loaded.select("uf", "competencia", *_RD_COLUMNS, "diag_princ", own.alias("lineage_ok"))
 
@@ -250,3 +250,66 @@ def consolidate(spark, folder):
     # As many rows of a state as the raw records have; states stand in the order of the flag.
     rows = spark.table(name).withColumn("uf", F.when(F.col("HOMONIMO") == "1", "SP").otherwise("RJ"))
     return rows.groupBy("group", "uf").agg(F.count(F.lit(1)).alias("n_rows"), F.count("CNES").alias("n_cnes"))
+
+
+@check(
+    from_raw(
+        f"""CAST(sequencia AS VARCHAR) AS sequencia, homonimo, CASE WHEN {_HALF} = 1 AND trim(munic_res) IN ('None', '12.5') THEN NULL
+            WHEN {_HALF} = 1 THEN CAST(CAST(munic_res AS INTEGER) AS VARCHAR) ELSE munic_res END AS munic_res, {_MONTH} AS competencia"""
+    )
+)
+def drifting_types(spark, folder):
+    """Months that hold the same columns as text and as numbers, in one scan request."""
+    from censa.sources.files import with_lineage
+
+    root = raw_folders(spark, folder, scratch_path(spark, "raw"), ("9703",))
+    raw = raw_orders(spark, folder).withColumn("sequencia_half", F.expr(_HALF))
+    for state, month, rule in _FOLDERS:
+        if month == "9811":
+            rows = raw.filter(rule).selectExpr("sequencia AS SEQUENCIA", "try_cast(homonimo AS int) AS HOMONIMO", "CASE WHEN munic_res NOT LIKE '%.%' THEN try_cast(munic_res AS int) END AS MUNIC_RES")
+            rows.write.parquet(f"{root}/SIH/RD/RD{state}{month}.parquet")
+    found = scan_request(spark, root, _request(states=["SP", "RJ", "MG"]), each=lambda scan: with_lineage(scan, "RD", ["competencia"]))
+    return found.selectExpr("SEQUENCIA AS sequencia", "HOMONIMO AS homonimo", "MUNIC_RES AS munic_res", "competencia")
+
+
+_KNOWN_STATES = ", ".join(str(int(code)) for code in load.STATE_CODES)
+
+
+@check(
+    f"""SELECT code, 'unknown' AS kind, count(*) AS n_rows FROM (SELECT CAST(c_nationkey AS VARCHAR) AS code FROM customer
+          WHERE c_nationkey NOT IN ({_KNOWN_STATES}) UNION ALL SELECT CAST(s_nationkey AS VARCHAR) FROM supplier WHERE s_nationkey NOT IN ({_KNOWN_STATES}))
+        GROUP BY 1
+        UNION ALL SELECT CAST(c_nationkey AS VARCHAR), 'loaded', count(*) FROM (SELECT c_nationkey FROM customer UNION ALL SELECT s_nationkey FROM supplier)
+        WHERE c_nationkey IN ({_KNOWN_STATES}) GROUP BY 1"""
+)
+def stream_unknown_states(spark, folder):
+    """Two batches of a stream; the nation key plays the state code, and codes of no state are counted aside."""
+    root, target, state = (scratch_path(spark, n) for n in ("raw", "stream", "state"))
+    for name, key, month in (("customer", "c_nationkey", "9703"), ("supplier", "s_nationkey", "9811")):
+        raw = table(spark, folder, name).selectExpr(f"CAST({key} AS STRING) AS SP_UF", f"CAST({key} AS STRING) AS SP_NAIH")
+        raw.write.parquet(f"{root}/SPSP{month}.parquet")
+        stream_group(spark, root, "SP", target, state)
+    unknown = spark.read.parquet(f"{target}/{load.UNKNOWN_STATES}").groupBy("code").agg(F.sum("n_rows").alias("n_rows"))
+    loaded = spark.read.parquet(target).groupBy(F.col("sp_naih").cast("string").alias("code")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return unknown.withColumn("kind", F.lit("unknown")).unionByName(loaded.withColumn("kind", F.lit("loaded")))
+
+
+@check(
+    f"""SELECT DISTINCT code, uf, CAST(valor AS DECIMAL(10,2)) AS valor, CAST(strptime(dia, '%Y%m%d') AS DATE) AS dia
+        FROM (SELECT code, uf, valor, dia FROM ({_OLD}) UNION ALL SELECT code, uf, valor, dia FROM ({_NEW}) WHERE uf = 'F')"""
+)
+def merge_changed_states(spark, folder):
+    """A version that is new for one state only: that state is merged and written, the others keep their folders."""
+    orders = table(spark, folder, "orders")
+    old = spark.sql(_OLD.replace("FROM orders", "FROM {orders}"), orders=orders)
+    new = spark.sql(_NEW.replace("FROM orders", "FROM {orders}"), orders=orders).filter("uf = 'F'").drop("extra")
+    first, version, target = (ts.fresh_name(n) for n in ("old", "version", "target"))
+    types = {"valor": "NUMERIC(10,2)", "dia": "DATE"}
+    ts.create_or_append(old, first, scratch_path(spark, "old"))
+    merge.merge_and_partition(spark, first, first, target, scratch_path(spark, "merged"), types, "uf")
+    rest = spark.table(target).filter("uf <> 'F'").selectExpr("code", "uf", "CAST(valor AS STRING) AS valor", "date_format(dia, 'yyyyMMdd') AS dia")
+    ts.create_or_append(rest.unionByName(new), version, scratch_path(spark, "version"))
+    written = merge.merge_changed(spark, target, version, scratch_path(spark, "changed"), types, "uf")
+    if written != ["F"]:
+        raise AssertionError(f"states {written} were written")
+    return spark.table(target)

@@ -12,10 +12,11 @@ from censa.operators.grid import absent, expected_folders
 from censa.plans.consolidate import consolidated
 from censa.plans import extract, infer, load, merge, monthly, report, upload
 from censa.registry.groups import Request, group_types
+from censa.sinks import generations
 from censa.sinks import tables as ts
-from censa.sources import files
+from censa.sources import drift, files
 from censa.streaming import ledger
-from censa.streaming.incremental import load_new_files, stream_group
+from censa.streaming.incremental import WITHOUT_STATE, load_new_files, stream_group
 from conftest import rows
 
 RD = "CNES string, N_AIH string, VAL_TOT string, DT_INTER string, ESPEC string"
@@ -207,12 +208,12 @@ def test_extract_grouped(spark, folders, tmp_path):
 
 def test_load_is_incremental_and_typed(spark, folders, tmp_path):
     target = str(tmp_path / "target")
-    assert len(load.load_group(spark, str(folders / "SIH/RD"), "RD", target)) == 5
-    assert load.load_group(spark, str(folders / "SIH/RD"), "RD", target) == []
+    assert load.load_group(spark, str(folders / "SIH/RD"), "RD", target) == 5
+    assert load.load_group(spark, str(folders / "SIH/RD"), "RD", target) == 0
     write(spark, folders / "SIH/RD/RDMG2303.parquet", rd_rows("g", 2))
     write(spark, folders / "SIH/RD/RDSP2302.parquet", rd_rows("h", 1))  # a new part of a known folder
-    assert len(load.load_group(spark, str(folders / "SIH/RD"), "RD", target)) == 2
-    loaded = spark.read.parquet(target)
+    assert load.load_group(spark, str(folders / "SIH/RD"), "RD", target) == 2
+    loaded = load.loaded(spark, target)
     assert loaded.count() == 18 and loaded.select("id_log").distinct().count() == 18
     declared = {c: t.simpleString() for c, t in ((f.name, f.dataType) for f in loaded.schema.fields)}
     assert declared["val_tot"] == "decimal(14,2)" and declared["dt_inter"] == "date" and declared["n_aih"] == "bigint"
@@ -225,13 +226,121 @@ def test_loaded_files_from_lineage_alone(spark):
     assert rows(load.loaded_files(df)) == [("RDSP2301.parquet_x.parquet",)]
 
 
+class Broken(Exception):
+    pass
+
+
+@pytest.fixture
+def writes(monkeypatch):
+    """Parquet writes of a load; ``writes.fail`` breaks after that many (the write itself is done)."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    class Writes:
+        n, fail = 0, None
+
+    parquet = DataFrameWriter.parquet
+
+    def counted(self, *args, **kwargs):
+        parquet(self, *args, **kwargs)
+        Writes.n += 1
+        if Writes.fail is not None and Writes.n > Writes.fail:
+            raise Broken
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", counted)
+    return Writes
+
+
+def test_a_load_that_fails_anywhere_and_is_repeated_loads_once(spark, tmp_path, writes):
+    schema, source = "SP_UF string, SP_AA string, SP_DTINTER string", str(tmp_path / "src")
+    write(spark, tmp_path / "src/SPSP1801.parquet", [("35", "2018", "20180122"), (" 12", "2018", "bad"), ("99", "2018", "x")], schema)
+    target = str(tmp_path / "whole")
+    load.load_group(spark, source, "SP", target)
+    write(spark, tmp_path / "src/SPRJ1801.parquet", [("33", "2018", "20180122"), ("98", "2018", "x")], schema)
+    write(spark, tmp_path / "src/SPSP1801.parquet", [("35", "2019", None), ("99", "2018", "x")], schema)
+    for k in range(4):
+        shutil.copytree(target, tmp_path / f"part{k}")
+    assert load.load_group(spark, source, "SP", target) == 2
+
+    def tables(path):
+        found = [load.loaded(spark, path), *(load.committed(spark, path, part) for part in (load.TAKEN, load.UNKNOWN_STATES))]
+        return [sorted(map(str, f.select(sorted(f.columns)).collect())) for f in found]
+
+    want, before = tables(target), tables(str(tmp_path / "part0"))
+    assert [len(x) for x in want] == [4, 3, 3] and [len(x) for x in before] == [2, 1, 1]
+    for k in range(4):
+        path = str(tmp_path / f"part{k}")
+        writes.n, writes.fail = 0, k
+        with pytest.raises(Broken):
+            load.load_group(spark, source, "SP", path)
+        writes.fail = None
+        # Only the last write, the manifest, makes the load count.
+        assert tables(path) == (want if k == 3 else before)
+        assert load.load_group(spark, source, "SP", path) == (0 if k == 3 else 2)
+        assert tables(path) == want
+        assert len(list((tmp_path / f"part{k}").glob("load=*"))) == 2 and len(list((tmp_path / f"part{k}/_taken").glob("load=*"))) == 2
+
+
+def test_a_load_hands_folders_and_not_files_to_the_reader(spark, tmp_path, monkeypatch):
+    source = tmp_path / "src"
+    for _ in range(6):
+        write(spark, source / "RDSP2301.parquet", rd_rows("a"))
+    write(spark, source / "RDRJ2301.parquet", rd_rows("b"))
+    seen, plans = [], []
+    read, prepare = load.read_drifting, load.prepare
+    monkeypatch.setattr(load, "read_drifting", lambda spark, paths, *more: seen.append(paths) or read(spark, paths, *more))
+    monkeypatch.setattr(load, "prepare", lambda raw, *more: plans.append(raw._jdf.queryExecution().optimizedPlan().toString()) or prepare(raw, *more))
+    assert load.load_group(spark, str(source), "RD", str(tmp_path / "t")) == 7
+    assert [p.rsplit("/", 1)[1] for p in seen[0]] == ["RDRJ2301.parquet", "RDSP2301.parquet"]
+    assert "Join LeftSemi" in plans[0] and "part-0" not in plans[0] and "LocalRelation" not in plans[0]
+    assert load.loaded(spark, str(tmp_path / "t")).count() == 21
+
+
+def test_months_of_other_types_are_read_together(spark, tmp_path):
+    root = tmp_path / "parquet_files"
+    write(spark, root / "SIH/RD/RDSP2301.parquet", [("2077480", "1.50", "7"), ("2077481", "x", None)], "CNES string, VAL_TOT string, DIAS string")
+    write(spark, root / "SIH/RD/RDRJ2301.parquet", [(2077482, 2.25, 8)], "CNES int, VAL_TOT double, DIAS bigint")
+    write(spark, root / "SIH/RD/RDSP2302.parquet", [(2077483, 3.5)], "CNES int, VAL_TOT double")
+    write(spark, root / "SIH/RD/RDSP2303.parquet", [(2077484, "a", 1)], "CNES int, EXTRA string, DIAS int")
+    write(spark, root / "SIH/RD/RDSP2303.parquet", [("2077485", "4")], "CNES string, VAL_TOT string")
+    ask = request(period_end="06/2023")
+    got = files.scan_request(spark, str(root), ask, each=lambda scan: files.with_lineage(scan, "RD", ["uf"]))
+    assert dict(got.dtypes) == {"CNES": "string", "VAL_TOT": "string", "DIAS": "string", "EXTRA": "string", "uf": "string"}
+    assert rows(got.select("CNES", "VAL_TOT", "DIAS", "EXTRA", "uf")) == [
+        ("2077480", "1.50", "7", None, "SP"), ("2077481", "x", None, None, "SP"), ("2077482", "2.25", "8", None, "RJ"),
+        ("2077483", "3.5", None, None, "SP"), ("2077484", None, "1", "a", "SP"), ("2077485", "4", None, None, "SP"),
+    ]
+    groups = drift.compatible_groups(spark, [str(p) for p in sorted((root / "SIH/RD").iterdir())])
+    # One scan for each kind of file: texts, numbers with long and with short days.
+    assert len(groups) == 3
+    kinds = extract.extract(spark, str(root), request(fields=["VAL_TOT"], period_end="06/2023"))
+    assert kinds.filter("VAL_TOT IS NOT NULL").count() == 4 and kinds.filter("new_VAL_TOT_error IS NOT NULL").count() == 1
+    assert load.load_group(spark, str(root / "SIH/RD"), "RD", str(tmp_path / "t")) == 5
+    assert rows(load.loaded(spark, str(tmp_path / "t")).select("cnes", "uf"))[0] == (2077480, "SP")
+    both = files.read_concat(spark, str(root / "SIH/RD/RDSP2301.parquet"), str(root / "SIH/RD/RDSP2302.parquet"), merge_schema=True)
+    assert rows(both.select("CNES")) == [("2077480",), ("2077481",), ("2077483",)]
+
+
+def test_the_widest_type(spark):
+    cases = [
+        ("int", "bigint", "bigint"), ("smallint", "string", "string"), ("int", "double", "double"), ("bigint", "double", "string"),
+        ("decimal(10,2)", "int", "decimal(12,2)"), ("decimal(38,10)", "bigint", "decimal(38,10)"),
+        ("decimal(5,0)", "decimal(6,4)", "decimal(9,4)"), ("date", "timestamp_ntz", "timestamp_ntz"), ("boolean", "int", "string"), ("void", "date", "date"),
+    ]
+    for a, b, want in cases:
+        for x, y in ((a, b), (b, a)):
+            frames = [spark.sql(f"SELECT CAST(NULL AS {x}) AS c, 1 AS d"), spark.sql(f"SELECT CAST(NULL AS {y}) AS C")]
+            united = drift.union_widest(frames)
+            assert united.dtypes == [("c", want), ("d", "int")], (x, y)
+            assert united.count() == 2
+
+
 def test_professional_services_decode_the_state(spark, tmp_path):
     schema = "SP_UF string, SP_AA string, SP_DTINTER string"
     write(spark, tmp_path / "src/SPSP1801.parquet", [("35", "2018", "20180122"), (" 12", "2018", "bad"), ("99", "2018", "x")], schema)
     load.load_group(spark, str(tmp_path / "src"), "SP", str(tmp_path / "target"))
     loaded = spark.read.parquet(str(tmp_path / "target"))
     assert rows(loaded.select("sp_uf", "sp_dtinter")) == [("AC", None), ("SP", dt.date(2018, 1, 22))]
-    dropped = spark.read.parquet(str(tmp_path / "target" / load.UNKNOWN_STATES))
+    dropped = load.committed(spark, str(tmp_path / "target"), load.UNKNOWN_STATES)
     assert rows(dropped.select("code", "n_rows")) == [("99", 1)]
 
 
@@ -240,8 +349,8 @@ def test_names_without_a_month_and_files_without_rows_load_once(spark, tmp_path)
     write(spark, tmp_path / "src/PARJ_total.parquet", [("0000001",)], schema)
     write(spark, tmp_path / "src/PASP2301.parquet", [("0000002",)], schema)
     write(spark, tmp_path / "src/PAMG2301.parquet", [], schema)
-    assert len(load.load_group(spark, source, "PA", target)) == 3
-    assert load.load_group(spark, source, "PA", target) == []
+    assert load.load_group(spark, source, "PA", target) == 3
+    assert load.load_group(spark, source, "PA", target) == 0
     assert rows(spark.read.parquet(target).select("pa_coduni", "uf")) == [("0000001", "RJ"), ("0000002", "SP")]
 
 
@@ -309,6 +418,25 @@ def test_group_stream_equals_the_batch_load(spark, folders, tmp_path):
     assert rows(streamed) == rows(batch) and streamed.count() == 15
 
 
+def test_a_stream_counts_what_it_leaves_out(spark, tmp_path):
+    schema, source, target, state = "SP_UF string, SP_AA string", tmp_path / "src", str(tmp_path / "target"), str(tmp_path / "state")
+    write(spark, source / "SPSP1801.parquet", [("35", "2018"), ("99", "2018"), ("99", "2018"), (None, "2018")], schema)
+    write(spark, source / "services.parquet", [("35", "2018")], schema)
+
+    def found(name):
+        return rows(spark.read.parquet(f"{target}/{name}").drop("batch", "id_arquivo"))
+
+    stream_group(spark, str(source), "SP", target, state)
+    assert spark.read.parquet(target).count() == 1
+    assert found(load.UNKNOWN_STATES) == [(None, 1), ("99", 2)] and found(WITHOUT_STATE) == [(1,)]
+    earlier = shutil.copytree(state, tmp_path / "earlier")
+    write(spark, source / "SPRJ1802.parquet", [("33", "2018"), ("98", "2018")], schema)
+    for where in (state, str(earlier)):  # the second time as if the end of the batch had not been recorded
+        stream_group(spark, str(source), "SP", target, where)
+        assert spark.read.parquet(target).count() == 2
+        assert found(load.UNKNOWN_STATES) == [(None, 1), ("98", 1), ("99", 2)] and found(WITHOUT_STATE) == [(1,)]
+
+
 def test_ledger(spark, tmp_path):
     keys = spark.createDataFrame([("RD", 2023, 1), ("RD", 2023, 1), ("SP", 2023, 2)], "g string, y int, m int")
     named = keys.select(ledger.progress_key(F.col("g"), F.col("y"), F.col("m")).alias(ledger.KEY))
@@ -339,7 +467,7 @@ def test_merge_replaces_the_target_by_state(spark, tmp_path):
     types = {"sp_valato": "NUMERIC(10,2)", "sp_dtinter": "DATE"}
     out = merge.merge_and_partition(spark, "v_old", "v_new", "v_new", str(tmp_path / "merged"), types, "sp_uf")
     assert out.count() == 3 and dict(out.dtypes)["sp_valato"] == "decimal(10,2)"
-    assert spark.sql("SHOW PARTITIONS v_new").count() == 3
+    assert spark.sql(f"SHOW PARTITIONS {generations.generation(spark, 'v_new')}").count() == 3
     assert out.filter("sp_uf = 'MG'").first().sp_dtinter == dt.date(2020, 1, 3)
 
 
