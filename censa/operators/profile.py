@@ -241,44 +241,43 @@ def max_lengths(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return longest.select(F.inline(F.array(*rows)))
 
 
+def _borders(numbers: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Per column borders close below and above each wanted quantile, ascending; one row a column."""
+    around = sorted({min(max(s + d, 0.0), 1.0) for s in shares for d in (-BRACKET, BRACKET)})
+    found = numbers.agg(*[F.percentile_approx(c, around, ACCURACY).alias(c) for c in columns])
+    return found.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("borders")) for c in columns])))
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Interpolated exact quantiles of numeric columns, as (column_name, share, quantile).
+    """Interpolated exact quantiles of numeric columns, as (column_name, share, quantile); nothing runs yet.
 
-    An approximate quantile a little to either side brackets each wanted one.  One pass
-    then counts the values below each bracket and the rows of each value inside it, a
-    small part of all, which gives the exact ranks.
+    Approximate quantiles a little to either side of each wanted one cut the values into slices.
+    The sizes of all slices tell for certain which slices hold the wanted ranks, whatever
+    the borders, and only the values of these are counted one by one.  Good borders make
+    these slices a small part of all values; poor ones cost time, not the result.
     """
     columns = list(columns)
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    around = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-BRACKET, BRACKET)]
-    spans = numbers.agg(
-        *[F.struct(F.count(c).alias("n"), F.percentile_approx(c, around, ACCURACY).alias("at"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
-    ).first()
-    brackets = []
-    for c in columns:
-        n, at, low, high = spans[c]
-        for k, share in enumerate(shares if n else []):
-            # Brackets at the ends, and those narrower than two rows, reach to the ends.
-            narrow = n * BRACKET < 2
-            first = low if narrow or around[2 * k] == 0 else at[2 * k]
-            last = high if narrow or around[2 * k + 1] == 1 else at[2 * k + 1]
-            brackets.append((c, float(share), (n - 1) * float(share), first, last))
-    if not brackets:
-        return df.sparkSession.createDataFrame([], "column_name string, share double, quantile double")
-    wanted = df.sparkSession.createDataFrame(brackets, "column_name string, share double, at double, first double, last double")
-    below = numbers.agg(*[F.count_if(F.col(c) < first).alias(str(k)) for k, (c, _, _, first, _) in enumerate(brackets)])
-    below = below.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("share"), F.col(str(k)).alias("below")) for k, (c, s, *_) in enumerate(brackets)]))
-    )
-    # One row per bracket is broadcast.
-    inside = numbers.unpivot([], columns, "column_name", "value").join(F.broadcast(wanted), "column_name").filter("value BETWEEN first AND last")
-    counts = inside.groupBy("column_name", "share", "at", "value").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(below), ["column_name", "share"])
-    upto = F.col("below") + F.sum("n").over(Window.partitionBy("column_name", "share").orderBy("value"))
-    ranked = counts.withColumn("upto", upto)
-    holds = lambda rank: (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
-    low = F.max(F.when(holds(F.floor("at")), F.col("value")))
-    high = F.max(F.when(holds(F.ceil("at")), F.col("value")))
-    return ranked.groupBy("column_name", "share", "at").agg(low.alias("low"), high.alias("high")).select(
+    values = numbers.unpivot([], columns, "column_name", "value").filter("value IS NOT NULL")
+    # One row a column is broadcast.
+    borders = F.broadcast(_borders(numbers, columns, shares))
+    below = F.size(F.filter("borders", lambda border: border < F.col("value")))
+    sliced = values.join(borders, "column_name").select("column_name", "value", F.when(F.col("borders").isNull(), 0).otherwise(below).alias("slice"))
+    sizes = sliced.groupBy("column_name", "slice").agg(F.count(F.lit(1)).alias("size"))
+    own = Window.partitionBy("column_name")
+    upto = F.sum("size").over(own.orderBy("slice"))
+    sizes = sizes.select("column_name", "slice", (upto - F.col("size")).alias("before"), upto.alias("upto"), F.sum("size").over(own).alias("n"))
+    places = F.array(*[F.struct(F.lit(float(s)).alias("share"), ((F.col("n") - 1) * F.lit(float(s))).alias("at")) for s in shares])
+    ranks = sizes.select("column_name", "slice", "before", "upto", F.explode(places).alias("w")).select("*", "w.share", "w.at").drop("w")
+    ranks = ranks.select("*", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank")).filter("rank >= before AND rank < upto")
+    # As many rows as ranks are wanted are broadcast.
+    wanted = F.broadcast(ranks.select("column_name", "slice", "before").distinct())
+    inside = sliced.join(wanted, ["column_name", "slice"]).groupBy("column_name", "slice", "before", "value").agg(F.count(F.lit(1)).alias("n"))
+    last = F.col("before") + F.sum("n").over(Window.partitionBy("column_name", "slice").orderBy("value"))
+    placed = inside.select("column_name", "slice", "value", (last - F.col("n")).alias("first"), last.alias("last"))
+    held = placed.join(F.broadcast(ranks.select("column_name", "slice", "share", "at", "rank")), ["column_name", "slice"]).filter("rank >= first AND rank < last")
+    low, high = F.min("value"), F.max("value")
+    return held.groupBy("column_name", "share", "at").agg(low.alias("low"), high.alias("high")).select(
         "column_name", "share", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("at") - F.floor("at"))).alias("quantile")
     )
 

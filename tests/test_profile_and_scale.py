@@ -46,14 +46,48 @@ def test_numbering_is_exact_with_copies(spark, skewed):
     assert [(r.k, r.v) for r in got] == sorted((r.k, r.v) for r in skewed.collect())
 
 
-def test_copies_are_spread_over_slices(spark):
+def test_copies_are_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "COPIES", 500)
     same = spark.range(0, 20000, numPartitions=8).select(F.lit(1).alias("k"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        sizes = ordering.sorted_slices(same, ["k"]).groupBy(ordering.SLICE).count().collect()
+        numbered = ordering.number_rows(same, ["k"])
+        sizes = numbered.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 20000 / 4
+        assert numbered.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first() == (1, 20000, 20000)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 20000 / 4
+
+
+def test_a_hot_key_is_cut_into_ranges(spark):
+    hot = spark.range(8000).select(F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    sizes = ordering.ranked(hot, ["k"]).groupBy("__range").count().collect()
+    assert len(sizes) == 9 or len(sizes) == 8
+    assert max(r["count"] for r in sizes) < 8000 / 3
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "64"])
+def test_numbers_follow_several_keys_with_nulls(spark, partitions):
+    rng = random.Random(7)
+    data = [(rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "b", "cc"]), rng.random() if k % 3 else None, [k % 2]) for k in range(700)]
+    data += data[:300] + [data[0]] * 50
+    df = spark.createDataFrame(data, "a int, b string, `c.d` double, e array<int>").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = ordering.number_rows(df, ["b", "a"], "n").orderBy("n").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert [r.n for r in got] == list(range(1, len(data) + 1))
+    keys = [(r.b is not None, r.b or "", r.a is not None, r.a or 0) for r in got]
+    assert keys == sorted(keys)
+    assert sorted(map(str, ([*r][:4] for r in got))) == sorted(map(str, map(list, data)))
+
+
+def test_numbering_starts_no_job_and_writes_nothing(spark, skewed):
+    before = jobs(spark)
+    numbered = ordering.number_rows(skewed, ["k", "v"])
+    assert jobs(spark) == before
+    assert "Checkpoint" not in executed(numbered) and "ExistingRDD" not in executed(numbered)
 
 
 def test_ids(spark):
@@ -91,6 +125,29 @@ def test_quantiles_of_many_rows_from_narrow_brackets(spark):
     assert all(got[(c, s)] == pytest.approx(float(np.quantile(data[c], s)), abs=1e-9) for c in "ab" for s in shares)
 
 
+@pytest.mark.parametrize("borders", [[], [-1e9], [1e9], [5.0, 5.0, 5.0], [-1.0, 3.0, 90.0], None])
+def test_quantiles_do_not_depend_on_the_borders(spark, monkeypatch, borders):
+    rng = random.Random(4)
+    data = [(float(rng.choice([1, 2, rng.random() * 100])),) for _ in range(501)]
+    df = spark.createDataFrame(data, "a double")
+    falsified = spark.createDataFrame([("a", borders)], "column_name string, borders array<double>")
+    monkeypatch.setattr(profile, "_borders", lambda *_: falsified)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.999, 1.0]
+    got = {r.share: r.quantile for r in profile.exact_quantiles(df, ["a"], shares).collect()}
+    assert got == {s: pytest.approx(float(np.quantile([x for x, in data], s)), abs=1e-9) for s in shares}
+
+
+def jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_describing_starts_no_job(spark, skewed):
+    before = jobs(spark)
+    described = profile.describe_numeric(skewed, ["k"])
+    assert jobs(spark) == before
+    assert described.first().n == 9000
+
+
 def test_quantiles_of_nothing(spark):
     assert profile.exact_quantiles(spark.createDataFrame([], "a double"), ["a"], [0.5]).count() == 0
     described = profile.describe_numeric(spark.createDataFrame([], "a double"), ["a"]).first()
