@@ -99,6 +99,17 @@ def registry_match(spark, folder):
     return registry.withColumn("columns", F.array_join("columns", ","))
 
 
+@check(
+    """SELECT doc_id, min_by(b.item_id, b.item_id) AS item_id FROM documents d
+       JOIN (SELECT item_id, substr(text, 1, 40) AS start FROM benchmark WHERE text <> '') b ON contains(d.text, b.start) GROUP BY doc_id"""
+)
+def first_passage(spark, folder):
+    """The first benchmark item whose opening words a document contains."""
+    items = table(spark, folder, "benchmark").filter("text <> ''")
+    patterns = items.select(F.substring("text", 1, 40).alias("text"), F.col("item_id").alias("code"), F.col("item_id").alias("position"))
+    return joins.first_contained_in(table(spark, folder, "documents"), "text", patterns, "item_id").select("doc_id", "item_id")
+
+
 @check(
     """SELECT DISTINCT concat_ws('-', o_orderpriority, CAST(year(o_orderdate) AS VARCHAR), CAST(month(o_orderdate) AS VARCHAR))
               AS progress_key FROM orders

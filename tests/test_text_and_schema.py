@@ -1,3 +1,4 @@
+import random
 import re
 import unicodedata
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from censa.functions.text import blank_to_null, normalize_name, normalized, zero_fill
 from censa.operators import cleaning as cl
+from censa.operators import joins
 from censa.operators import schema as sc
 from censa.registry.types import create_table_text, spark_ddl, spark_type, sql_type, struct_of, text_length
 
@@ -104,3 +106,29 @@ def test_date_columns_by_content_need_more_than_four_fifths(spark):
     assert dict(cl.preprocess(df).dtypes) == {"a": "date", "b": "string", "n": "date"}
     empty = spark.createDataFrame([], "a string")
     assert cl.date_columns_by_content(empty) == []
+
+
+def test_the_first_of_very_many_patterns(spark):
+    rng = random.Random(3)
+    letters = "abcdé 日_"
+    word = lambda low, high: "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
+    texts = [word(0, 200) for _ in range(60)] + [None, "", "abc", "abc", "x" * 50_000 + "needle"]
+    known = [(word(5, 9), f"c{k}", k) for k in range(100_000)] + [("é 日", "short", 99_000), ("d", "one", 99_500), ("needle", "n", 7), (None, "null", 1)]
+    patterns = spark.createDataFrame(known, "text string, code string, position int")
+    frame = spark.createDataFrame(list(enumerate(texts)), "k int, name string").repartition(3)
+
+    def brute(empty=None):
+        out = {}
+        for k, text in enumerate(texts):
+            hits = [(p, t, c) for t, c, p in known if t is not None and text is not None and t in text] + ([empty] if empty and text is not None else [])
+            if hits:
+                out[k] = min(hits)[2]
+        return out
+
+    found = joins.first_contained_in(frame, "name", patterns, "label")
+    assert found.columns == ["k", "name", "label"] and {r.k: r.label for r in found.collect()} == brute()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    every = patterns.unionByName(spark.createDataFrame([("", "empty", 50_000)], patterns.schema))
+    assert {r.k: r.label for r in joins.first_contained_in(frame, "name", every, "label").collect()} == brute((50_000, "", "empty"))
+    assert joins.first_contained_in(frame, "name", patterns.limit(0), "label").count() == 0
