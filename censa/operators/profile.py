@@ -1,6 +1,6 @@
 """Column profiles: counts, lengths, flags, samples, frequent values, quartiles.
 
-Counts, lengths and flags are plain aggregates.  Where distinct values are needed, wide
+Row and null counts are plain aggregates.  Where distinct values are needed, wide
 frames are unpivoted to (column, value) and grouped, so one shuffle serves all columns
 and copies combine before it; each task passes on one partial row per column, or its
 first few values.
@@ -9,7 +9,6 @@ first few values.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,8 +16,6 @@ from pyspark.sql import types as T
 
 SAMPLE_SIZE = 10
 TOP_VALUES = 5
-# Columns whose counts and flags are aggregated together.
-BLOCK = 16
 # The approximate quantile is off by at most 1 / ACCURACY of the rows, so a bracket of
 # twice that to either side holds the exact one.
 ACCURACY = 100_000
@@ -88,40 +85,33 @@ def _ranked(counts: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return ranked.filter(F.col("value").isNotNull())
 
 
-def _metrics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counts, lengths and flags of each column, without a shuffle of values.
+def _sizes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows and nulls of each column, in one pass without a shuffle of rows."""
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(c)).alias(c) for c in columns])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("n_rows"), (F.col("__rows") - F.col(c)).alias("n_null")) for c in columns]
+    return counts.select(F.inline(F.array(*rows)))
+
 
-    Columns are taken BLOCK at a time, which keeps the generated code small; a
-    columnar source is still read once in all.
+def _flags(values: DataFrame) -> DataFrame:
+    """Number, lengths and flags of the distinct values of each column.
+
+    None of them depends on how often a value occurs, so each value is looked at once.
     """
-    parts = []
-    for low in range(0, len(columns), BLOCK):
-        block = columns[low : low + BLOCK]
-        texts = df.select(*[F.col(c).cast("string").alias(c) for c in block])
-        wanted = []
-        for c in block:
-            value = F.col(c)
-            present = value.isNotNull()
-            # A character value of length zero says nothing about lengths.
-            length = F.when(F.length(value) > 0, F.length(value))
-            kind = F.when(present, value_kind(value))
-            wanted.append(
-                F.struct(
-                    F.count(F.lit(1)).alias("n_rows"),
-                    F.count_if(~present).alias("n_null"),
-                    F.max(length).alias("max_length"),
-                    F.min(length).alias("min_length"),
-                    F.max(leading_zero(value)).alias("leading_zeros"),
-                    F.max(special_character(value)).alias("special_chars"),
-                    (F.min(kind) != F.max(kind)).alias("mixed_types"),
-                    F.bool_and(boolean_text(value)).alias("all_boolean"),
-                    F.bool_and(iso_date_text(value)).alias("all_dates"),
-                    F.max(magnitude(value)).alias("largest"),
-                ).alias(c)
-            )
-        rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("m")) for c in block]
-        parts.append(texts.agg(*wanted).select(F.inline(F.array(*rows))).select("column_name", "m.*"))
-    return reduce(DataFrame.unionByName, parts)
+    value = F.col("value")
+    # A character value of length zero says nothing about lengths.
+    length = F.when(F.length(value) > 0, F.length(value))
+    kind = value_kind(value)
+    return values.groupBy("column_name").agg(
+        F.count(value).alias("n_distinct"),
+        F.max(length).alias("max_length"),
+        F.min(length).alias("min_length"),
+        F.max(leading_zero(value)).alias("leading_zeros"),
+        F.max(special_character(value)).alias("special_chars"),
+        (F.min(kind) != F.max(kind)).alias("mixed_types"),
+        F.bool_and(boolean_text(value)).alias("all_boolean"),
+        F.bool_and(iso_date_text(value)).alias("all_dates"),
+        F.max(magnitude(value)).alias("largest"),
+    )
 
 
 def column_profile(df: DataFrame, columns: Iterable[str] | None = None, sample: int = SAMPLE_SIZE) -> DataFrame:
@@ -130,12 +120,11 @@ def column_profile(df: DataFrame, columns: Iterable[str] | None = None, sample:
     Flags and lengths describe text columns and are computed on all values.  The
     sample holds the smallest distinct values in text order.  On top come the row
     count, whether all values are yes/no texts or ISO dates, and the largest integer.
-    Only the distinct count and the sample need a shuffle, of distinct values.
+    All but the counts of rows and nulls is taken from one shuffle, of distinct values.
     """
     columns = df.columns if columns is None else list(columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
     values = _as_text(df, columns).filter(F.col("value").isNotNull()).distinct()
-    distinct = values.groupBy("column_name").agg(F.count("value").alias("n_distinct"))
     samples = _ranked(values, [F.asc_nulls_last("value")], sample).groupBy("column_name").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))), lambda s: s["value"]).alias("sample")
     )
@@ -147,8 +136,8 @@ def column_profile(df: DataFrame, columns: Iterable[str] | None = None, sample:
     text = F.col("is_text")
     return (
         # One row per column of the frame on every side.
-        listed.join(F.broadcast(_metrics(df, columns)), "column_name", "left")
-        .join(F.broadcast(distinct), "column_name", "left")
+        listed.join(F.broadcast(_sizes(df, columns)), "column_name", "left")
+        .join(F.broadcast(_flags(values)), "column_name", "left")
         .join(F.broadcast(samples), "column_name", "left")
         .select(
             "position",

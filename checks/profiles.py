@@ -110,13 +110,13 @@ def _describe(c: str, source: str) -> str:
         round(quantile_cont({c}, 0.75), 4) AS q3, CAST(max({c}) AS DOUBLE) AS max FROM {source}"""
 
 
-@check(
-    " UNION ALL ".join(
-        [_describe(c, "lineitem") for c in ("l_quantity", "l_extendedprice", "l_discount")]
-    )
-)
+_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@check(" UNION ALL ".join(_describe(c, "lineitem") for c in _NUMBERS))
 def describe_numeric(spark, folder):
-    described = pf.describe_numeric(table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    """Every numeric column of the table."""
+    described = pf.describe_numeric(table(spark, folder, "lineitem"), _NUMBERS)
     rounded = {c: F.round(c, 3) for c in ("mean", "std")} | {c: F.round(c, 4) for c in ("q1", "median", "q3")}
     return described.withColumns(rounded)
 
@@ -128,9 +128,9 @@ def _top(c: str, k: int) -> str:
         QUALIFY rank <= {k}"""
 
 
-@check(" UNION ALL ".join(f"SELECT * FROM ({_top(c, 5)})" for c in ("event_type", "user_id", "props")))
+@check(" UNION ALL ".join(f"SELECT * FROM ({_top(c, 5)})" for c in ("event_type", "user_id", "props", "event_id")))
 def top_values(spark, folder):
-    return pf.top_values(table(spark, folder, "events"), ["event_type", "user_id", "props"])
+    return pf.top_values(table(spark, folder, "events"), ["event_type", "user_id", "props", "event_id"])
 
 
 @check(
@@ -158,13 +158,12 @@ def max_length(spark, folder):
 @check(
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) = count(*) AS is_unique FROM orders"
-        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     )
 )
 def unique_columns(spark, folder):
-    return pf.unique_columns(
-        table(spark, folder, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    )
+    """Every column of the table."""
+    return pf.unique_columns(table(spark, folder, "orders"))
 
 
 @check(
@@ -192,13 +191,18 @@ def date_format_ok(spark, folder):
 
 
 @check(
-    """SELECT 'c_name' AS column_name, 'min_length' AS missing FROM customer HAVING count(*) > 0
-       UNION ALL SELECT 'c_mktsegment', 'min_length' FROM customer HAVING count(*) > 0"""
+    " UNION ALL ".join(
+        f"""SELECT column_name, array_to_string(list_filter([CASE WHEN n_distinct > 10 THEN 'n_distinct' END, CASE WHEN shortest < 10 THEN 'min_length' END],
+                lambda x: x IS NOT NULL), ',') AS missing
+            FROM (SELECT '{c}' AS column_name, {"min(length(" + c + "))" if c in ("c_name", "c_mktsegment") else "0"} AS shortest, count(DISTINCT {c}) AS n_distinct FROM customer)
+            WHERE shortest < 10 OR n_distinct > 10"""
+        for c in _CUSTOMER
+    )
 )
 def profile_check(spark, folder):
-    """Profiles with a metric taken away in text columns, checked for completeness."""
+    """Profiles from which metrics are taken away by what the columns hold, checked for completeness."""
     profile = _customer_profile(spark, folder)
-    broken = profile.withColumn("min_length", F.when(F.col("data_type") != "string", F.col("min_length")))
+    broken = profile.withColumns({"min_length": F.when(F.col("min_length") >= 10, F.col("min_length")), "n_distinct": F.when(F.col("n_distinct") <= 10, F.col("n_distinct"))})
     return ql.profile_problems(broken).withColumn("missing", F.array_join("missing", ","))
 
 
