@@ -44,3 +44,18 @@ def sums(values: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
         first = np.flatnonzero(np.diff(owner, prepend=owner[0] - 1))
         out[owner[first]] = np.add.reduceat(values, first, axis=0)
     return out
+
+
+class Pool:
+    """The bytes of each of many tokens, to be joined by a gather."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.pool = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids one after the other, and where each begins (one more at the end)."""
+        sizes = self.sizes[ids]
+        stops = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        return self.pool[np.repeat(self.starts[ids] - stops[:-1], sizes) + np.arange(stops[-1])], stops

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from itertools import chain, repeat
 from typing import ClassVar
 
 import numpy as np
@@ -26,53 +27,105 @@ def split(text: str) -> list[str]:
 
 
 class _Numbers(dict):
-    """A number for each chunk seen."""
-
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = len(self)
-        self.new.append(chunk)
-        return number
+    """A number for each string met."""
 
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
 
-class ChunkTable:
-    """``encode`` gives each of a list of chunks its values; ``limit`` bounds the kept characters.
+    def __missing__(self, string: str) -> int:
+        number = self[string] = len(self)
+        self.new.append(string)
+        return number
 
-    When the table is full it starts anew, so its memory does not grow with the data.  A
-    worker process serves one operator after another, so only the table in use is kept.
-    """
 
-    in_use: ClassVar[ChunkTable | None] = None
+class _Memory:
+    """The values of numbered strings, one after the other."""
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype, limit: int = 1_500_000) -> None:
-        self.encode, self.dtype, self.limit = encode, dtype, limit
-        self._clear()
-
-    def _clear(self) -> None:
+    def __init__(self, dtype) -> None:
         self.numbers = _Numbers()
-        self.numbers.new = []
         self.chars = self.used = 0
-        self.pool = np.empty(1 << 16, self.dtype)
+        self.pool = np.empty(1 << 16, dtype)
         self.starts = np.empty(1 << 14, np.int64)
         self.sizes = np.empty(1 << 14, np.int64)
-        if hasattr(self.encode, "known"):
-            self.encode.known = {}
 
-    def _learn(self) -> None:
-        new = self.numbers.new
+    def values(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the wanted numbers, and where each begins (one more at the end)."""
+        sizes = self.sizes[wanted]
+        stops = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        moved = np.repeat(self.starts[wanted] - stops[:-1], sizes)
+        moved += np.arange(len(moved))
+        return self.pool[moved], stops
+
+    def add(self, numbers: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> None:
+        self.pool = _room(self.pool, self.used + len(values))
+        self.starts, self.sizes = _room(self.starts, len(self.numbers)), _room(self.sizes, len(self.numbers))
+        self.pool[self.used : self.used + len(values)] = values
+        self.sizes[numbers] = sizes
+        self.starts[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(values)
+
+
+Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+
+
+def flat(rows: Sequence[Sequence[int]], dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All values one after the other, and how many each row has."""
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    return np.fromiter(chain.from_iterable(rows), dtype, int(sizes.sum())), sizes
+
+
+class Memory:
+    """Values of strings, by ``encode`` where they are new; ``limit`` bounds the characters kept in either half.
+
+    When the young half is full it becomes the old one, whose strings move up again when they
+    are met, so strings that are met often are never forgotten and the memory does not grow with
+    the data.
+    """
+
+    def __init__(self, encode: Encode, dtype, limit: int) -> None:
+        self.encode, self.dtype, self.limit = encode, dtype, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.young, self.old = _Memory(self.dtype), _Memory(self.dtype)
+
+    def renew(self) -> None:
+        """Between two batches: numbers given before are void after a change of halves."""
+        if self.young.chars > self.limit:
+            self.young, self.old = _Memory(self.dtype), self.young
+
+    def learn(self) -> None:
+        """Find the values of all strings that got a number since the last time."""
+        young, old = self.young, self.old
+        new = young.numbers.new
         if not new:
             return
-        values = self.encode(new)
-        first = len(self.numbers) - len(new)
-        sizes = np.fromiter(map(len, values), np.int64, len(values))
-        total = int(sizes.sum())
-        self.pool = _room(self.pool, self.used + total)
-        self.starts, self.sizes = _room(self.starts, len(self.numbers)), _room(self.sizes, len(self.numbers))
-        self.pool[self.used : self.used + total] = [v for row in values for v in row]
-        self.sizes[first : len(self.numbers)] = sizes
-        self.starts[first : len(self.numbers)] = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        self.chars += sum(map(len, new))
-        self.numbers.new = []
+        first = len(young.numbers) - len(new)
+        before = np.fromiter(map(old.numbers.get, new, repeat(-1)), np.int64, len(new))
+        held = np.flatnonzero(before >= 0)
+        if len(held):
+            values, stops = old.values(before[held])
+            young.add(first + held, values, np.diff(stops))
+        rest = np.flatnonzero(before < 0)
+        if len(rest):
+            young.add(first + rest, *self.encode([new[k] for k in rest.tolist()]))
+        young.chars += sum(map(len, new))
+        young.numbers.new = []
+
+
+class ChunkTable:
+    """Texts as the values of their chunks.  A worker process serves one operator after another, so only the table in use is kept."""
+
+    in_use: ClassVar[ChunkTable | None] = None
+
+    def __init__(self, encode: Encode, dtype, limit: int = 1_250_000, cut: Callable[[str], list[str]] = split) -> None:
+        self.encode, self.cut, self.memory = encode, cut, Memory(encode, dtype, limit)
+
+    def _clear(self) -> None:
+        self.memory.clear()
+        if hasattr(self.encode, "forget"):
+            self.encode.forget()
 
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The values of all texts one after the other, and where each text starts (one more at the end)."""
@@ -80,21 +133,16 @@ class ChunkTable:
             if ChunkTable.in_use is not None:
                 ChunkTable.in_use._clear()
             ChunkTable.in_use = self
-        if self.chars > self.limit:
-            self._clear()
+        self.memory.renew()
         found: list[int] = []
         ends = np.zeros(len(texts) + 1, np.int64)
-        number = self.numbers.__getitem__
+        number, cut = self.memory.young.numbers.__getitem__, self.cut
         for at, text in enumerate(texts):
-            found.extend(map(number, split(text)))
+            found.extend(map(number, cut(text)))
             ends[at + 1] = len(found)
-        self._learn()
-        wanted = np.array(found, np.int64)
-        sizes = self.sizes[wanted]
-        stops = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
-        moved = np.repeat(self.starts[wanted] - stops[:-1], sizes)
-        moved += np.arange(len(moved))
-        return self.pool[moved], stops[ends]
+        self.memory.learn()
+        values, stops = self.memory.young.values(np.array(found, np.int64))
+        return values, stops[ends]
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from censa.llm.chunks import ChunkTable
+from censa.llm.chunks import ChunkTable, flat
 from censa.llm.components import components
 from censa.llm.shared import kept, steps
 
@@ -60,7 +60,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=1)
 def word_table() -> ChunkTable:
     """Chunks to 32-bit hashes of their lower-cased words."""
-    return ChunkTable(lambda chunks: [(xxhash.xxh32_intdigest(c.lower()),) for c in chunks], np.uint32)
+    return ChunkTable(lambda chunks: flat([(xxhash.xxh32_intdigest(c.lower()),) for c in chunks], np.uint32), np.uint32, 750_000)
 
 
 def kmers(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from censa.llm.chunks import ChunkTable
+from censa.llm.chunks import ChunkTable, flat
 from censa.llm.shared import steps
 
 ROWS = 1 << 17
@@ -67,14 +67,14 @@ def _row(text: str) -> int:
 def word_table() -> ChunkTable:
     """Chunks to the two table rows (word, stem) of each of their words; row 0 is padding."""
 
-    def rows(chunks: list[str]) -> list[list[int]]:
+    def rows(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out = []
         for chunk in chunks:
             words = WORD.findall(chunk.lower())
             out.append([_row(w) << 32 | _row(w[:STEM] + "*") for w in words])
-        return out
+        return flat(out, np.int64)
 
-    return ChunkTable(rows, np.int64)
+    return ChunkTable(rows, np.int64, 750_000)
 
 
 def padded(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
