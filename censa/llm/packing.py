@@ -11,6 +11,7 @@ Every piece finds its place by the number it has among the pieces of its length.
 
 Nulls count as empty texts (one end id).  Equal documents and repeated rows are packed
 one by one.  An empty table gives no rows.
+Texts of any length are read whole; further columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -150,7 +151,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     held = [f for f in cut.schema.fields if f.name not in ("part", "number")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held) + ", sequence_id long, offset long"
-    return cut.join(bases, ["part", "length"]).select(*cut.columns, "base").mapInArrow(place, schema)
+    # One base for each task and length grows with the input, so it is never broadcast.
+    return cut.join(bases.hint("merge"), ["part", "length"]).select(*cut.columns, "base").mapInArrow(place, schema)
 
 
 def packed(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False) -> DataFrame:
