@@ -54,7 +54,7 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write(table(spark, folder, "documents"), TOKENIZER, path)
-    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_files.read(spark, path, ids=False)
 
 
 @query

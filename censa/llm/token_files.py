@@ -10,6 +10,7 @@ each level, without decoding what stands around it.
 
 ``doc_id`` order: nulls first; repeated ids in the order of their text's hash.  Null texts
 are empty (only the end id).  An empty table gives a file without segments.
+Texts of any length are read whole; further columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ CHUNK_BITS = 8
 RANK_BLOCK = 512
 SEGMENT_TOKENS = 1 << 18
 END_ID = 1
+#: Characters of chunks remembered in a worker, twice.
+CHARS = 2_500_000
 
 SEGMENT = "part int, first long, n_tokens long, doc_ids array<long>, lengths array<int>, chunks array<binary>, bits array<binary>, ranks array<binary>"
 ARROW = pa.schema(
@@ -64,6 +67,20 @@ def decode_levels(chunks: list[bytes], bits: list[bytes]) -> np.ndarray:
     return ids
 
 
+def _rank(bitmap: np.ndarray, directory: bytes, place: np.ndarray) -> np.ndarray:
+    """Set bits before each place: those before its block by the directory, the others byte by byte."""
+    block = place // RANK_BLOCK
+    entries = np.frombuffer(directory, "<u4").astype(np.int64)
+    rank = entries[np.minimum(block, len(entries) - 1)]
+    for step in range(RANK_BLOCK // 8):
+        byte = block * (RANK_BLOCK // 8) + step
+        whole, partly = byte < place >> 3, byte == place >> 3
+        value = bitmap[np.minimum(byte, len(bitmap) - 1)]
+        value = np.where(partly, value & ((1 << (place & 7)) - 1), np.where(whole, value, 0)).astype(np.uint8)
+        rank += np.bitwise_count(value)
+    return rank
+
+
 def access(chunks: list[bytes], bits: list[bytes], ranks: list[bytes], at: np.ndarray) -> np.ndarray:
     """The ids at some places of a segment, each by one look into every level it reaches."""
     ids = np.zeros(len(at), np.uint32)
@@ -75,15 +92,32 @@ def access(chunks: list[bytes], bits: list[bytes], ranks: list[bytes], at: np.nd
         who, place = who[going], place[going]
         if not len(who):
             break
-        block = place // RANK_BLOCK
-        rank = np.frombuffer(ranks[level], "<u4")[block].astype(np.int64)
-        for step in range(RANK_BLOCK // 8):  # set bits of the block before the place, byte by byte
-            byte = block * (RANK_BLOCK // 8) + step
-            whole, partly = byte < place >> 3, byte == place >> 3
-            value = bitmap[np.minimum(byte, len(bitmap) - 1)]
-            value = np.where(partly, value & ((1 << (place & 7)) - 1), np.where(whole, value, 0)).astype(np.uint8)
-            rank += np.bitwise_count(value)
-        place = rank
+        place = _rank(bitmap, ranks[level], place)
+    return ids
+
+
+def spans(chunks: list[bytes], bits: list[bytes], ranks: list[bytes], starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ids of some stretches of a segment, one after the other.
+
+    The directory tells where a stretch begins in the next level; its further ids follow there.
+    """
+    owner = np.repeat(np.arange(len(starts)), sizes)
+    ids = np.zeros(len(owner), np.uint32)
+    who, start = np.arange(len(owner)), starts.astype(np.int64)
+    for level in range(len(chunks)):
+        own = owner[who]
+        # Places within a stretch count up from where it begins in this level.
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        place = np.repeat(start[own[first]] - first, np.diff(np.append(first, len(own)))) + np.arange(len(own))
+        ids[who] |= np.frombuffer(chunks[level], np.uint8)[place].astype(np.uint32) << np.uint32(CHUNK_BITS * level)
+        bitmap = np.frombuffer(bits[level], np.uint8)
+        going = (bitmap[place >> 3] >> (place & 7)) & 1 == 1
+        who = who[going]
+        if not len(who):
+            break
+        beyond = np.zeros(len(start), np.int64)
+        beyond[own[first]] = _rank(bitmap, ranks[level], start[own[first]])
+        start = beyond
     return ids
 
 
@@ -92,7 +126,7 @@ def write(documents: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
     spark = documents.sparkSession
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = encoder(tokenizer)
+        codes = encoder(tokenizer, CHARS)
         part, first = 0, 0
         docs: list[int | None] = []
         held: list[np.ndarray] = []
@@ -117,7 +151,9 @@ def write(documents: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
             yield segment()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(width(spark), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows of one id (null above all) are cut into ranges too: by their text, and copies by their place.
+    order = ["doc_id", F.xxhash64("text"), F.monotonically_increasing_id()]
+    ordered = rows.repartitionByRange(width(spark), *order).sortWithinPartitions(*order[:2])
     ordered.withColumn("part", F.spark_partition_id()).mapInArrow(segments, SEGMENT).write.parquet(path)
 
 
@@ -132,20 +168,21 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("first")).drop("base")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id``, ``start``, ``n_tokens``, ``ids`` (little-endian 32-bit) and ``ids_crc32`` of every document, from the files."""
+def read(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
+    """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` and ``ids`` (little-endian 32-bit) of every document, from the files."""
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * ids]
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                data = decode_levels(row["chunks"], row["bits"]).astype("<u4").tobytes()
                 lengths = np.array(row["lengths"], np.int64)
                 stops = np.cumsum(lengths)
-                ids = [data[4 * (e - n) : 4 * e] for n, e in zip(lengths.tolist(), stops.tolist(), strict=True)]
-                columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + stops - lengths), pa.array(lengths), pa.array(ids, pa.binary()), pa.array([zlib.crc32(x) for x in ids], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids", "ids_crc32"])
+                data = spans(row["chunks"], row["bits"], row["ranks"], stops - lengths, lengths).astype("<u4").tobytes()
+                own = [data[4 * (e - n) : 4 * e] for n, e in zip(lengths.tolist(), stops.tolist(), strict=True)]
+                columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + stops - lengths), pa.array(lengths), pa.array([zlib.crc32(x) for x in own], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(own, pa.binary())] * ids, names)
 
-    return segments(spark, path).mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
+    return segments(spark, path).mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids)
 
 
 def lookup(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:

@@ -51,7 +51,12 @@ def test_speculation_agrees_with_merging():
     model, _ = bpe.coder(FILE)
     words = list({w for t in odd_texts() for c in t.split() for w in model.splitter.pieces(c) if isinstance(w, str)})
     merged = [model.merge(w) for w in words]
-    assert model.encode_words(words) == merged
+    ids, sizes = model.encode_words(words)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == merged
+    # All words side by side give what each gives for itself.
+    ids, sizes = model.propose_all(words)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [model.propose(w) for w in words]
+    assert model.merge_all(words) == merged and max(map(len, words)) > bpe.SHORT
     assert 0 < sum(model.propose(w) == m for w, m in zip(words, merged, strict=True)) < len(words)
 
 
@@ -88,6 +93,18 @@ def test_levels_give_every_token_back():
         assert (token_files.access(chunks, bits, ranks, at) == ids[at]).all()
 
 
+def test_stretches_are_read_without_the_rest():
+    rng = np.random.default_rng(6)
+    for n in (1, 700, 6000):
+        ids = np.where(rng.random(n) < 0.1, rng.integers(0, 1 << 32, n), rng.integers(0, 50_000, n)).astype(np.uint32)
+        levels = token_files.encode_levels(ids)
+        for _ in range(20):
+            starts = rng.integers(0, n, rng.integers(1, 30))
+            sizes = np.array([rng.integers(0, min(n - s, 900) + 1) for s in starts])
+            want = np.concatenate([ids[s : s + k] for s, k in zip(starts, sizes, strict=True)])
+            assert token_files.spans(*levels, starts, sizes).tolist() == want.tolist()
+
+
 def test_files_hold_all_documents_in_order(spark, messy, nothing, library):
     path = scratch_path(spark, "test-tokens")
     token_files.write(messy, FILE, path, segment_tokens=500)
