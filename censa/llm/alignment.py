@@ -29,11 +29,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from censa.llm.arrays import blocks
+from censa.llm.arrays import Pool, blocks
+from censa.llm.chunks import ChunkTable, flat
 from censa.llm.shared import kept
 from censa.llm.tokens import _byte_letters
 
@@ -43,18 +45,11 @@ LINKS = 1 << 18
 LAST = np.iinfo(np.int64).max
 
 
-class Bytes:
-    """The bytes of each token, as one pool."""
-
-    def __init__(self, tokens: list[bytes]) -> None:
-        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.pool = np.frombuffer(b"".join(tokens), np.uint8)
-
-    def joined(self, ids: np.ndarray) -> np.ndarray:
-        sizes = self.sizes[ids]
-        stops = np.cumsum(sizes)
-        return self.pool[np.repeat(self.starts[ids] - stops + sizes, sizes) + np.arange(stops[-1] if len(ids) else 0)]
+#: A space with all up to the next space that follows something else than white space.  Neither tokenizer has a
+#: token over such a border, so these chunks of a text are tokenised for themselves.
+CHUNK = regex.compile(r" \p{White_Space}*(?:\P{White_Space}+(?:(?! )\p{White_Space}+\P{White_Space}*)*)?")
+#: Ids of B are kept with those of A, from this number on; WRONG marks a chunk that is not spelled by both.
+OTHER, WRONG = 1 << 24, -1
 
 
 class Pair:
@@ -73,19 +68,63 @@ class Pair:
         byte = {letter: b for b, letter in _byte_letters().items()}
         names = [self.a.id_to_token(k) or "" for k in range(self.a.get_vocab_size())]
         special = {k for k, t in self.a.get_added_tokens_decoder().items() if t.special}
-        self.bytes_a = Bytes([n.encode() if k in special else bytes(byte[c] for c in n) for k, n in enumerate(names)])
+        self.bytes_a = [n.encode() if k in special else bytes(byte[c] for c in n) for k, n in enumerate(names)]
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
-        self.bytes_b = Bytes([bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)])
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
+        across = regex.compile(r"\P{White_Space} ")
+        if any(across.search(t.decode(errors="replace")) for t in [*self.bytes_a, *self.bytes_b]):
+            raise ValueError("a token holds a space after something else than white space")
+        self.pool_a, self.pool_b = Pool(self.bytes_a), Pool(self.bytes_b)
+        self.blank = [self.b.piece_to_id("▁")]
         ids = max(len(names), len(pieces))
         self.width = len(str(ids - 1))
         #: Decimal digits of each id, zero bytes after them, and a place for the sign that follows.
         self.digits = np.frombuffer(b"".join(str(k).encode().ljust(self.width + 1, b"\0") for k in range(ids)), np.uint8).reshape(ids, -1)
         self.n_digits = (self.digits != 0).sum(axis=1)
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        a = [np.array(e.ids, np.int64) for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        b = [np.array(ids, np.int64) for ids in self.b.encode(texts, num_threads=1)]
-        return a, b
+        self.table = ChunkTable(self._chunk_ids, np.int32, 750_000, CHUNK.findall)
+
+    def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+        # B adds the space itself, but not to nothing.
+        b = [ids or self.blank for ids in self.b.encode([c[1:] for c in chunks], num_threads=1)]
+        (ids_a, size_a), (ids_b, size_b) = flat(a, np.int32), flat(b, np.int32)
+        wrong = self._misspelled(chunks, (a, ids_a, size_a), (b, ids_b, size_b))
+        owner = np.concatenate([np.repeat(np.arange(len(chunks)), size_a), np.repeat(np.arange(len(chunks)), size_b)])
+        ids = np.concatenate([ids_a, ids_b + OTHER])[np.argsort(owner, kind="stable")]
+        sizes = size_a + size_b
+        if len(wrong):
+            rows = np.split(ids, np.cumsum(sizes)[:-1])
+            for k in wrong.tolist():
+                rows[k] = np.array([WRONG])
+            return flat(rows, np.int32)
+        return ids, sizes
+
+    def _misspelled(self, chunks: list[str], *both: tuple[list[list[int]], np.ndarray, np.ndarray]) -> np.ndarray:
+        """Chunks whose bytes are not those of the tokens of both tokenizers."""
+        want = np.frombuffer("".join(chunks).encode(), np.uint8)
+        stops = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in chunks])
+        bad = np.zeros(len(chunks), bool)
+        for (lists, ids, sizes), pool in zip(both, (self.pool_a, self.pool_b), strict=True):
+            ends = np.cumsum(pool.sizes[ids])[np.cumsum(sizes) - 1]
+            if (ends == stops).all():
+                joined, _ = pool.joined(ids)
+                bad[np.searchsorted(stops, np.flatnonzero(joined != want), "right")] = True
+            else:  # rare, so one by one
+                own = self.bytes_a if pool is self.pool_a else self.bytes_b
+                bad |= [b"".join(map(own.__getitem__, x)) != c.encode() for x, c in zip(lists, chunks, strict=True)]
+        return np.flatnonzero(bad)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B over all texts, and how many each text has; none for an empty text or one that either does not spell."""
+        ids, bounds = self.table.rows([" " + t if t else "" for t in texts])
+        owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        wrong = np.zeros(len(texts), bool)
+        wrong[owner[ids == WRONG]] = True
+        if wrong.any():
+            fine = ~wrong[owner]
+            ids, owner = ids[fine], owner[fine]
+        of_b = ids >= OTHER
+        return ids[~of_b].astype(np.int64), ids[of_b].astype(np.int64) - OTHER, *(np.bincount(owner[x], minlength=len(texts)) for x in (~of_b, of_b))
 
 
 @lru_cache(maxsize=1)
@@ -150,40 +189,22 @@ def group_strings(pair: Pair, a: np.ndarray, b: np.ndarray, link_a: np.ndarray,
 
 def aligned(pair: Pair, texts: list[str]) -> tuple[list[np.ndarray], dict[str, np.ndarray | list[str]]]:
     """For each text the id pairs (a << 32 | b) of its links, and its numbers."""
-    a, b = pair.encode(texts)
-    size = len(texts)
-    out = {n: np.zeros(size, np.int64) for n in ("n_a", "n_b", "n_groups", "n_links", "n_overlaps")} | {"groups_sha256": [""] * size}
-    pairs = [np.zeros(0, np.int64)] * size
-    # Texts that both spell as they are: by length, then by bytes.
-    want = [b" " + t.encode() for t in texts]
-    fits = [k for k in range(size) if texts[k] and pair.bytes_a.sizes[a[k]].sum() == len(want[k]) == pair.bytes_b.sizes[b[k]].sum()]
-    if fits:
-        spelled = np.frombuffer(b"".join(want[k] for k in fits), np.uint8)
-        wrong = pair.bytes_a.joined(np.concatenate([a[k] for k in fits])) != spelled
-        wrong |= pair.bytes_b.joined(np.concatenate([b[k] for k in fits])) != spelled
-        first = np.cumsum([0] + [len(want[k]) for k in fits])[:-1]
-        bad = np.logical_or.reduceat(wrong, first)
-        fits = [k for k, x in zip(fits, bad.tolist(), strict=True) if not x]
-    if not fits:
-        return pairs, out
-    n_a, n_b = (np.array([len(x[k]) for k in fits]) for x in (a, b))
-    ids_a, ids_b = (np.concatenate([x[k] for k in fits]) for x in (a, b))
-    over_a, _, link_a, link_b = links(np.cumsum(pair.bytes_a.sizes[ids_a]), np.cumsum(pair.bytes_b.sizes[ids_b]))
+    ids_a, ids_b, n_a, n_b = pair.encode(texts)
+    out = {"n_a": n_a, "n_b": n_b}
+    over_a, _, link_a, link_b = links(np.cumsum(pair.pool_a.sizes[ids_a]), np.cumsum(pair.pool_b.sizes[ids_b]))
     stop_a = np.cumsum(n_a)
     bounds = np.concatenate([[0], np.searchsorted(link_a, stop_a)])
     found = ids_a[link_a] << 32 | ids_b[link_b]
-    written, stops = group_strings(pair, ids_a, ids_b, link_a, link_b, np.cumsum(n_b) - 1)
-    written = written.tobytes()
-    out["n_a"][fits], out["n_b"][fits] = n_a, n_b
-    out["n_groups"][fits] = out["n_links"][fits] = np.diff(bounds)
-    out["n_overlaps"][fits] = np.diff(np.concatenate([[0], np.searchsorted(over_a, stop_a)]))
-    low = 0
-    for at, k in enumerate(fits):
-        pairs[k] = found[bounds[at] : bounds[at + 1]]
-        high = int(stops[at])
-        out["groups_sha256"][k] = hashlib.sha256(written[low:high].rstrip(b";")).hexdigest()
+    out["n_groups"] = out["n_links"] = np.diff(bounds)
+    out["n_overlaps"] = np.diff(np.concatenate([[0], np.searchsorted(over_a, stop_a)]))
+    fits = np.flatnonzero(n_b)
+    written, stops = group_strings(pair, ids_a, ids_b, link_a, link_b, np.cumsum(n_b)[fits] - 1)
+    raw, shown, low = memoryview(written), [""] * len(texts), 0
+    for k, high in zip(fits.tolist(), stops.tolist(), strict=True):
+        shown[k] = hashlib.sha256(raw[low:high]).hexdigest()
         low = high
-    return pairs, out
+    out["groups_sha256"] = shown
+    return [found[lo:hi] for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], out
 
 
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_overlaps"]
@@ -196,18 +217,22 @@ def aligned_rows(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizers(path_a, path_b)
         task = TaskContext.get().partitionId() << 36
-        held, taken, part, row = [], 0, task, task
+        blocks_of, taken, part, first, row = [], 0, task, task, task
         schema = pa.schema([(n, pa.int64()) for n in ("part", "row", "doc_id", *NUMBERS)] + [("groups_sha256", pa.string()), ("links", pa.list_(pa.int32())), ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            found, place, counts = np.unique(np.concatenate([p for _, p, _ in held]), return_inverse=True, return_counts=True)
-            place, low = place.astype(np.int32), 0
-            for row, own, told in held:
-                for at in range(0, max(len(own), 1), LINKS):
-                    told = told if at == 0 else [told[0], *[0] * len(NUMBERS), None]
-                    part_links = place[low + at : low + min(at + LINKS, len(own))]
-                    yield [part, row, *told, part_links, None, None]
-                low += len(own)
+        def flush() -> Iterator[list]:
+            # The blocks' own distinct pairs become those of the part.
+            sizes = [len(own) for own, _, _ in blocks_of]
+            found, place = np.unique(np.concatenate([own for own, _, _ in blocks_of]), return_inverse=True)
+            counts = np.zeros(len(found), np.int64)
+            np.add.at(counts, place, np.concatenate([n for _, n, _ in blocks_of]))
+            row, place = first, place.astype(np.int32)
+            for (_, _, texts), now in zip(blocks_of, np.split(place, np.cumsum(sizes)[:-1]), strict=True):
+                for own, told in texts:
+                    for at in range(0, max(len(own), 1), LINKS):
+                        numbers = told if at == 0 else [told[0], *[0] * len(NUMBERS), None]
+                        yield [part, row, *numbers, now[own[at : at + LINKS]], None, None]
+                    row += 1
             if len(found):
                 yield [part, None, None, *[None] * len(NUMBERS), None, None, found, counts]
 
@@ -223,17 +248,17 @@ def aligned_rows(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*now, strict=True), schema, strict=True)], schema=schema)
 
         for batch, data, offsets in blocks(batches, BLOCK_BYTES):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            pairs, out = aligned(pair, texts)
+            pairs, out = aligned(pair, [t or "" for t in batch.column("text").to_pylist()])
+            own, place, counts = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
             columns = zip(batch.column("doc_id").to_pylist(), *(out[n].tolist() for n in NUMBERS), out["groups_sha256"], strict=True)
-            for own, told in zip(pairs, columns, strict=True):
-                held.append((row, own, list(told)))
-                row += 1
+            links_of = np.split(place.astype(np.int32), np.cumsum([len(p) for p in pairs])[:-1])
+            blocks_of.append((own, counts, list(zip(links_of, map(list, columns), strict=True))))
+            row += len(pairs)
             taken += len(data)
             if taken >= PART_BYTES:
                 yield from packed(flush())
-                held, taken, part = [], 0, part + 1
-        if held:
+                blocks_of, taken, part, first = [], 0, part + 1, row
+        if blocks_of:
             yield from packed(flush())
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
