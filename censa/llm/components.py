@@ -11,8 +11,8 @@ from censa.llm.shared import kept
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of every node of the edges (a, b).
 
-    Each round takes the smallest label around a node, then the label of that label, so
-    the rounds grow with the logarithm of a component's width.  Nothing but the number of
+    Each round takes the smallest label around a node, then the label of that label, so in
+    practice few rounds do even for long chains.  Nothing but the number of
     changes comes to the driver.  A null end or an edge from a node to itself is left out.
     """
     pairs = edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")

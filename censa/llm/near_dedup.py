@@ -11,11 +11,13 @@ by aligning equal k-mers within a band as wide as a shift can be at that similar
 
 Texts of the same words are one node from the start.  The nodes of a shared sketch form
 a bucket; equal buckets are kept once.  A bucket of up to BLOCK nodes is one block, a
-larger one is dealt to blocks by a hash.  Within a block candidate pairs come from exact
-counts of common k-mers, and only pairs that are not yet connected are aligned.  Where a
-large bucket is left with nodes outside its main component, these are then compared with
-all of its blocks, so no pair of a bucket is left out, and no task holds more than two
-blocks.  Classes are the connected components of the links found.
+larger one is cut by length (near copies differ by a fourth at most) and dealt to blocks by a
+hash.  Within a block candidate pairs come from exact counts of common k-mers, and only pairs
+that are not yet connected are aligned: first in the largest bucket of each node, then,
+with the components of that, in all buckets that hold several.  Where a large bucket is left
+with nodes outside its main component, these are then compared with all of its blocks, so
+no pair of a bucket is left out, and no task holds more than two blocks.  Classes are the
+connected components of the links found.
 
 At similarity 0.8 a sketch is shared with probability 0.5 and all sixteen are missed
 with probability 1.5e-5.
@@ -23,6 +25,7 @@ with probability 1.5e-5.
 A null text is empty.  Texts without a word are one class.  A text of fewer than five
 words is one k-mer.  Repeated rows are copies.  The smallest ``doc_id`` names a class
 (nulls last).  An empty table gives no rows.
+Texts of any length are read whole; further columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,7 +48,9 @@ WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 TAKEN = 3
+#: Nodes and words of a block at most (a text of more words is a block with what falls to it).
 BLOCK = 256
+BLOCK_WORDS = 2_000_000
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -259,68 +264,124 @@ def _linked(blocks: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long, similarity double")
 
 
-def classes(documents: DataFrame, order: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``class_id``, ``class_size`` and ``kept`` of every row.
+def _members(sketched: DataFrame) -> DataFrame:
+    """``bucket``, its number of ``blocks``, and its nodes with their ``block`` and ``size`` (words).
 
-    Of a class the row with the smallest ``order`` stays (nulls last).
+    A bucket of more than BLOCK nodes is cut by length: near copies differ in length by a fourth
+    at most, so a node goes with those of its own class of lengths and the next one.  Of
+    buckets with the same nodes one is kept.
     """
-    rows = kept(signed(documents, order), "near-rows")
-    # One node for each distinct sequence of words; copies combine before the shuffle.
-    same = kept(rows.groupBy("key", "key2").agg(F.min("row").alias("node")), "near-nodes")
-    nodes = rows.select("row", "sketches").join(same.select(F.col("node").alias("row")), "row", "left_semi")
-    sketched = kept(nodes.select(F.col("row").alias("node"), F.explode("sketches").alias("bucket")), "near-sketches")
-    full = sketched.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.hash("node").cast("long")).alias("sum"), F.expr("bit_xor(xxhash64(node))").alias("mix")
+    counted = sketched.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    several = sketched.join(counted, "bucket")
+    # A little wider than 1 / SIMILARITY, so that rounding does not part near copies.
+    length = F.floor(F.log(F.greatest(F.col("size"), F.lit(1))) / float(np.log(1.01 / SIMILARITY))).cast("int")
+    by_length = several.filter(F.col("n") > BLOCK).select("bucket", "node", "size", length.alias("length"))
+    by_length = by_length.select("node", "size", "bucket", "length", F.explode(F.array(F.col("length"), F.col("length") - 1)).alias("low"))
+    by_length = by_length.select(F.xxhash64("bucket", "low").alias("bucket"), "node", "size", (F.col("length") == F.col("low")).alias("own"))
+    whole = several.filter(F.col("n") <= BLOCK).select("bucket", "node", "size", F.lit(True).alias("own"))
+    placed = kept(whole.unionByName(by_length), "near-placed")
+    full = placed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"), F.sum(F.hash("node").cast("long")).alias("sum"), F.expr("bit_xor(xxhash64(node))").alias("mix"), F.max("own").alias("own")
     )
-    full = full.filter("n > 1").groupBy("n", "sum", "mix").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = sketched.join(full, "bucket").select("bucket", "n", "node", F.pmod(F.xxhash64("bucket", "node"), n_blocks).cast("int").alias("block"))
-    members = kept(members, "near-members")
+    # Without a node of its own lower class a bucket is part of the next one.
+    full = full.filter("n > 1 AND own").groupBy("n", "words", "sum", "mix").agg(F.min("bucket").alias("bucket"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("words") / BLOCK_WORDS)).cast("int")
+    found = placed.join(full.select("bucket", "n", F.greatest(blocks, F.lit(1)).alias("blocks")), "bucket")
+    return kept(found.select("bucket", "n", "blocks", "node", "size", F.pmod(F.xxhash64("bucket", "node"), "blocks").cast("int").alias("block")), "near-members")
+
+
+def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Members with the component each node is ``known`` to be in."""
+    return members.join(label, "node", "left").withColumn("known", F.coalesce("component", "node")).drop("component")
+
+
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: the components of what the labels stand for."""
+    ends = [label.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b")]
+    edges = links.select("a", "b").join(ends[0], "a", "left").join(ends[1], "b", "left")
+    edges = edges.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    higher = components(edges)
+    every = label.select("node", "component").unionByName(higher.select("node", F.col("node").alias("component")).join(label.select("node"), "node", "left_anti"))
+    higher = higher.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    return kept(every.join(higher, "component", "left").select("node", F.coalesce("top", "component").alias("component")), "near-labels")
+
+
+def found_links(rows: DataFrame, same: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links that connect all near copies, and the components they make."""
+    nodes = rows.select("row", "sketches", (F.length("words") / 4).cast("long").alias("size")).join(same.select(F.col("node").alias("row")), "row", "left_semi")
+    sketched = kept(nodes.select(F.col("row").alias("node"), "size", F.explode("sketches").alias("bucket")), "near-sketches")
+    members = _members(sketched)
     # The words of members only, written once: they are needed for each round of links.
     # No side of these joins has a bound, so they are sorted ones at every size.
     words = rows.select(F.col("row").alias("node"), "words")
     words = kept(words.join(members.select("node").distinct().hint("merge"), "node", "left_semi"), "near-words")
-    fresh = members.select("bucket", F.col("block").cast("long").alias("block"), "node", F.col("node").alias("known"), F.lit(0).alias("side"))
-    links = kept(_linked(fresh.join(words.hint("merge"), "node")), "near-links")
+    placed = lambda known: known.select("bucket", F.col("block").cast("long").alias("block"), "node", "known", F.lit(0).alias("side"))
+    # First each node looks for near copies in its largest bucket only, which connects most groups by
+    # one tree; then all buckets that hold several components link these.
+    largest = members.groupBy("node").agg(F.max(F.struct("n", "bucket")).alias("most")).select("node", F.col("most.bucket").alias("bucket"))
+    fresh = members.join(largest, ["node", "bucket"], "left_semi").withColumn("known", F.col("node"))
+    links = kept(_linked(placed(fresh).join(words.hint("merge"), "node")), "near-links")
     label = components(links)
-    large = members.filter(F.col("n") > BLOCK)
+    known = kept(_labelled(members, label), "near-known")
+    apart = known.groupBy("bucket").agg(F.min("known").alias("low"), F.max("known").alias("high")).filter("low < high")
+    more = known.join(apart.select("bucket"), "bucket", "left_semi")
+    more = kept(_linked(placed(more).join(words.hint("merge"), "node")), "near-links")
+    label = _joined(label, more)
+    links = links.unionByName(more)
+    large = members.filter("blocks > 1")
     if not large.isEmpty():
-        links = links.unionByName(_across(large, label, words))
-        label = components(links)
-    return _described(rows, same, label)
+        more = _across(large, label, words)
+        label = _joined(label, more)
+        links = links.unionByName(more)
+    return links, label
+
+
+def classes(documents: DataFrame, order: str = "doc_id") -> DataFrame:
+    """``doc_id``, ``class_id``, ``class_size``, ``kept`` and ``least_similarity`` of every row.
+
+    Of a class the row with the smallest ``order`` stays (nulls last).  The least similarity is that
+    of the links that connect the class (1 where all its texts have the same words).
+    """
+    rows = kept(signed(documents, order), "near-rows")
+    # One node for each distinct sequence of words; copies combine before the shuffle.
+    same = kept(rows.groupBy("key", "key2").agg(F.min("row").alias("node")), "near-nodes")
+    links, label = found_links(rows, same)
+    return _described(rows, same, links, label)
 
 
 def _across(large: DataFrame, label: DataFrame, words: DataFrame) -> DataFrame:
     """Links between the nodes outside a large bucket's main component and all of the bucket."""
-    known = large.join(label, "node", "left").select("bucket", "n", "node", "block", F.coalesce("component", "node").alias("known"))
-    known = kept(known, "near-known")
-    counts = known.groupBy("bucket", "known").agg(F.count(F.lit(1)).alias("k"))
-    main = counts.groupBy("bucket").agg(F.max(F.struct("k", "known")).alias("main"), F.sum("k").alias("all"))
-    main = main.select("bucket", F.col("main.known").alias("main"), F.ceil((F.col("all") - F.col("main.k")) / BLOCK).cast("int").alias("parts"))
+    known = kept(_labelled(large, label), "near-known")
+    counts = known.groupBy("bucket", "known").agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("words"))
+    main = counts.groupBy("bucket").agg(F.max(F.struct("k", "known", "words")).alias("main"), F.sum("k").alias("all"), F.sum("words").alias("words"))
+    parts = F.ceil(F.greatest((F.col("all") - F.col("main.k")) / BLOCK, (F.col("words") - F.col("main.words")) / BLOCK_WORDS)).cast("int")
+    main = main.select("bucket", F.col("main.known").alias("main"), parts.alias("parts"))
     told = known.join(main.filter("parts > 0"), "bucket")
     out = F.col("known") != F.col("main")
     part = F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int")
-    total = F.ceil(F.col("n") / BLOCK).cast("int")
     place = lambda block, part: (block.cast("long") * F.col("parts") + part)
     # Every block meets every part of the outside nodes.
     blocks = told.select("bucket", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: place(F.col("block"), p))).alias("block"), "node", "known", F.lit(0).alias("side"), out.alias("out"), part.alias("part"), "parts")
     # A node of the part that the block holds itself is there once, as a node of the part.
     blocks = blocks.filter("NOT (out AND block % parts = part)").drop("out", "part", "parts")
-    parts = told.filter(out).select("bucket", F.explode(F.transform(F.sequence(F.lit(0), total - 1), lambda b: place(b, part))).alias("block"), "node", "known", F.lit(1).alias("side"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    parts = told.filter(out).select("bucket", F.explode(F.transform(every, lambda b: place(b, part))).alias("block"), "node", "known", F.lit(1).alias("side"))
     return kept(_linked(blocks.unionByName(parts).join(words.hint("merge"), "node")), "near-links")
 
 
-def _described(rows: DataFrame, same: DataFrame, label: DataFrame) -> DataFrame:
+def _described(rows: DataFrame, same: DataFrame, links: DataFrame, label: DataFrame) -> DataFrame:
     grouped = same.join(label, "node", "left").select("key", "key2", F.coalesce("component", "node").alias("class"))
     # Few keys are hot: copies of one text, and classes; the skew join splits them.
     placed = kept(rows.select("row", "doc_id", "order", "key", "key2").join(grouped, ["key", "key2"]).select("row", "doc_id", "order", "class"), "near-placed")
+    least = links.join(label, F.col("a") == F.col("node")).groupBy(F.col("component").alias("class")).agg(F.min("similarity").alias("least_similarity"))
     first = placed.groupBy("class").agg(F.min(F.struct(F.col("order").isNull().alias("no"), "order", "row", "doc_id")).alias("first"), F.count(F.lit(1)).alias("class_size"))
-    first = kept(first, "near-first")
+    first = kept(first.join(least, "class", "left").fillna(1.0, ["least_similarity"]), "near-first")
     return placed.join(first, "class").select(
         "doc_id",
         F.col("first.doc_id").alias("class_id"),
         "class_size",
         (F.col("row") == F.col("first.row")).alias("kept"),
+        "least_similarity",
     )
 
 
