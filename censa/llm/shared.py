@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from censa.session import scratch_path
+from censa.session import remove_folder, scratch_path, shared_folder
 
 #: Text handed to one step of Python code, in bytes; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
@@ -40,11 +40,20 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     rows were dealt to tasks (row numbers) stay as they are when executors are lost.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch_path(spark, f"{_kept_folder(spark)}/{label}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _kept_folder(spark: SparkSession) -> str:
+    return f"kept-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all kept tables of this application, once its results are written; frames that read them are void after that."""
+    remove_folder(spark, f"{shared_folder(spark).rstrip('/')}/{_kept_folder(spark)}")
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Batches cut to at most STEP_BYTES of text, with the texts (null: empty)."""
     for batch in batches:

@@ -8,7 +8,7 @@ first embedding coordinate starts from the word's smoothed log-odds in the sampl
 else from small random numbers.  Scores are calibrated to probabilities; thresholds are then
 set for each language.
 
-The model learns from a bounded sample of the labelled rows (``MOST``).  Calibration and
+The model learns from a bounded sample of the labelled rows (``MOST`` rows, ``CHARS`` characters).  Calibration and
 thresholds look at every labelled row that is not held out, each by the logit of a model
 that was not fitted on it: rows outside the sample by the model itself, rows of the sample
 by one fitted on the other folds.  Scoring reads every whole text and nothing else.  Null and empty texts get the score of a text
@@ -16,6 +16,8 @@ without words.  Rows of unknown language, or one with few labels, take ``THRESHO
 With labels of one kind only, or none, every score is their smoothed mean.  Repeated
 rows get equal scores; labels given twice for a document count once, toxic if any is, and a
 document given twice is learned from once, by the row of the least text hash.
+An empty table of documents gives no rows; texts of any length are read whole, and further columns
+play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from censa.llm.chunks import ChunkTable, flat
-from censa.llm.shared import steps
+from censa.llm.shared import kept, steps
 
 ROWS = 1 << 17
 STEM = 5
@@ -41,6 +43,8 @@ FILTERS = {1: 8, 2: 4, 3: 4}
 PAD = 3
 #: Labelled documents the model is fitted on, toxic and clean ones, at most.
 MOST = {1: 1200, 0: 2800}
+#: Characters of the documents the model is fitted on at most, toxic and clean ones (one document of each kind at least).
+CHARS = {1: 20_000_000, 0: 40_000_000}
 EPOCHS, BATCH, RATE, DECAY = 16, 32, 0.05, 1e-4
 THRESHOLD = 0.7
 #: Parts of the sample; each gets its logits from a model fitted on the others.
@@ -109,7 +113,8 @@ class Model:
             for k in range(1, w):
                 values[:-k] += vectors[k:] @ taps[k]
             values = np.maximum(values + self.bias[w], 0)
-            ends = np.append(starts[1:], len(rows))
+            # Only places from which the filter stays within the text and its own padding.
+            ends = np.append(starts[1:], len(rows)) - (w - 1)
             at = np.stack([s + values[s:e].argmax(axis=0) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
             places.append(at)
             pooled.append(np.take_along_axis(values, at, axis=0))
@@ -202,6 +207,7 @@ def _logits(model: dict, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         for k in range(1, w):
             values[:-k] += model["shares"][w, k, 0][rows[k:, 0]]
             values[:-k] += model["shares"][w, k, 1][rows[k:, 1]]
+            values[np.append(starts[1:], len(rows)) - k] = -np.inf  # the filter would run into the next text
         pooled.append(np.maximum(np.maximum.reduceat(values, starts, axis=0) + bias, 0))
     return np.concatenate(pooled, axis=1) @ model["join"] + model["base"]
 
@@ -227,7 +233,10 @@ def trained(documents: DataFrame, labels: DataFrame) -> dict:
     text = text.withColumn("hash", F.xxhash64("text"))
     # The sample has at most sum(MOST) rows of two numbers; repeated documents become one before they are shuffled.
     single = text.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("hash", "lang", "text")).alias("row"))
-    found = single.select("doc_id", "row.lang", "toxic", "row.text").mapInArrow(coded, "doc_id long, lang string, toxic int, codes binary").collect()
+    single = kept(single.select("doc_id", "row.lang", "toxic", "row.text"), "toxicity-sample")
+    fits = _within(single.select("doc_id", "toxic", F.length("text").alias("n")).collect())
+    wanted = documents.sparkSession.createDataFrame([(doc,) for doc in fits], "doc_id long")
+    found = single.join(F.broadcast(wanted), "doc_id", "left_semi").mapInArrow(coded, "doc_id long, lang string, toxic int, codes binary").collect()
     found = sorted(found, key=lambda r: (xxhash.xxh64_intdigest(str(r["doc_id"])), r["codes"]))
     if len({r["toxic"] for r in found}) < 2:
         return {"constant": (seen[1] + 0.5) / (sum(seen.values()) + 1), "thresholds": {}}
@@ -267,7 +276,7 @@ def trained(documents: DataFrame, labels: DataFrame) -> dict:
     for k, part in enumerate(parts):
         bins[fold == k] = _bins(np.array(part))
     counted = [(r["lang"], r["toxic"], b, 1) for r, b in zip(found, bins.tolist(), strict=True)]
-    if any(seen[k] > MOST[k] for k in (0, 1)):
+    if len(found) < sum(seen.values()):
         used = documents.sparkSession.createDataFrame([(r["doc_id"],) for r in found], "doc_id long")
         held = context.broadcast(out)
         counted += [tuple(r) for r in _rest(text, told, used, held).collect()]
@@ -279,6 +288,19 @@ def trained(documents: DataFrame, labels: DataFrame) -> dict:
     return out
 
 
+def _within(sizes: list) -> list[int]:
+    """Documents of the sample, in the order of a hash, that together stay within CHARS."""
+    out = []
+    for kind, most in CHARS.items():
+        total = 0
+        for row in sorted((r for r in sizes if r["toxic"] == kind), key=lambda r: (xxhash.xxh64_intdigest(str(r["doc_id"])), r["doc_id"])):
+            if total and total + (row["n"] or 0) > most:
+                continue
+            total += max(row["n"] or 0, 1)
+            out.append(row["doc_id"])
+    return out
+
+
 def _rest(text: DataFrame, told: DataFrame, used: DataFrame, held: Broadcast) -> DataFrame:
     """``lang``, ``toxic``, ``bin`` and number of the labelled documents outside the sample.
 
