@@ -6,8 +6,11 @@ connected components over those links find them.  A url without a rule of its ow
 blocked when an alias is blocked by a rule, unless another alias is allowed by a rule:
 explicit allows win over propagated blocks.  All other urls are allowed.
 
-A null url has an empty host and path and no rule.  Equal urls are one alias.  Repeated
-pages are judged one by one.  Nothing is compared but urls with a link.
+A null url has an empty host and path and no rule.  Equal urls are one alias.  Of rules of
+one length the longer host wins, then the later text of rule and action.  Repeated pages are judged one by
+one.  An empty table gives no rows; pages of any length are searched whole, and other columns
+play no part.  Nothing is compared but urls with a link.  The package must be known to the
+executors (``shared.shipped``).
 """
 
 from __future__ import annotations
@@ -26,8 +29,14 @@ SALTS = 32
 REFERENCE = re.compile(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)<meta\b(?=[^>]*http-equiv\s*=\s*[\"']?refresh\b)[^>]*\bcontent\s*=\s*[\"']?\s*\d+\s*;\s*url\s*=\s*['\"]?([^\"'\s>]+)"
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+#: An attribute begins after white space, a quote or a slash; ``rel`` holds a list of words.
+BEFORE = r"(?<=[\s\"'/])"
+WORDS = r"(?:\"(?:[^\">]*\s)?canonical(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?=[\s/>]))"
+CANONICAL = rf"(?is)<link\b(?=[^>]*{BEFORE}rel\s*=\s*{WORDS})[^>]*{BEFORE}href\s*=\s*[\"']?\s*([^\"'\s>]+)"
+REFRESH = rf"(?is)<meta\b(?=[^>]*{BEFORE}http-equiv\s*=\s*[\"']?refresh\b)[^>]*{BEFORE}content\s*=\s*[\"']?\s*\d+(?:\.\d*)?\s*[;,]\s*url\s*=\s*['\"]?\s*([^\"'\s>]+)"
+#: Scheme, authority with its slashes, path, and query with its mark of a url or link.
+REFERENCE_PARTS = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?"
 
 
 def host(url: Column) -> Column:
@@ -48,7 +57,7 @@ def alias(url: Column) -> Column:
 
 def unescaped(link: Column) -> Column:
     """A link from an attribute with its character references resolved."""
-    return F.udf(_unescaped, "string", useArrow=False)(link)
+    return F.udf(_unescaped, "string", useArrow=True)(link)
 
 
 def _unescaped(link: str) -> str:
@@ -57,22 +66,32 @@ def _unescaped(link: str) -> str:
 
 
 def resolved(link: Column, base: Column) -> Column:
-    """A link as a full url, seen from the page ``base``."""
-    scheme = F.regexp_extract(base, r"^([^:]*:)//", 1)
-    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
+    """A link as a full url without fragment, seen from the page ``base`` (RFC 3986, section 5)."""
+    scheme, authority, path_, query = (F.regexp_extract(link, REFERENCE_PARTS, k) for k in (1, 2, 3, 4))
+    of_scheme, of_authority, of_path, of_query = (F.regexp_extract(base, REFERENCE_PARTS, k) for k in (1, 2, 3, 4))
+    site = F.concat(of_scheme, of_authority)
+    folder = F.regexp_extract(of_path, r"(?s)^(.*/)", 1)
+    merged = F.when(path_.startswith("/"), path_).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path_))
     return (
-        F.when(link.contains("://"), link)
-        .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(origin, link))
-        .when(folder == origin, F.concat(origin, F.lit("/"), link))
-        .otherwise(F.concat(folder, link))
+        F.when(scheme != "", F.concat(scheme, authority, path_, query))
+        .when(authority != "", F.concat(of_scheme, authority, path_, query))
+        .when(path_ != "", F.concat(site, without_dots(merged), query))
+        .otherwise(F.concat(site, of_path, F.when(query != "", query).otherwise(of_query)))
     )
 
 
+def without_dots(path_: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved."""
+    segments = F.split(path_, "/")
+    kept_ = lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).when(s == ".", done).otherwise(F.concat(done, F.array(s)))
+    rest = F.aggregate(F.slice(segments, 2, F.size(segments)), F.array(F.lit("")), kept_)  # the first is empty: it is before the first slash
+    ends = F.element_at(segments, -1).isin(".", "..")
+    return F.array_join(F.when(ends, F.concat(rest, F.array(F.lit("")))).otherwise(rest), "/")
+
+
 def links(pages: DataFrame) -> DataFrame:
     """``a`` and ``b``: aliases that a page's canonical links and refreshes join."""
-    page = F.coalesce(F.col("html"), F.lit(""))
+    page = F.regexp_replace(F.coalesce(F.col("html"), F.lit("")), COMMENT, "")
     found = F.concat(F.regexp_extract_all(page, F.lit(CANONICAL), 1), F.regexp_extract_all(page, F.lit(REFRESH), 1))
     out = pages.filter("url IS NOT NULL").select("url", F.explode(found).alias("link")).select("url", unescaped(F.col("link")).alias("link"))
     return out.select(alias(F.col("url")).alias("a"), alias(resolved(F.col("link"), F.col("url"))).alias("b"))
