@@ -4,6 +4,7 @@ import random
 import re
 import textwrap
 import zlib
+from urllib.parse import urldefrag, urljoin
 
 import numpy as np
 import pytest
@@ -65,12 +66,28 @@ def test_exact_groups(spark, messy, nothing):
     assert exact_dedup.groups(nothing).count() == exact_dedup.deduplicated(nothing).count() == 0
 
 
-def test_a_full_filter_loses_nothing(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "MAX_CELLS", 1 << 15)
-    many = spark.range(30_000).selectExpr("id AS doc_id", "cast(id % 29000 AS string) AS text")
-    assert exact_dedup.groups(many).filter("kept").count() == 29_000
-    plan = exact_dedup.groups(many)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+def test_a_filter_that_is_not_broadcast(spark, monkeypatch):
+    many = spark.range(30_000).selectExpr("id AS doc_id", "cast(if(id < 1000, 7, id % 29000) AS string) AS text", "id % 5 AS sha")
+    want = {r["text_sha256"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.groups(many).collect()}
+    kept_ids = sorted(r["doc_id"] for r in exact_dedup.deduplicated(many).collect())
+    monkeypatch.setattr(exact_dedup, "MAX_BLOCKS", 1)
+    assert {r["text_sha256"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.groups(many).collect()} == want
+    left = exact_dedup.deduplicated(many)
+    assert left.columns == many.columns and sorted(r["doc_id"] for r in left.collect()) == kept_ids
+    assert len(want) == len(kept_ids) == 29_000
+    singles = spark.range(100_000).selectExpr("cast(id AS string) AS sha")
+    asked = exact_dedup.maybe_repeated(singles, 100_000)
+    assert asked.filter("maybe").count() < 5_000
+    for frame in (asked, left, exact_dedup.groups(many)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+    assert "BroadcastExchange" not in asked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_of_copies_with_one_id_the_same_row_stays(spark):
+    data = [(1, "a  b", "x"), (1, "a b", "y"), (1, "a b", "z"), (None, "a b", "w"), (2, "c", "x")]
+    found = {tuple(exact_dedup.deduplicated(spark.createDataFrame(data, "doc_id long, text string, more string").repartition(n)).orderBy("doc_id").collect()) for n in (1, 3, 7)}
+    assert len(found) == 1 and [r["doc_id"] for r in found.pop()] == [1, 2]
 
 
 def test_single_texts_pass_without_a_shuffle(spark):
@@ -133,6 +150,40 @@ def test_url_aliases_of_other_case_and_with_character_references(spark):
     assert {k for k, v in found.items() if v == "allow"} == {3}
 
 
+def test_links_resolve_as_in_a_brute_force(spark):
+    rng = random.Random(5)
+    bases = ["http://a.org/b/c/d;p?q=1#f", "https://A.org", "http://a.org/", "http://a.org/x/../y/./z", "http://u:p@a.org:80/b/?k=/..", "http://a.org?q", "no scheme"]
+    parts = ["..", ".", "g", "h.i", "", "/", "?y=1", "#s", "//n.org", "http://o.org/../k", "mailto:x@y", "go?u=https://q.org/r", "../q", "?a=1", "a%20b", "\u00e9"]
+    links = parts + ["/".join(rng.choice([p for p in parts if ":" not in p and "//" not in p and p[:1] not in "?#"]) for _ in range(rng.randint(1, 5))) for _ in range(150)]
+    # The library joins paths without their doubled slashes, so links with one are left out.
+    pairs = [(base, link) for base in bases[:-1] for link in links if "//" not in link.replace("://", "").lstrip("/") and not link.startswith("///")]
+    frame = spark.createDataFrame(pairs, "base string, link string")
+    found = frame.select("base", "link", url_filter.resolved(F.col("link"), F.col("base")).alias("got")).collect()
+    for r in found:
+        want = urldefrag(urljoin(r["base"], r["link"]))[0]
+        same = lambda u: re.sub(r"^(\w+://[^/?#]*)(?=[?]|$)", r"\1/", u)  # noqa: E731  an empty path is the root
+        assert same(r["got"]) == same(want), (r["base"], r["link"])
+
+
+def test_links_in_pages(spark):
+    rules = spark.createDataFrame([("bad.org", "/", "block")], "host string, path string, action string")
+    to = lambda href, rel='"canonical"': f"<link data-rel=x rel={rel} href='{href}'>"
+    pages = [
+        (1, "http://a.com/1", to("http://bad.org/", '"alternate  Canonical"')), (2, "http://a.com/2", f"<!-- {to('http://bad.org/')} -->"),
+        (3, "http://a.com/3", to("http://bad.org/", "canonical")), (4, "http://a.com/4", to("http://bad.org/", '"canonicals"')),
+        (5, "http://a.com/5", '<link data-rel="canonical" href="http://bad.org/">'), (6, "http://a.com/6", "<!-- open " + to("http://bad.org/")),
+        (7, "http://a.com/d/7", to("/go?u=https://q.org/r")), (8, "http://bad.org/8", to("http://a.com/go?u=https://q.org/r")),
+        (9, "http://a.com/d/e/9?x", to("../q")), (10, "http://bad.org/10", to("http://a.com/d/q")),
+        (11, "http://a.com/11", to("?a=1")), (12, "http://bad.org/12", to("http://a.com/11?a=1")),
+        (13, "http://a.com/13", "x" * 300_000 + to("http://bad.org/") + "y" * 300_000), (14, "http://a.com/14", '<meta content="0.5, URL=http://bad.org/" http-equiv=refresh>'),
+        (15, "http://a.com/15", '<meta http-equiv="refresh" content="0.5, URL=http://bad.org/">'),
+    ]
+    clash = ["host", "path", "rule", "action", "component", "node", "spread", "link", "a", "b"]
+    frame = spark.createDataFrame([(*p, *["z"] * len(clash)) for p in pages], "page_id long, url string, html string, " + ", ".join(f"{c} string" for c in clash))
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judged(frame, rules).collect()}
+    assert {k for k, v in found.items() if v == "allow"} == {2, 4, 5, 6}
+
+
 def labelled(text):
     words, seen, out = text.lower().split(), {}, []
     for k in range(max(1, len(words) - 4)):
@@ -307,6 +358,26 @@ def test_wrapped_and_commented_licences():
     assert scanner.identifiers("All rights. Reserved seats only\nThis work is\nnot in the public domain.") == []
 
 
+def test_licences_in_quotes_marks_tags_and_by_name():
+    scanner = license_scan.Scanner(license_scan.SENTENCES, license_scan.RULES)
+    known = license_scan.SENTENCES
+    forms = {
+        "(Released under the MIT License.) Enjoy.": ["MIT"], "**All rights reserved.** Next": ["all-rights-reserved"],
+        "<p>Released under the MIT License.</p>": ["MIT"], '"All rights reserved." he said': ["all-rights-reserved"],
+        "SPDX-License-Identifier: Apache-2.0": ["Apache-2.0"], "// SPDX-License-Identifier: (MIT OR GPL-2.0+)\nint x;": ["MIT OR GPL-2.0+"],
+        "x <b>y</b> <i>All rights reserved.</i><br/>z": ["all-rights-reserved"], "if a < b and c > d: pass": [],
+        "SPDX-License-Identifier: MIT\nAll rights reserved.\n# SPDX-License-Identifier: BSD-3-Clause": ["MIT", "all-rights-reserved", "BSD-3-Clause"],
+    }
+    for text, want in forms.items():
+        found, rest = scanner.licences(scanner.identifiers(text))
+        assert (found, rest) == (want, []), text
+    whole = "\n\n".join(textwrap.fill(known[k], 75) for k in ("mit-grant", "mit-notice", "mit-warranty", "mit-liability"))
+    assert scanner.licences(scanner.identifiers("MIT License\n\nCopyright (c) 2020 A. Person\n\n" + whole)) == (["MIT"], [])
+    for licence, wanted in license_scan.RULES:
+        text = "\n".join(f" * {x}" for k in wanted for x in textwrap.wrap(known[k], 70))
+        assert scanner.licences(scanner.identifiers(text))[0][0] == licence, (licence, wanted)
+
+
 @pytest.fixture(scope="module")
 def told(spark):
     rng = random.Random(6)
@@ -349,8 +420,10 @@ def test_thresholds_look_at_all_labelled_rows(spark, told, monkeypatch):
     monkeypatch.setattr(toxicity, "_thresholds", lambda score, toxic, counts, langs: seen.append((toxic, counts, langs)) or thresholds(score, toxic, counts, langs))
     rare = {r["doc_id"] for r in labels.filter("toxic = 1").collect()} - set(few)
     want = [tuple(r) for r in named.join(labels, "doc_id").filter(~toxicity.held_out(F.col("doc_id"))).select("lang", "toxic").collect()]
-    for most in (toxicity.MOST, {1: 40, 0: 150}):  # all rows in the sample, and most of them outside
+    # All rows in the sample, and most of them outside, by number or by length.
+    for most, chars in ((toxicity.MOST, toxicity.CHARS), ({1: 40, 0: 150}, toxicity.CHARS), (toxicity.MOST, {1: 30_000, 0: 60_000})):
         monkeypatch.setattr(toxicity, "MOST", most)
+        monkeypatch.setattr(toxicity, "CHARS", chars)
         model = toxicity.trained(named.unionByName(named.filter(F.col("doc_id").isin(list(rare)[:5]))) if most[1] == 40 else named, labels)
         assert set(model["thresholds"]) == {"en", "es"}
         toxic, counts, langs = seen.pop()
@@ -359,6 +432,19 @@ def test_thresholds_look_at_all_labelled_rows(spark, told, monkeypatch):
     assert not seen
 
 
+def test_the_fit_is_bounded_in_characters():
+    rows_ = [{"doc_id": k, "toxic": k % 2, "n": None if k == 4 else 10 ** (k % 9)} for k in range(400)]
+    for chars in ({1: 1000, 0: 500}, {1: 10**8, 0: 10**9}):
+        toxicity_chars, toxicity.CHARS = toxicity.CHARS, chars
+        try:
+            taken = toxicity._within(rows_)
+        finally:
+            toxicity.CHARS = toxicity_chars
+        for kind, most in chars.items():
+            own = [r for r in rows_ if r["toxic"] == kind and r["doc_id"] in taken]
+            assert own and (sum(r["n"] or 0 for r in own) <= most or len(own) == 1)
+
+
 def test_a_repeated_document_is_learned_from_once(spark, told, monkeypatch):
     documents, labels = told
     hot = labels.filter(~toxicity.held_out(labels["doc_id"])).first()["doc_id"]
