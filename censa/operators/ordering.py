@@ -87,7 +87,7 @@ def has_unique_column(df: DataFrame, column: str) -> bool:
 
 
 def ensure_id(df: DataFrame, order: Sequence[str], column: str = "id") -> DataFrame:
-    """Keep a unique ``id`` column, else number the rows."""
+    """Keep a unique ``id`` column, else number the rows.  Whether it is unique is found out at once, by one job."""
     return df if has_unique_column(df, column) else number_rows(df.drop(column), order, column)
 
 
