@@ -22,6 +22,7 @@ from censa.operators.joins import anti_join
 from censa.operators.schema import align, drop_present, lower_names
 from censa.registry.groups import STATE_CODES
 from censa.registry.schemas import loader_types
+from censa.session import folder_exists
 from censa.sinks.files import write_partitioned
 from censa.sources.drift import read_drifting
 from censa.sources.files import discover_files, file_id, with_lineage
@@ -155,6 +156,8 @@ def stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFra
 
     With a schema no file is opened to infer one.
     """
+    if not folder_exists(spark, path):
+        return None
     try:
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as missing:

@@ -65,6 +65,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder (or file) of any store Spark reaches is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of any store Spark reaches."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
