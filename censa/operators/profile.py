@@ -9,6 +9,8 @@ first few values.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -250,8 +252,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     values = numbers.unpivot([], columns, "column_name", "value").filter("value IS NOT NULL")
     # One row a column is broadcast.
     borders = F.broadcast(_borders(numbers, columns, shares))
-    below = F.size(F.filter("borders", lambda border: border < F.col("value")))
-    sliced = values.join(borders, "column_name").select("column_name", "value", F.when(F.col("borders").isNull(), 0).otherwise(below).alias("slice"))
+    # Borders one by one instead of a function over the array, which would not be compiled.
+    passed = [F.coalesce((F.get("borders", F.lit(i)) < F.col("value")).cast("int"), F.lit(0)) for i in range(2 * len(shares))]
+    sliced = values.join(borders, "column_name").select("column_name", "value", reduce(add, passed, F.lit(0)).alias("slice"))
     sizes = sliced.groupBy("column_name", "slice").agg(F.count(F.lit(1)).alias("size"))
     own = Window.partitionBy("column_name")
     upto = F.sum("size").over(own.orderBy("slice"))
