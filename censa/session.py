@@ -53,13 +53,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def ready_for_checkpoint(spark: SparkSession) -> None:
-    """Make sure ``DataFrame.checkpoint`` has a reliable folder to write to."""
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -16,6 +16,7 @@ from censa.session import scratch_path
 from censa.sources import files
 from censa.sources.tables import run_query
 from checks import check, table
+from checks.raw import from_raw
 
 FIRST, LAST = date(1996, 3, 1), date(1997, 2, 1)
 GRID = date(1992, 1, 1), date(1998, 12, 1)
@@ -41,19 +42,21 @@ def scan_states(spark, folder):
 
 
 @check(
-    """SELECT 'customer.parquet' AS file_name, count(*) AS n_rows FROM customer
-       UNION ALL SELECT 'orders.parquet', count(*) FROM orders
-       UNION ALL SELECT 'lineitem.parquet', count(*) FROM lineitem"""
+    from_raw("CASE homonimo WHEN '1' THEN 'SP' WHEN '0' THEN 'RJ' ELSE 'MG' END AS uf, count(*) AS n_rows, CAST(2 AS BIGINT) AS n_folders") + " GROUP BY 1"
 )
 def discover_files(spark, folder):
-    """Rows per discovered file: the listing joined with what the scan sees."""
-    listed = files.discover_files(spark, folder).select("file_name")
-    frames = [
-        table(spark, folder, t).select(F.col("_metadata.file_name").alias("file_name"))
-        for t in ("customer", "orders", "lineitem")
-    ]
-    counts = union_all(frames).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
-    return semi_join(counts, listed, "file_name")
+    """Files of one group below a root that holds another group's and plain files too, with the rows they hold."""
+    from checks.jobs import raw_folders
+
+    root = raw_folders(spark, folder, scratch_path(spark, "raw"))
+    supplier = table(spark, folder, "supplier")
+    for name in ("SIH/RJ/RJSP9703.parquet", "SIH/RD/notes.parquet", "RDXX9703.parquet"):
+        supplier.write.parquet(f"{root}/{name}")
+    listed = files.discover_files(spark, root, "RD").select("id_arquivo", "uf", "folder")
+    rows = files.with_lineage(spark.read.schema("SEQUENCIA string").option("recursiveFileLookup", True).parquet(root), columns=["id_arquivo"])
+    counts = rows.groupBy("id_arquivo").agg(F.count(F.lit(1)).alias("n")).join(listed, "id_arquivo")
+    by_folder = counts.groupBy("uf", "folder").agg(F.sum("n").alias("n"))
+    return by_folder.groupBy("uf").agg(F.sum("n").alias("n_rows"), F.count("folder").alias("n_folders"))
 
 
 @check("SELECT o_orderstatus, count(*) AS n_rows FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders) GROUP BY 1")
