@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Letters of the runs by which patterns are found; shorter patterns are found as a whole.
-GRAM = 4
+from censa.operators.windows import filed, sieve, sifted
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -48,42 +47,33 @@ def first_contained(df: DataFrame, name: str, patterns: Sequence[tuple[str, str]
     return df.withColumn(out, F.get(hits, F.lit(0))["code"]).filter(F.col(out).isNotNull())
 
 
-def _with_grams(df: DataFrame, text: str, letters: str, out: str) -> DataFrame:
-    """A row for each distinct run of so many letters in a text."""
-    # The signs are a column of their own, or they would be found anew for every run.
-    signs = df.withColumn("__signs", F.filter(F.split(text, ""), lambda x: x != ""))
-    starts = F.when(F.size("__signs") >= F.col(letters), F.sequence(F.lit(1), F.size("__signs") - F.col(letters) + 1))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice("__signs", i, F.col(letters)), ""))
-    return signs.withColumn(out, F.explode(F.array_distinct(runs))).drop("__signs")
-
-
 def first_contained_in(df: DataFrame, name: str, patterns: DataFrame, out: str) -> DataFrame:
     """As ``first_contained``, for any number of patterns: rows of ``text``, ``code`` and ``position``.
 
     Of the patterns a text contains the one of the smallest position labels it (of equal positions
-    the smallest text).  Each pattern is filed under one of its runs of GRAM letters,
-    the one that the fewest texts hold; a text meets only the patterns filed under its own runs, and is
-    searched for these.  Patterns with a run that no text holds are out at once.  Equal
-    texts are searched once.  Null texts and patterns contain and are nothing; an empty pattern is in every text.
+    the smallest text).  Each pattern is filed under one of the windows that cover it (see ``windows``),
+    the one that the fewest texts hold; a text meets only the patterns filed under its own windows, and is
+    searched for these.  Patterns with a window that no text holds are out at once.  Only texts with a
+    window that passes the sieve of all patterns are shuffled.  Equal texts are searched once.
+    Null texts and patterns contain and are nothing; an empty pattern is in every text.
     """
     key, gram = "__key", "__gram"
-    known = patterns.filter("text IS NOT NULL").select(F.col("text").alias("__text"), F.col("code").alias("__code"), F.col("position").alias("__position")).distinct()
+    # Of equal patterns one can label a text.
+    least = F.min(F.struct(F.col("position").alias("__position"), F.col("code").alias("__code"))).alias("__least")
+    known = patterns.filter("text IS NOT NULL").groupBy(F.col("text").alias("__text")).agg(least).select("__text", "__least.__code", "__least.__position")
     empty = known.filter("__text = ''").agg(F.min(F.struct("__position", "__text", "__code"))).scalar()
-    filed = known.filter("__text <> ''").withColumn("__letters", F.least(F.char_length("__text"), F.lit(GRAM)))
-    filed = _with_grams(filed, "__text", "__letters", gram)
+    windows = filed(known.filter("__text <> ''"), "__text")
     texts = df.filter(F.col(name).isNotNull()).select(F.sha2(F.col(name).cast("binary"), 256).alias(key), F.col(name).alias("__in"))
-    texts = texts.groupBy(key).agg(F.first("__in").alias("__in"))
-    # The lengths that patterns are filed by: GRAM numbers at most.
-    lengths = filed.agg(F.collect_set("__letters")).scalar()
-    runs = _with_grams(texts.withColumn("__letters", F.explode(lengths)), "__in", "__letters", gram).select(key, gram)
-    runs = runs.join(filed.select(gram).distinct(), gram, "left_semi")
+    # One value holds text and windows, so all that follows reads the same shuffle.
+    texts = sifted(texts, key, "__in", sieve(windows)).groupBy(key).agg(F.first(F.struct("__in", "__grams")).alias("__held"))
+    runs = texts.select(key, F.explode("__held.__grams").alias(gram))
     often = runs.groupBy(gram).agg(F.count(F.lit(1)).alias("__n"))
-    rarest = filed.join(often, gram, "left").groupBy("__text", "__code", "__position").agg(
+    rarest = windows.join(often, gram, "left").groupBy("__text", "__code", "__position").agg(
         F.min(F.struct("__n", gram)).alias("__least"), F.count_if(F.col("__n").isNull()).alias("__absent")
     )
     rarest = rarest.filter("__absent = 0").select("__text", "__code", "__position", F.col(f"__least.{gram}").alias(gram))
     asked = runs.join(rarest, gram).drop(gram)
-    found = asked.join(texts, key).filter(F.col("__in").contains(F.col("__text")))
+    found = asked.join(texts, key).filter(F.col("__held.__in").contains(F.col("__text")))
     found = found.groupBy(key).agg(F.min(F.struct("__position", "__text", "__code")).alias("__found"))
     labelled = df.filter(F.col(name).isNotNull()).withColumn(key, F.sha2(F.col(name).cast("binary"), 256)).join(found, key, "left")
     return labelled.withColumn(out, F.least("__found", empty)["__code"]).drop(key, "__found").filter(F.col(out).isNotNull())

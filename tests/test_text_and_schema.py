@@ -9,6 +9,7 @@ from censa.functions.text import blank_to_null, normalize_name, normalized, zero
 from censa.operators import cleaning as cl
 from censa.operators import joins
 from censa.operators import schema as sc
+from censa.operators import windows
 from censa.registry.types import create_table_text, spark_ddl, spark_type, sql_type, struct_of, text_length
 
 NAMES = ["TIPPRE  ", "Sp Procrea", "Ação/Saúde (SUS)", "__x__", "ÀÉÎõü ç ñ", "a--b..c", "œuvre ½ ª º", "", "日本 x", "Café"]
@@ -132,3 +133,56 @@ def test_the_first_of_very_many_patterns(spark):
     every = patterns.unionByName(spark.createDataFrame([("", "empty", 50_000)], patterns.schema))
     assert {r.k: r.label for r in joins.first_contained_in(frame, "name", every, "label").collect()} == brute((50_000, "", "empty"))
     assert joins.first_contained_in(frame, "name", patterns.limit(0), "label").count() == 0
+
+
+def test_patterns_of_all_lengths_in_texts_longer_than_a_step(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ab é日") for _ in range(n))
+    long = word(90_000)
+    texts = [word(rng.randint(0, 300)) for _ in range(80)] + [None, "", "a", "日", long, long[:40_000], "b" * 40]
+    at = len(long.encode()[: windows.STEP].decode(errors="ignore"))
+    cut = [long[at - k : at - k + 40] for k in (0, 1, 20, 33, 40)] + [long[:33], long[-33:], long[-1:], "b" * 39, "b" * 41]
+    known = [(t[a : a + n], f"{t[:3]}{a}", rng.randint(0, 400)) for t in texts[:80] for n in (3, 8, 15, 31, 32, 33, 70) if len(t) > n for a in [rng.randrange(len(t) - n)]]
+    # The ends of one text and the start of the next are no pattern of either.
+    known += [(t[-9:] + u[:9], "both", 0) for t, u in zip(texts[:79], texts[1:80])] + [(t, f"cut{k}", 500 - k) for k, t in enumerate(cut)]
+    known += [("日", "z", 450), ("日", "a", 450), ("日", "later", 451), (cut[2], "again", 3)]
+    patterns = spark.createDataFrame(known, "text string, code string, position int").repartition(5)
+    frame = spark.createDataFrame(list(enumerate(texts)), "k int, name string").repartition(3)
+    wanted = {}
+    for k, text in enumerate(texts):
+        hits = [(p, t, c) for t, c, p in known if text is not None and t in text]
+        if hits:
+            wanted[k] = min(hits)[2]
+    assert {r.k: r.label for r in joins.first_contained_in(frame, "name", patterns, "label").collect()} == wanted
+    # Whatever lies at the border of two steps, the long text has all windows of what it holds.
+    filed = windows.filed(spark.createDataFrame([(t,) for t in cut], "text string"), "text")
+    held = windows.sifted(frame.filter("k = 84").selectExpr("'x' AS key", "name"), "key", "name", windows.sieve(filed)).first()
+    assert held.name == long
+    by_text = {t: {r["__gram"] for r in filed.collect() if r.text == t} for t in cut}
+    assert all(by_text[t] and by_text[t] <= set(held["__grams"]) for t in cut if t in long)
+
+
+def test_texts_without_a_pattern_make_no_rows(spark):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    known = [(word(40), f"c{k}", k) for k in range(50)]
+    texts = [word(300) for _ in range(3000)] + [word(50) + known[k][0] + word(50) for k in range(5)]
+    patterns = spark.createDataFrame(known, "text string, code string, position int")
+    frame = spark.createDataFrame(list(enumerate(texts)), "k int, name string").repartition(3)
+    found = joins.first_contained_in(frame, "name", patterns, "label")
+    assert {r.k: r.label for r in found.collect()} == {3000 + k: f"c{k}" for k in range(5)}
+
+    def nodes(plan):
+        yield plan
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            yield from nodes(plan.executedPlan())
+        elif name.endswith("QueryStage"):
+            yield from nodes(plan.plan())
+        else:
+            for k in range(plan.children().size()):
+                yield from nodes(plan.children().apply(k))
+
+    # Formerly each text made a row for each of its runs of letters, found or not.
+    made = [n.metrics().apply("numOutputRows").value() for n in nodes(found._jdf.queryExecution().executedPlan()) if n.nodeName() == "Generate"]
+    assert made and sum(made) < 1000
